@@ -204,6 +204,36 @@ def _summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _blocks(benchmark: DataFrame) -> tuple[DataFrame, int]:
+    items = staged(benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.coalesce("text", F.lit("")).alias("text")), "benchmark")
+    total = items.agg(F.sum(F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")))).first()[0] or 0
+    return items, max(1, -(-total // BLOCK_WORDS))
+
+
+def _block(items: DataFrame, blocks: int, number: int) -> list[tuple[str | None, bytes]]:
+    """A block's items; each has about BLOCK_WORDS words."""
+    return [(r["item_id"], r["text"].encode()) for r in items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == number).collect()]
+
+
+def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of docs(doc_id, text, ...) that are not contaminated, with all their columns."""
+    items, blocks = _blocks(benchmark)
+    if blocks > 1:
+        rows = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "decontam-rows")
+        bad = contamination(rows.select(F.col("_row").alias("doc_id"), "text"), benchmark).filter("contaminated").select(F.col("doc_id").alias("_row"))
+        return rows.join(bad, "_row", "left_anti").select(*docs.columns)
+    shared = docs.sparkSession.sparkContext.broadcast(_block(items, blocks, 0))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, hashes = Index(shared.value), Hashes()
+        for batch in slices(batches, "text"):
+            tokens = [words(t) for t in texts_of(batch, "text")]
+            hit = [sum(b - a for a, b in merged(s)) for s, _ in index.scan(tokens, hashes)]
+            yield batch.filter(pa.array([not (h > 0 and SHARE * h >= len(t)) for h, t in zip(hit, tokens)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per row of docs(doc_id, text): n_words, n_hit, n_items, items_sha256, contaminated.
 
@@ -211,11 +241,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Texts without words are never contaminated. Rows with equal ids stay separate rows as long as the benchmark fits one
     block; over several blocks they are told apart by their position. Items with equal ids count once. Empty tables give empty or clean
     results. Other columns are ignored."""
-    items = staged(benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.coalesce("text", F.lit("")).alias("text")), "benchmark")
-    total = items.agg(F.sum(F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")))).first()[0] or 0
-    blocks = max(1, -(-total // BLOCK_WORDS))
+    items, blocks = _blocks(benchmark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    block = lambda b: [(r["item_id"], r["text"].encode()) for r in items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()]
+    block = lambda b: _block(items, blocks, b)
     if blocks == 1:
         hits = _hits(docs, block(0))
     else:

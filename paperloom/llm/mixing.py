@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import staged, table
+from .common import mix64, staged, table
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
@@ -51,8 +51,6 @@ def targets(sizes: dict, weights=WEIGHTS, share: float = SHARE, most: float = MO
 
 
 def _uniform(x: np.ndarray, salt: int) -> np.ndarray:
-    from .common import mix64
-
     return (mix64(x, salt) >> np.uint64(11)).astype(np.float64) / float(1 << 53)
 
 
