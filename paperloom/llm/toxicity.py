@@ -17,6 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import slices, table, texts_of
 from .decontaminate import words
@@ -150,7 +151,7 @@ def scored(docs: DataFrame, model: Ordinal) -> DataFrame:
 
     A null or empty text has no features. Repeated rows are scored each, null ids are kept, an empty table gives none."""
     docs = docs.drop(*_RESULTS)
-    schema = docs.schema
+    schema = StructType(list(docs.schema.fields))
     for name, kind in _RESULTS.items():
         schema = schema.add(name, kind)
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.cuts))
