@@ -8,6 +8,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Unicode blocks of Arabic letters and forms; digits of Arabic script.
 ARABIC = "\\u0600-\\u06FF\\u0750-\\u077F\\u08A0-\\u08FF\\uFB50-\\uFDFF\\uFE70-\\uFEFF"
@@ -34,7 +35,7 @@ def western_digits(text: Column) -> Column:
     return F.translate(text, ARABIC_DIGITS, "0123456789")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(texts: pd.Series) -> pd.Series:
     """Compatibility normal form; there is no JVM function for it."""
     return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
