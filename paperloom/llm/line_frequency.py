@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, joined_small, staged, table
+from .common import LOWER, UPPER, joined_small, staged, table
 
 #: A line may be in so many documents of its host.
 MAX_DOCS = 10
@@ -18,61 +18,65 @@ MAX_DOCS = 10
 MIN_LEFT = 0.5
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
-WINDOW = 8
-SPACE, WORD = r"[\x20\x09-\x0D]+", r"[^\x20\x09-\x0D]+"
+WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\x0c\r"
 
 
+#: Lines are compared without white space, A-Z lower-cased and each digit as 0: one pass over their characters.
+_FROM, _TO = UPPER + "123456789" + BLANKS, LOWER + "000000000"
+
+
 def lines_of(text: Column) -> Column:
     """The text's \\n-split lines that hold a word."""
-    return F.filter(F.split(text, "\n"), lambda x: F.translate(x, BLANKS, "") != "")
+    return F.filter(F.split(text, "\n"), lambda x: F.trim(x, F.lit(BLANKS)) != "")
 
 
 def normal(line: Column) -> Column:
-    """A line lower-cased (A-Z), each run of white space or digits as one sign, without white space at its ends."""
-    return F.trim(F.regexp_replace(F.regexp_replace(ascii_lower(line), "[0-9]+", "0"), SPACE, " "))
+    return F.translate(line, _FROM, _TO)
 
 
-def _repeated(words: str, n: str) -> str:
-    """SQL of the number of words in 8-word windows that occur twice or more: windows sorted by (hash, place); those with an
-    equal neighbour, sorted by place, cover min(8, distance to the next) words each."""
-    return f"CASE WHEN {n} < {WINDOW + 1} THEN array() ELSE array_sort(transform(sequence(1, {n} - {WINDOW - 1}), i -> struct(xxhash64(slice({words}, i, {WINDOW})) AS h, i AS i))) END"
+def words_of(text: Column) -> Column:
+    """Runs of characters that are not ASCII white space."""
+    return F.array_remove(F.split(F.translate(text, BLANKS, " " * len(BLANKS)), " "), "")
 
 
 def base(docs: DataFrame) -> DataFrame:
-    """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed of the whole texts."""
+    """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed of the whole texts.
+
+    Windows are hashed by doubling: words, pairs, fours, eights. Only where two windows of a text are equal are they sorted by
+    (hash, place); those with an equal neighbour, in order of place, cover min(8, distance to the one before) words each."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    one = docs.withColumns(
+    docs = docs.withColumns(
         {
-            "_words": F.regexp_extract_all(text, F.lit(WORD), F.lit(0)),
+            "_hashes": F.transform(words_of(text), lambda x: F.xxhash64(x)),
             "_lines": lines_of(text),
             "word_chars": F.length(F.translate(text, BLANKS, "")).cast("long"),
             "n_symbols": (F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))).cast("long"),
         }
     )
-    two = one.withColumns(
+    docs = docs.withColumns(
         {
-            "n_words": F.size("_words").cast("long"),
+            "n_words": F.size("_hashes").cast("long"),
             "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-            "_sorted": F.expr(_repeated("_words", "size(_words)")),
+            "_2": F.expr("zip_with(_hashes, slice(_hashes, 2, size(_hashes)), (a, b) -> xxhash64(a, b))"),
         }
     )
-    three = two.withColumn(
+    docs = docs.withColumn("_4", F.expr("zip_with(_2, slice(_2, 3, size(_2)), (a, b) -> xxhash64(a, b))"))
+    docs = docs.withColumn("_8", F.expr("slice(zip_with(_4, slice(_4, 5, size(_4)), (a, b) -> xxhash64(a, b)), 1, greatest(size(_4) - 7, 0))"))
+    docs = docs.withColumn("_sorted", F.expr("CASE WHEN size(array_distinct(_8)) < size(_8) THEN array_sort(transform(_8, (h, i) -> struct(h, i))) ELSE array() END"))
+    docs = docs.withColumn(
         "_places",
         F.expr(
             "CASE WHEN size(_sorted) < 2 THEN array() ELSE array_sort(transform(filter(_sorted, (x, k) -> "
             "(k > 0 AND x.h = _sorted[greatest(k - 1, 0)].h) OR (k + 1 < size(_sorted) AND x.h = _sorted[least(k + 1, size(_sorted) - 1)].h)), x -> x.i)) END"
         ),
     )
-    four = three.withColumn(
+    docs = docs.withColumn(
         "n_repeat_words",
-        F.expr(
-            f"CASE WHEN size(_places) = 0 THEN 0L ELSE aggregate(_places, struct(0L AS n, cast(-{WINDOW} AS int) AS p), "
-            f"(s, x) -> struct(s.n + least({WINDOW}, x - s.p) AS n, x AS p), s -> s.n) END"
-        ),
+        F.expr("aggregate(_places, struct(0L AS n, -8 AS p), (s, x) -> struct(s.n + least(8, x - s.p) AS n, x AS p), s -> s.n)"),
     )
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    return four.withColumn("base_failed", failed).drop("_words", "_lines", "_sorted", "_places")
+    return docs.withColumn("base_failed", failed).drop("_hashes", "_lines", "_2", "_4", "_8", "_sorted", "_places")
 
 
 def frequent_lines(docs: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
@@ -126,7 +130,9 @@ def cleaned(judged_docs: DataFrame) -> DataFrame:
     """The kept documents, without the removed lines."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rest = F.array_join(F.filter(F.split(text, "\n"), lambda x: ~F.array_contains(F.col("removed"), F.xxhash64(normal(x)))), "\n")
-    return judged_docs.filter("kept").withColumn("text", F.when(F.col("removed").isNull(), F.col("text")).otherwise(rest))
+    # a filter is not pushed below a non-deterministic column: there the counts' expressions would be substituted into each other
+    held = judged_docs.withColumn("_place", F.monotonically_increasing_id()).filter(F.col("kept") & (F.col("_place") >= 0)).drop("_place")
+    return held.withColumn("text", F.when(F.col("removed").isNull(), F.col("text")).otherwise(rest))
 
 
 COLUMNS = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_removed_words")
@@ -142,7 +148,7 @@ w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
 win AS (SELECT rid, i, array_to_string(ws[i:i + 7], ' ') AS g FROM (SELECT rid, ws, unnest(range(1, len(ws) - 6)) AS i FROM w WHERE len(ws) >= 8)),
 rep AS (SELECT rid, count(DISTINCT p) AS n FROM (
   SELECT rid, unnest(range(i, i + 8)) AS p FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM win) WHERE c > 1) GROUP BY rid),
-l AS (SELECT rid, source, t, x, trim(regexp_replace(regexp_replace(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]+', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g')) AS norm,
+l AS (SELECT rid, source, t, x, regexp_replace(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000'), '[\x20\x09-\x0D]+', '', 'g') AS norm,
              len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS lw
       FROM (SELECT rid, source, t, unnest(string_split(t, chr(10))) AS x FROM d) WHERE regexp_matches(x, '[^\x20\x09-\x0D]')),
 dup AS (SELECT rid, count(*) - count(DISTINCT x) AS n FROM l GROUP BY rid),
