@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import Hashes, joined_small, mix64, slices, staged, table, texts_of
 
 N, THRESHOLD, RECALL = 5, 0.8, 0.9999
-CHOICES, SMALL, DEPTH = 2, 200, 3
+CHOICES, SMALL, DEPTH = 2, 400, 3
 SKETCH = 64
 #: Common sketch entries of a pair at the threshold: 51 of 64 expected, 3.2 standard deviation.
 SKETCH_SHARE = 0.5
@@ -162,10 +162,12 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _first(where: list[list[int]], blocks: list[int], halves: tuple[int, int], bucket: int, i: int, j: int) -> bool:
-    """Whether this is the pair's bucket: the least that both are in, and in it the block pair of their blocks."""
+    """Whether this is the pair's bucket: the first that both are in, largest buckets first, and in it the block pair of their blocks.
+    The pairs of a group of near copies so meet in few of the group's buckets."""
     if tuple(sorted((blocks[i], blocks[j]))) != halves:
         return False
-    return min(set(where[i]).intersection(where[j])) == bucket
+    other = set(where[j])
+    return next(b for b in where[i] if b in other) == bucket
 
 
 _ROW = "group string, bucket long, x int, y int, block int, node long, n int, sketch binary, paths array<long>"
@@ -173,7 +175,7 @@ _ROW = "group string, bucket long, x int, y int, block int, node long, n int, sk
 
 def _dealt(final: DataFrame, classes: DataFrame, small: int) -> DataFrame:
     """Rows for each bucket; those of large ones for each pair of blocks that theirs is in."""
-    listed = final.groupBy("node").agg(F.sort_array(F.collect_set(F.struct("bucket", "c"))).alias("p"))
+    listed = final.groupBy("node").agg(F.sort_array(F.collect_set(F.struct("c", "bucket")), asc=False).alias("p"))
     rows = classes.select("node", "n", "sketch").join(listed, "node").select("node", "n", "sketch", F.col("p.bucket").alias("paths"), F.explode("p").alias("b"))
     blocks = F.greatest(F.lit(1), F.ceil(F.col("b.c") / small)).cast("int")
     rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
