@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import align, overlay, sequences
+from ..operators import align, formulas, overlay, segments, sequences
+from ..streaming import incremental
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -328,3 +329,52 @@ def rect_clusters(spark, sf_dir):
     """Events as boxes on pages of 20 users."""
     boxes = read(spark, sf_dir, "events").select((F.col("user_id") % 97).alias("page"), (F.col("event_id") % 600).cast("double").alias("x0"), F.col("value").alias("y0"))
     return align.rect_clusters(boxes.filter("y0 IS NOT NULL").select("page", "x0", "y0", (F.col("x0") + 10).alias("x1"), (F.col("y0") + 1).alias("y1")), 1.0)
+
+
+@query("""WITH RECURSIVE s AS (SELECT l_orderkey AS u, CAST(l_partkey % 20 AS INTEGER) AS n, l_quantity > 45 AS d, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_partkey % 20, l_quantity > 45) AS k FROM lineitem),
+f AS (SELECT u, k, CASE WHEN d OR n <= 12 THEN n END AS cur, d OR n <= 12 AS o FROM s WHERE k = 1
+UNION ALL SELECT u, k, CASE WHEN o THEN n ELSE cur END, o FROM (
+SELECT s.u, s.k, s.n, f.cur, s.d OR s.n = coalesce(f.cur, 0) + 1 OR s.n = 1 OR (f.cur IS NULL AND s.n <= 12) OR coalesce(s.n > f.cur AND s.n <= 15, false) AS o FROM f JOIN s ON s.u = f.u AND s.k = f.k + 1))
+SELECT u AS l_orderkey, CAST(k AS INTEGER) AS k, cur AS n FROM f WHERE o""")
+def item_openings(spark, sf_dir):
+    """Lines of an order as labels of a text."""
+    labels = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("unit"), "l_linenumber", "l_partkey", "l_suppkey", (F.col("l_partkey") % 20).cast("int").alias("n"), (F.col("l_quantity") > 45).alias("dotted"))
+    return segments.opened(labels, ["l_linenumber", "l_partkey", "l_suppkey"]).withColumnRenamed("unit", "l_orderkey")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE CASE WHEN l_partkey = 0 THEN l_linenumber * l_suppkey > 1e-9 ELSE abs(l_linenumber * l_suppkey - l_partkey) > 0.03 * l_partkey END")
+def arithmetic_slips(spark, sf_dir):
+    stated = F.concat("l_linenumber", F.lit(" * "), "l_suppkey", F.lit(" = "), "l_partkey")
+    return read(spark, sf_dir, "lineitem").filter(F.size(formulas.slips(stated)) > 0).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
+@query("""WITH f AS (SELECT DISTINCT l_orderkey AS k, l_linenumber AS i, 'y = ' || l_partkey || CASE WHEN l_quantity > 25 THEN ' + ' ELSE ' - ' END || 'x^' || l_suppkey AS f, 'y' || '=' || l_partkey || 'x' || l_suppkey AS b FROM lineitem)
+SELECT DISTINCT o.k AS l_orderkey, o.f AS "left", s.f AS "right" FROM f o JOIN f s ON o.k = s.k AND o.b = s.b AND o.i % 2 = 0 AND s.i % 2 = 1 AND o.f <> s.f WHERE length(o.f) >= 12 AND length(s.f) >= 12""")
+def formula_sign_variants(spark, sf_dir):
+    """Even lines of an order against odd ones."""
+    f = F.concat(F.lit("y = "), "l_partkey", F.when(F.col("l_quantity") > 25, " + ").otherwise(" - "), F.lit("x^"), "l_suppkey")
+    rows = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", f.alias("formula"))
+    return formulas.sign_variants(rows.filter("l_linenumber % 2 = 0"), rows.filter("l_linenumber % 2 = 1"), "l_orderkey", "formula")
+
+
+@query(r"SELECT doc_id, (length(text) - length(replace(text, '$', ''))) % 2 = 1 AS odd_dollars, length(replace(text, '}', '')) - length(replace(text, '{', '')) AS brace_gap, len(regexp_extract_all(text, '[\^_](?:[ \n$]|$)')) AS dangling FROM documents")
+def latex_balance(spark, sf_dir):
+    return read(spark, sf_dir, "documents").select("doc_id", *(c.alias(n) for n, c in formulas.latex_counts(F.col("text")).items()))
+
+
+@query("""WITH c AS (SELECT doc_id, length(l) - length(replace(l, ',', '')) AS c FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM documents)),
+s AS (SELECT doc_id, CAST(sum(k) AS BIGINT) AS n_rows, max(k) AS m FROM (SELECT doc_id, c, count(*) AS k FROM c WHERE c > 0 GROUP BY ALL) GROUP BY doc_id)
+SELECT doc_id, n_rows, n_rows - m AS n_off FROM s WHERE n_rows >= 3 AND n_rows - m > greatest(1, floor(n_rows / 3))""")
+def uneven_tables(spark, sf_dir):
+    """Lines with commas as rows."""
+    lines = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("unit"), F.explode(T.lines(F.col("text"))).alias("line"))
+    return formulas.uneven_tables(lines, ",").withColumnRenamed("unit", "doc_id")
+
+
+@query("SELECT strftime(ts, '%Y-%m-%d %H:00') AS hour, event_type, count(*) AS n FROM events WHERE ts IS NOT NULL GROUP BY ALL")
+def stream_hourly_counts(spark, sf_dir):
+    """The events file as a stream."""
+    schema = read(spark, sf_dir, "events").schema
+    stream = incremental.arriving(spark, sf_dir, schema, "parquet", "events.parquet").select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    counts = incremental.completed(spark, incremental.windowed_counts(stream, "ts", ["event_type"]), "hourly")
+    return counts.select(F.date_format("start", "yyyy-MM-dd HH:mm").alias("hour"), "event_type", "n")
