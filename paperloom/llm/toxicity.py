@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import slices, table, texts_of
+from .common import slices, staged, table, texts_of
 from .decontaminate import words
 
 #: Labelled documents that a model is fitted on, at most; a hash of their ids picks them.
@@ -121,9 +121,10 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, n_grad
     the most toxic counts."""
     spark = docs.sparkSession
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna().groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    known = staged(known, "toxicity-labels")
     total = known.count()
     part = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, max_train / max(1, total)))
-    picked = {r["doc_id"]: r["toxic"] for r in known.filter(part).limit(2 * max_train).toLocalIterator()}
+    picked = {r["doc_id"]: r["toxic"] for r in known.filter(part).limit(2 * max_train).collect()}
     chosen = spark.createDataFrame([(k,) for k in picked] or [(None,)], "doc_id long")  # 2 * max_train rows at most
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id", "left_semi").dropDuplicates(["doc_id"])
 
