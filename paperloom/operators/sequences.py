@@ -40,3 +40,15 @@ def islands(rows: DataFrame, unit: str, order: str, value: str) -> DataFrame:
 
 def occurrences(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return rows.withColumn("occurrence", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+
+
+def parent_stubs(rows: DataFrame, unit: str, order: list[str], label: str) -> DataFrame:
+    """rows with stub: whether the unit's next label lies below this one (2 before 2.1). A null label is no stub."""
+    following = F.lead(label).over(Window.partitionBy(unit).orderBy(*order))
+    return rows.withColumn("stub", F.coalesce(following.startswith(F.concat(label, F.lit("."))), F.lit(False)))
+
+
+def shared_answers(rows: DataFrame, unit: str, order: list[str], answer: str, width: int = 60) -> DataFrame:
+    """rows with shared: whether an earlier answer of the unit begins with the same `width` characters. Null answers share nothing."""
+    w = Window.partitionBy(unit, F.substring(answer, 1, width)).orderBy(*order)
+    return rows.withColumn("shared", F.col(answer).isNotNull() & (F.row_number().over(w) > 1))

@@ -378,3 +378,19 @@ def stream_hourly_counts(spark, sf_dir):
     stream = incremental.arriving(spark, sf_dir, schema, "parquet", "events.parquet").select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
     counts = incremental.completed(spark, incremental.windowed_counts(stream, "ts", ["event_type"]), "hourly")
     return counts.select(F.date_format("start", "yyyy-MM-dd HH:mm").alias("hour"), "event_type", "n")
+
+
+_LABEL = "CASE WHEN l_quantity > 25 THEN CAST(l_partkey % 3 AS {t}) ELSE CAST(l_partkey % 3 AS {t}) || '.' || l_linenumber END"
+
+
+@query(f"""SELECT l_orderkey, label, coalesce(starts_with(lead(label) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, label), label || '.'), false) AS stub
+FROM (SELECT *, {_LABEL.format(t='VARCHAR')} AS label FROM lineitem)""")
+def parent_stubs(spark, sf_dir):
+    """Lines of an order as labels of one or two parts."""
+    rows = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.expr(_LABEL.format(t="STRING")).alias("label"))
+    return sequences.parent_stubs(rows, "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey", "label"], "label").select("l_orderkey", "label", "stub")
+
+
+@query("SELECT conv_id, turn, text IS NOT NULL AND row_number() OVER (PARTITION BY conv_id, substr(text, 1, 60) ORDER BY turn) > 1 AS shared FROM conversations")
+def shared_answers(spark, sf_dir):
+    return sequences.shared_answers(read(spark, sf_dir, "conversations").select("conv_id", "turn", "text"), "conv_id", ["turn"], "text").select("conv_id", "turn", "shared")

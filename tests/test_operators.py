@@ -66,3 +66,12 @@ def test_monotone():
 def test_clusters(spark):
     df = spark.createDataFrame([(1, 0.0, 0.0, 1.0, 1.0), (1, 1.5, 0.0, 2.0, 1.0), (1, 9.0, 9.0, 10.0, 10.0)], "page long, x0 double, y0 double, x1 double, y1 double")
     assert sorted(r["n"] for r in align.rect_clusters(df, 0.6).collect()) == [1, 2]
+
+
+def test_stubs_and_shared_answers(spark):
+    from paperloom.operators import sequences
+
+    rows = spark.createDataFrame([("u", 1, "2", "same"), ("u", 2, "2.1", "same"), ("u", 3, None, None), ("v", 1, "2", "same"), ("v", 2, "21", None)], "u string, i int, label string, a string")
+    stubs = {(r["u"], r["i"]) for r in sequences.parent_stubs(rows, "u", ["i"], "label").collect() if r["stub"]}
+    shared = {(r["u"], r["i"]) for r in sequences.shared_answers(rows, "u", ["i"], "a").collect() if r["shared"]}
+    assert stubs == {("u", 1)} and shared == {("u", 2)}
