@@ -25,16 +25,20 @@ from .decontaminate import words
 #: Labelled documents that a model is fitted on, at most; a hash of their ids picks them.
 MAX_TRAIN = 12_000
 BITS = 20
-#: Features in fewer sampled documents than this, or with a smaller chi-square between presence and a grade above 0, get
-#: no weight: thousands of rare words would else drown the telling ones in long texts.
+#: Features in fewer sampled documents than this, or with a smaller correlation (phi) of presence with a grade above 0, get
+#: no weight: thousands of rare words would else drown the telling ones in long texts. The least phi, which doesn't depend on
+#: the sample's size, is picked from these by held-out labels, and without any that can be held out it is the last.
 MIN_DOCS = 4
-MIN_CHI2 = 60.0
+PHIS = (0.03, 0.05, 0.07, 0.1, 0.13, 0.17, 0.22, 0.3, 0.4, 0.6)
 #: ... or if they are less than e^1 times as frequent there as elsewhere: common words only tell a text's length.
 MIN_LOG_RATIO = 1.0
 GRADES = 3
 PREFIXES = (4, 5)
-#: A document is toxic from this P(grade > 0) on.
+#: A document is toxic from this P(grade > 0) on, if held-out labels don't speak for a larger one of CUTS, and if it holds a
+#: feature with a weight.
 TOXIC = 0.25
+CUTS = (TOXIC, 0.5, 0.75)
+FOLDS, FOLD_ROUNDS = 5, 300
 L2, ROUNDS, RATE = 1e-5, 1500, 0.05
 
 
@@ -48,17 +52,17 @@ def features(word: bytes) -> tuple[int, ...]:
 
 
 class Ordinal:
-    """weights by feature and ordered cuts."""
+    """weights by feature, ordered cuts, and the P(grade > 0) that makes a document toxic."""
 
-    def __init__(self, weights: np.ndarray, cuts: np.ndarray):
-        self.weights, self.cuts = weights, cuts
+    def __init__(self, weights: np.ndarray, cuts: np.ndarray, toxic: float = TOXIC):
+        self.weights, self.cuts, self.toxic = weights, cuts, toxic
 
     def tails(self, score: np.ndarray) -> np.ndarray:
         """P(grade > k) for each row and cut."""
         return 1 / (1 + np.exp(-np.clip(score[:, None] - self.cuts[None, :], -40, 40)))
 
 
-def fit(rows: np.ndarray, cols: np.ndarray, grades: np.ndarray, n_grades: int = GRADES) -> Ordinal:
+def fit(rows: np.ndarray, cols: np.ndarray, grades: np.ndarray, n_grades: int = GRADES, phi: float = PHIS[-1], rounds: int = ROUNDS) -> Ordinal:
     """Maximum likelihood with L2 by full gradients with Adam's steps; rows and cols list the present features, sorted by row."""
     used, index = np.unique(cols, return_inverse=True)
     n, k = len(grades), n_grades - 1
@@ -66,15 +70,15 @@ def fit(rows: np.ndarray, cols: np.ndarray, grades: np.ndarray, n_grades: int =
     df, on, total = np.bincount(index, minlength=len(used)).astype(float), np.bincount(index, high[rows], minlength=len(used)), high.sum()
     spread = np.maximum(df * (n - df) * total * (n - total), 1e-9)
     ratio = np.log((on + 0.5) / (total + 1)) - np.log((df - on + 0.5) / (n - total + 1))
-    keep = ((df >= MIN_DOCS) & (ratio >= MIN_LOG_RATIO) & (n * (on * n - df * total) ** 2 / spread >= MIN_CHI2))[index]
+    keep = ((df >= MIN_DOCS) & (ratio >= MIN_LOG_RATIO) & ((on * n - df * total) ** 2 / spread >= phi * phi))[index]
     rows, index = rows[keep], index[keep]
     w, cuts = np.zeros(len(used)), np.linspace(0.0, 1.0, k) if k else np.zeros(0)
     first, second = np.zeros(len(used) + k), np.zeros(len(used) + k)
     # severity classes are uneven: each counts the same in all, up to a factor
     counts = np.bincount(grades, minlength=n_grades)
     weight = np.sqrt(n / np.maximum(1, counts))[grades]
-    weight /= weight.mean()
-    for step in range(ROUNDS if n else 0):
+    weight /= weight.mean() if n else 1.0
+    for step in range(rounds if n else 0):
         score = np.bincount(rows, w[index], minlength=n)
         tail = 1 / (1 + np.exp(-np.clip(score[:, None] - cuts[None, :], -40, 40)))
         # P(grade) = tail[grade - 1] - tail[grade]
@@ -116,6 +120,45 @@ def severity(rows: np.ndarray, cols: np.ndarray, toxic: np.ndarray, n_grades: in
     return grades
 
 
+def held_out_choice(rows: np.ndarray, cols: np.ndarray, toxic: np.ndarray, n_grades: int = GRADES) -> tuple[float, float]:
+    """The least phi and the toxic P(grade > 0) for this sample, by models that are fitted without a fold and judged on it.
+
+    Of all pairs whose F1 is within a standard error of the best, the one that finds the most toxic documents; of equal ones
+    that with the better F1, then the larger phi and the smaller P."""
+    n, n_toxic = len(toxic), int(toxic.sum())
+    if n_toxic < 2 or n - n_toxic < 2:
+        return PHIS[-1], TOXIC
+    fold = np.empty(n, np.int64)
+    for value in (0, 1):
+        mine = np.flatnonzero(toxic == value)
+        fold[mine] = np.arange(len(mine)) % FOLDS
+    found = []
+    tails = np.zeros((len(PHIS), n))
+    for k in range(min(FOLDS, n)):
+        learned = fold != k
+        at = np.cumsum(learned) - 1
+        mine = learned[rows]
+        r, c = at[rows[mine]], cols[mine]
+        grades = severity(r, c, toxic[learned], n_grades)
+        for i, phi in enumerate(PHIS):
+            model = fit(r, c, grades, n_grades, phi, FOLD_ROUNDS)
+            w = model.weights[cols[~mine]]
+            score = np.bincount(rows[~mine], w, minlength=n)
+            holds = np.bincount(rows[~mine], w != 0, minlength=n) > 0
+            tails[i] = np.where(learned, tails[i], model.tails(score)[:, 0] * holds)
+    for i, phi in enumerate(PHIS):
+        for cut in CUTS:
+            marked = tails[i] >= cut
+            hits = int((marked & (toxic > 0)).sum())
+            found.append((2 * hits / (int(marked.sum()) + n_toxic), hits, phi, cut))
+    best = max(f for f, *_ in found)
+    if not best:
+        return PHIS[-1], TOXIC
+    least = best - np.sqrt(best * (1 - best) / n_toxic)
+    _, _, phi, cut = max((x for x in found if x[0] >= least), key=lambda x: (x[1], x[0], x[2], -x[3]))
+    return phi, cut
+
+
 def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, n_grades: int = GRADES) -> Ordinal:
     """Fits on at most about max_train labelled documents. Labels without id or value are ignored; of several labels of one document
     the most toxic counts."""
@@ -141,24 +184,26 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, n_grad
     rows = np.repeat(np.arange(len(got)), [len(c) for c in cols])
     flat = np.concatenate(cols).astype(np.int64) if got else np.zeros(0, np.int64)
     toxic = np.array([int(picked[r["doc_id"]] > 0) for r in got], np.int64)
-    return fit(rows, flat, severity(rows, flat, toxic, n_grades), n_grades)
+    phi, cut = held_out_choice(rows, flat, toxic, n_grades)
+    model = fit(rows, flat, severity(rows, flat, toxic, n_grades), n_grades, phi)
+    return Ordinal(model.weights, model.cuts, cut)
 
 
 _RESULTS = {"n_words": "long", "expected_severity": "double", "grade": "integer", "toxic": "boolean"}
 
 
 def scored(docs: DataFrame, model: Ordinal) -> DataFrame:
-    """docs(text, ...) with n_words, expected_severity, grade and toxic (P(grade > 0) >= TOXIC); columns of these names are replaced.
+    """docs(text, ...) with n_words, expected_severity, grade and toxic (P(grade > 0) from the model's cut on); columns of these names are replaced.
 
-    A null or empty text has no features. Repeated rows are scored each, null ids are kept, an empty table gives none."""
+    A null or empty text has no features, and no text without features that have a weight is toxic; the grade of those that aren't toxic is 0. Repeated rows are scored each, null ids are kept, an empty table gives none."""
     docs = docs.drop(*_RESULTS)
     schema = StructType(list(docs.schema.fields))
     for name, kind in _RESULTS.items():
         schema = schema.add(name, kind)
-    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.cuts))
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.cuts, model.toxic))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, cuts = shared.value
+        weights, cuts, cut = shared.value
         ordinal = Ordinal(weights, cuts)
 
         class Telling(dict):
@@ -175,8 +220,9 @@ def scored(docs: DataFrame, model: Ordinal) -> DataFrame:
             tokens = [words(t) for t in texts_of(batch, "text")]
             found = [{f for x in map(telling.__getitem__, set(t)) if x for f in x} for t in tokens]
             tails = ordinal.tails(np.array([sum(float(weights[f]) for f in sorted(x)) for x in found], np.float64))
-            toxic = tails[:, 0] >= TOXIC
-            grade = np.maximum((tails >= 0.5).sum(axis=1), toxic)
+            holds = np.array([bool(x) for x in found])
+            toxic = (tails[:, 0] >= cut) & holds
+            grade = np.where(toxic, np.maximum((tails >= 0.5).sum(axis=1), 1), 0)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([len(t) for t in tokens], pa.int64()), pa.array(tails.sum(axis=1)), pa.array(grade.astype(np.int32)), pa.array(toxic)],
                 names=[*batch.schema.names, *_RESULTS],
