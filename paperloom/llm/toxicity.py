@@ -33,6 +33,8 @@ PHIS = (0.03, 0.05, 0.07, 0.1, 0.13, 0.17, 0.22, 0.3, 0.4, 0.6)
 #: ... or if they are less than e^1 times as frequent there as elsewhere: common words only tell a text's length.
 MIN_LOG_RATIO = 1.0
 GRADES = 3
+#: Documents with one label are copies from this Jaccard similarity of their feature sets on.
+COPY = 0.8
 PREFIXES = (4, 5)
 #: A document is toxic from this P(grade > 0) on, if held-out labels don't speak for a larger one of CUTS, and if it holds a
 #: feature with a weight.
@@ -159,6 +161,35 @@ def held_out_choice(rows: np.ndarray, cols: np.ndarray, toxic: np.ndarray, n_gra
     return phi, cut
 
 
+def distinct(cols: list[np.ndarray], toxic: np.ndarray) -> tuple[list[int], np.ndarray]:
+    """The documents to learn from, and all labels as resolved: of documents with one and the same feature set the first stays,
+    toxic if any is; of those with one label, every later one whose sets' Jaccard similarity to one that stays is COPY or more
+    goes. Documents that are only alike and differ in their label all stay, for what tells them apart is what is to be learned.
+
+    Two such sets share one of each set's rarest (1 - COPY) features, so only those are looked up; every pair found is counted out."""
+    labels, first = np.array(toxic, np.int64), {}
+    for i, c in enumerate(cols):
+        j = first.setdefault(c.tobytes(), i)
+        labels[j] = max(labels[j], labels[i])
+    df = np.bincount(np.concatenate(cols), minlength=1 << BITS) if cols else None
+    stay, holders = [], {}
+    for i in first.values():
+        c, n, label = cols[i], len(cols[i]), int(labels[i])
+        rarest = [(label, f) for f in c[np.lexsort((c, df[c]))][: n - int(np.ceil(COPY * n - 1e-9)) + 1].tolist()]
+        near = False
+        for j in {j for f in rarest for j in holders.get(f, ())}:
+            m = len(cols[j])
+            if COPY * n <= m and COPY * m <= n:
+                both = len(np.intersect1d(c, cols[j], assume_unique=True))
+                if near := both >= COPY * (n + m - both):
+                    break
+        if not near:
+            stay.append(i)
+            for f in rarest:
+                holders.setdefault(f, []).append(i)
+    return stay, labels
+
+
 def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, n_grades: int = GRADES) -> Ordinal:
     """Fits on at most about max_train labelled documents. Labels without id or value are ignored; of several labels of one document
     the most toxic counts."""
@@ -178,12 +209,12 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, n_grad
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(t) for t in tokens], pa.int64()), pa.array(found, pa.binary())], names=["doc_id", "n", "cols"])
 
     got = sorted(sample.mapInArrow(run, "doc_id long, n long, cols binary").collect(), key=lambda r: r["doc_id"])
-    # of copies and near copies, which share their least hashes, one is learned from: else their rare words look telling
-    got = list({r["cols"][:12]: r for r in reversed(got)}.values())[::-1]
     cols = [np.frombuffer(r["cols"], np.int32) for r in got]
-    rows = np.repeat(np.arange(len(got)), [len(c) for c in cols])
-    flat = np.concatenate(cols).astype(np.int64) if got else np.zeros(0, np.int64)
-    toxic = np.array([int(picked[r["doc_id"]] > 0) for r in got], np.int64)
+    # of copies and near copies one is learned from: else their rare words look telling
+    stay, toxic = distinct(cols, np.array([int(picked[r["doc_id"]] > 0) for r in got], np.int64))
+    cols, toxic = [cols[i] for i in stay], toxic[stay]
+    rows = np.repeat(np.arange(len(cols)), [len(c) for c in cols])
+    flat = np.concatenate(cols).astype(np.int64) if cols else np.zeros(0, np.int64)
     phi, cut = held_out_choice(rows, flat, toxic, n_grades)
     model = fit(rows, flat, severity(rows, flat, toxic, n_grades), n_grades, phi)
     return Ordinal(model.weights, model.cuts, cut)

@@ -1,5 +1,7 @@
 """Cases in which an operator once did less than its whole job."""
 
+import numpy as np
+
 from paperloom.llm import common, toxicity
 
 
@@ -27,3 +29,19 @@ def test_no_features_is_not_toxic(spark):
     labels = spark.createDataFrame([(i, int(i < 5)) for i in range(20)], "doc_id long, toxic int")
     got = toxicity.scored(docs.union(spark.createDataFrame([(50, "")], docs.schema)), toxicity.train(docs, labels)).collect()
     assert len(got) == 21 and not any(r["toxic"] or r["grade"] for r in got)
+
+
+def test_only_true_copies_are_collapsed():
+    common_ = [1, 2, 3]  # the least features of unrelated texts
+    sets = [[*common_, *range(100, 140)], [*common_, *range(200, 240)], [*common_, *range(100, 140)], [*common_, *range(200, 239)], [*common_, *range(200, 238)], []]
+    cols = [np.array(s, np.int32) for s in sets]
+    stay, toxic = toxicity.distinct(cols, np.array([0, 0, 1, 0, 1, 0]))
+    assert stay == [0, 1, 4, 5] and toxic[stay].tolist() == [1, 0, 1, 0]
+    assert toxicity.distinct([], np.array([], np.int64))[0] == []
+
+
+def test_toxicity_learns_from_unrelated_texts(spark, monkeypatch):
+    sizes = []
+    monkeypatch.setattr(toxicity, "fit", lambda rows, cols, grades, *a, fit=toxicity.fit: sizes.append(len(grades)) or fit(rows, cols, grades, *a))
+    labelled(spark, "sf0.1")
+    assert sizes[-1] > 3700
