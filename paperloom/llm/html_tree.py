@@ -1,8 +1,8 @@
 """Main text of HTML pages by tree scoring.
 
 A page becomes a tree of elements. Paragraphs pass points for length and commas to their ancestors, less to farther
-ones; an element's points are discounted by its link density. The best container and those of its siblings that look
-like content are kept, and parts that are never content (menus, forms, comments, ...) are left out by tag, role or
+ones; an element's points are discounted by its link density. The best container is kept with all beside it that isn't
+mostly links, and so upwards as long as what is kept is most of the text; parts that are never content (menus, forms, comments, ...) are left out by tag, role or
 class. Text is emitted block by block in page order.
 """
 
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html as html_lib
 import re
+from collections import deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -37,7 +38,8 @@ BAD = frozenset(
 )
 GOOD = frozenset("article articlebody body content main post entry story text page hentry".split())
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
-#: A sibling of the best container is kept from this share of its points on, or as a paragraph of text.
+#: A sibling of the best container is kept if less than SIBLING_LINKS of its text is in links; beside an article element only
+#: from a share of its points on, or as a paragraph of text.
 SIBLING_SHARE, SIBLING_CHARS, SIBLING_LINKS = 0.2, 80, 0.25
 
 
@@ -162,8 +164,8 @@ def _walk(root: Node) -> list[Node]:
     return out
 
 
-def main_nodes(root: Node) -> list[Node]:
-    """The best container with those of its siblings that are kept, in page order."""
+def main_nodes(root: Node) -> list[Node | str | None]:
+    """The best container with what is kept beside it and above, in page order; None ends a block."""
     nodes, size, links, inline = [], {}, {}, {}
     todo = [root]
     while todo:
@@ -205,18 +207,49 @@ def main_nodes(root: Node) -> list[Node]:
         up = up.parent
     if best.parent is None or best.tag == "main":
         return [best]
+    if best.tag != "article":
+        return _beside(best, size, links)
     kept = []
     for y in best.parent.items:
         if y.__class__ is not Node or y.skip:
             continue
         text_like = y.tag in ("p", "pre", "blockquote") and (size[id(y)] > SIBLING_CHARS and density(y) < SIBLING_LINKS)
-        heading = y.tag in ("h1", "h2") and best.tag not in ("article",)
-        if y is best or text_like or heading or (score[id(y)] >= SIBLING_SHARE * score[id(best)] > 0 and (y.tag == best.tag or best.tag != "article") and density(y) < SIBLING_LINKS):
+        if y is best or text_like or (score[id(y)] >= SIBLING_SHARE * score[id(best)] > 0 and y.tag == best.tag and density(y) < SIBLING_LINKS):
             kept.append(y)
     return kept
 
 
-def blocks(nodes: list[Node]) -> list[str]:
+def _beside(best: Node, size: dict[int, int], links: dict[int, int]) -> list[Node | str | None]:
+    """What is kept of the best container's parent, and of each ancestor of which that is at least half the text. Texts and inline
+    elements that stand together are judged as one, so that a link inside a sentence stays."""
+    here, kept, length = best, deque([best, None]), size[id(best)]
+    while here.parent is not None and (here is best or 2 * length >= size[id(here.parent)]):
+        before: list[Node | str | None] = []
+        after: list[Node | str | None] = []
+        out = before
+        runs: list[list[Node | str]] = [[]]
+        for y in here.parent.items:
+            if y.__class__ is Node and (y is here or y.tag in BLOCK):
+                runs += [[y], []]
+            elif y.__class__ is str or not y.skip:
+                runs[-1].append(y)
+        for run in runs:
+            if run == [here]:
+                out = after
+                continue
+            total = sum(len(" ".join(y.split())) if y.__class__ is str else size.get(id(y), 0) for y in run)
+            linked = sum(links.get(id(y), 0) for y in run if y.__class__ is Node)
+            heading = len(run) == 1 and run[0].__class__ is Node and not run[0].skip and run[0].tag in ("h1", "h2")
+            if total and (heading or linked < SIBLING_LINKS * total):
+                out += [*run, None]
+                length += total
+        kept.extendleft(reversed(before))
+        kept.extend(after)
+        here = here.parent
+    return list(kept)
+
+
+def blocks(nodes: list[Node | str | None]) -> list[str]:
     out: list[str] = []
     run: list[str] = []
 

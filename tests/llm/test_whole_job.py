@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from paperloom.llm import common, toxicity
+from paperloom.llm import common, html_tree, toxicity
 
 
 def labelled(spark, size):
@@ -45,3 +45,14 @@ def test_toxicity_learns_from_unrelated_texts(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "fit", lambda rows, cols, grades, *a, fit=toxicity.fit: sizes.append(len(grades)) or fit(rows, cols, grades, *a))
     labelled(spark, "sf0.1")
     assert sizes[-1] > 3700
+
+
+def test_html_keeps_what_stands_beside_the_best_container():
+    long_ = ["Long text, with commas, and more, words here. " * 8, "Second text, with commas, and more, too. " * 8]
+    section = "".join(f"<p>{x}</p>" for x in long_)
+    page = (
+        '<div id="top"><a href="/">Home</a> <a href="/b">All pages</a></div><h1>Title</h1><div><p>Short intro.</p>Bare text with a <a href="x">link</a> inside it'
+        f'<div class="section">{section}</div><nav>no</nav><ul><li>one<li>two</ul><ul><li><a href="1">elsewhere</a><li><a href="2">and there</a></ul><h3>End</h3><p>Short end.</p></div><div class="footer"><p>no</p></div>'
+    )
+    assert html_tree.main_text(page).split("\n") == ["Title", "Short intro.", "Bare text with a link inside it", *(x.strip() for x in long_), "one", "two", "End", "Short end."]
+    assert html_tree.main_text("<div>some text, here " * 20000 + "deep").count("some") == 20000
