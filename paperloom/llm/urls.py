@@ -30,8 +30,6 @@ BLOCKED_HOSTS = ("ads-track.example.org", "casino-win.example.org", "cheap-pills
 #: Bits of a level at most (2 GB of keys' worth); a longer list raises ValueError.
 MAX_BITS = 1 << 31
 FIRST_BITS, FIRST_PROBES, NEXT_BITS, NEXT_PROBES = 12, 6, 3, 2
-#: A DNS name has at most 127 labels; further ones on the left name no listed host.
-MAX_LABELS = 127
 
 
 def host_of(url: Column) -> Column:
@@ -59,9 +57,13 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return (rule, verdict) if rule is not None else (F.lit(None).cast("string"), F.lit(None).cast("string"))
 
 
-def host_keys(host: Column) -> Column:
-    """The host and its parent domains, at most MAX_LABELS; empty for no host."""
-    labels = F.least(F.size(F.split(host, r"\.")), F.lit(MAX_LABELS))
+def n_labels(host: Column) -> Column:
+    return F.size(F.split(host, r"\."))
+
+
+def host_keys(host: Column, most: int) -> Column:
+    """The host and its parent domains, those of at most `most` labels; empty for no host."""
+    labels = F.least(n_labels(host), F.lit(most))
     keys = F.transform(F.sequence(F.lit(1), labels), lambda i: F.call_function("substring_index", host, F.lit("."), -i))
     return F.when(host == "", F.array().cast("array<string>")).otherwise(keys)
 
@@ -156,8 +158,11 @@ def judge(pages: DataFrame, blocked: DataFrame, rules=RULES) -> DataFrame:
     rows without page_id too. Empty tables and lists are allowed; other columns are ignored."""
     spark = pages.sparkSession
     base = pages.select(F.col("page_id").cast("long").alias("page_id"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    keyed = base.withColumn("keys", host_keys(F.col("host")))
-    cascade = spark.sparkContext.broadcast(build(blocked.select(ascii_lower(F.col("key")).alias("key")), keyed.select(F.explode("keys").alias("key"))))
+    listed = blocked.select(ascii_lower(F.col("key")).alias("key"))
+    # no key has more labels than the longest that is listed
+    most = listed.filter(F.col("key").isNotNull()).agg(F.max(n_labels(F.col("key")))).first()[0] or 1
+    keyed = base.withColumn("keys", host_keys(F.col("host"), most))
+    cascade = spark.sparkContext.broadcast(build(listed, keyed.select(F.explode("keys").alias("key"))))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     ready = keyed.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("_verdict"), F.transform("keys", hashed).alias("h")).select(
         "page_id", "host", "path", "rule", "_verdict", F.col("h.a").alias("a"), F.col("h.b").alias("b")

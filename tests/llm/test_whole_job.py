@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from paperloom.llm import common, html_tree, toxicity
+from paperloom.llm import common, html_tree, toxicity, urls
 
 
 def labelled(spark, size):
@@ -56,3 +56,11 @@ def test_html_keeps_what_stands_beside_the_best_container():
     )
     assert html_tree.main_text(page).split("\n") == ["Title", "Short intro.", "Bare text with a link inside it", *(x.strip() for x in long_), "one", "two", "End", "Short end."]
     assert html_tree.main_text("<div>some text, here " * 20000 + "deep").count("some") == 20000
+
+
+def test_listed_hosts_of_many_labels(spark):
+    long_ = ".".join(f"l{i}" for i in range(200)) + ".org"
+    hosts = [long_, "m." + long_, "x" + long_, long_.split(".", 1)[1], "b.com", "a.b.com"]
+    pages = spark.createDataFrame([(i, f"http://{h}/") for i, h in enumerate(hosts)], "page_id long, url string")
+    got = {r["page_id"]: r["listed"] for r in urls.judge(pages, spark.createDataFrame([(long_,), ("b.com",), (None,)], "key string")).collect()}
+    assert got == {0: True, 1: True, 2: False, 3: False, 4: True, 5: True}
