@@ -24,10 +24,17 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id of each class of near copies. Ids identify documents; rows without one stay."""
-    found = jaccard_join.near_duplicates(docs)
-    extra = common.staged(found.filter("class_id <> doc_id").select("doc_id").distinct(), "near-copies")
-    return common.joined_small(docs, extra, ["doc_id"], "left_anti", F.col("doc_id")).select(*docs.columns)
+    """One row of each class of near copies: that with the least doc_id, one with an id before those without. Rows are told apart
+    by a number of their own, so that repeated and null ids neither save nor remove a row."""
+    rows = common.staged(docs.withColumn("_row", F.monotonically_increasing_id()), "near-copies-rows")
+    found = jaccard_join.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text")).select(F.col("doc_id").alias("_row"), "class_id")
+    size = found.groupBy("class_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("class_id")
+    many = common.staged(common.joined_small(found, common.staged(size, "near-copies-classes"), ["class_id"], "left_semi", F.col("_row")), "near-copies-members")
+    named = common.joined_small(rows.select("_row", F.col("doc_id").cast("long").alias("_id")), many, ["_row"], "inner", F.col("_row"))
+    order = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row"))
+    stays = common.staged(named.groupBy("class_id").agg(F.min(order).alias("m")).select(F.col("m.row").alias("_row")), "near-copies-stay")
+    extra = common.staged(common.joined_small(many, stays, ["_row"], "left_anti", F.col("_row")).select("_row"), "near-copies")
+    return common.joined_small(rows, extra, ["_row"], "left_anti", F.col("_row")).select(*docs.columns)
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

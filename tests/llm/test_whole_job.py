@@ -1,7 +1,10 @@
 """Cases in which an operator once did less than its whole job."""
 
+import random
+
 import numpy as np
 
+import corpus_pipeline
 from paperloom.llm import common, html_tree, toxicity, urls
 
 
@@ -64,3 +67,15 @@ def test_listed_hosts_of_many_labels(spark):
     pages = spark.createDataFrame([(i, f"http://{h}/") for i, h in enumerate(hosts)], "page_id long, url string")
     got = {r["page_id"]: r["listed"] for r in urls.judge(pages, spark.createDataFrame([(long_,), ("b.com",), (None,)], "key string")).collect()}
     assert got == {0: True, 1: True, 2: False, 3: False, 4: True, 5: True}
+
+
+def test_one_row_of_each_class_of_near_copies(spark):
+    rng = random.Random(9)
+    a, b, c = (" ".join(f"w{rng.randrange(3000)}" for _ in range(200)) for _ in range(3))
+    rows = [(None, a + " x"), (7, a), (7, a), (3, a + " y"), (3, b), (None, c), (None, c + " z"), (None, None), (9, "short"), (9, "short")]
+    docs = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, k int")
+    got = corpus_pipeline.join_near_copies(spark, docs, "")
+    assert got.columns == docs.columns
+    kept = sorted(r["k"] for r in got.collect())
+    assert kept[:2] == [3, 4] and len(set(kept) & {5, 6}) == 1 and set(kept) >= {7} and not set(kept) & {0, 1, 2}
+    assert corpus_pipeline.join_near_copies(spark, docs.limit(0), "").count() == 0
