@@ -71,27 +71,99 @@ def test_warc_rejects_magic_in_payloads(spark):
     assert all(got[k]["record_type"] == "response" for k in (1, 3, 4, 5, 6, None))
 
 
-def test_language_model(spark):
+def plain_log10(model, head, text, counts, others):
+    """score() of a text by its definition: softmaxes in plain loops, in doubles."""
+    import math
+
+    ids = maxent_lm.Ids(head)
+    flat = np.array([ids[t] for t in text], np.int32)
+    context, total = maxent_lm.contexts(flat, np.array([0])), 0.0
+    for i, (token, item) in enumerate(zip(text, flat.tolist())):
+        table = 0
+        for level, features in enumerate(maxent_lm.FEATURES):
+            node = int(model.classes.node[level, item])
+            if node < 0:
+                break
+            at = (node + 1) * int(maxent_lm._TWO) & 0xFFFFFFFF
+            x = model.classes.bias[node].astype(float)
+            for k in range(features):
+                row = ((int(context[k, i]) ^ at) * int(maxent_lm._THREE) & 0xFFFFFFFF) >> (32 - model.bits)
+                x = x + model.weights[table + k, row]
+            total += (x[model.classes.place[level, item]] - math.log(sum(math.exp(v) for v in x))) / math.log(10)
+            table += features
+        total += model.classes.last[item] / math.log(10)
+        if item >= len(head):
+            total += math.log10((counts[token] + 0.1) / others[item - len(head)])
+    return total
+
+
+def test_language_model(spark, monkeypatch):
     import math
     from collections import Counter
 
+    models, trained = [], maxent_lm.train
+    monkeypatch.setattr(maxent_lm, "train", lambda *a: models.append(trained(*a)) or models[-1])
+    monkeypatch.setattr(maxent_lm, "LEAST", 20)
     rng = random.Random(2)
-    rows = [(i, " ".join(words(rng, rng.randrange(60), 50)) if i else None) for i in range(120)]
-    got = maxent_lm.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    text = {i: maxent_lm.tokens((t or "").encode()) for i, t in rows}
-    c = Counter(t for i, d in text.items() if zlib.crc32(str(i).encode()) % 10 for t in d)
+    rows = [(i, " ".join(words(rng, rng.randrange(60), 50) + [f"rare{i}"] * (i % 3)) if i else None) for i in range(120)] + [(None, "no id"), (7, "twice"), (7, "twice")]
+    got = maxent_lm.score(spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, row string")).collect()
+    assert len(got) == len(rows)
+    text = {i: maxent_lm.tokens((t or "").encode()) for i, t in rows[:120] if i != 7}
+    learned = [maxent_lm.tokens((t or "").encode()) for i, t in rows if zlib.crc32(str("" if i is None else i).encode()) % 10]
+    c = Counter(t for d in learned for t in d)
     n, v = sum(c.values()), len(c)
+    head = [t for t, k in sorted(c.items(), key=lambda x: (-x[1], x[0])) if k >= maxent_lm.HEAD_COUNT]
+    others = np.full(maxent_lm.OTHERS, maxent_lm.SMOOTH)
+    for t in set(c) - set(head):
+        others[maxent_lm.other(t)] += c[t] + maxent_lm.SMOOTH
+    assert models[0].weights.any()
     for r in got:
-        d = text[r["doc_id"]]
-        assert r["train_tokens"] == n and r["n_tokens"] == len(d) and r["n_known"] == sum(t in c for t in d)
-        assert abs(r["base_score"] - sum(math.log10((c[t] + 0.1) / (n + 0.1 * (v + 1))) for t in d)) < 1e-6
-        assert r["score"] < 0
+        if r["doc_id"] in text:
+            d = text[r["doc_id"]]
+            assert r["train_tokens"] == n and r["n_tokens"] == len(d) and r["n_known"] == sum(t in c for t in d)
+            assert abs(r["base_score"] - sum(math.log10((c[t] + 0.1) / (n + 0.1 * (v + 1))) for t in d)) < 1e-6
+            # score() sends weights in half precision, as train() averages them
+            assert abs(r["score"] - plain_log10(models[0], head, d, c, others)) < 2e-3 * len(d)
 
 
-def test_class_probabilities_sum_to_one():
-    w = np.random.default_rng(0).normal(size=(3 * maxent_lm.ROWS, maxent_lm.CLASSES)).astype(np.float32)
-    f = maxent_lm.contexts(np.array([1, 2, 3, 4]), np.array([0, 2]))
-    assert np.allclose(np.exp(maxent_lm.log_softmax(w, np.zeros(maxent_lm.CLASSES, np.float32), f)).sum(axis=1), 1, atol=1e-4)
+def test_model_learns_from_contexts_and_survives_odd_tables(spark):
+    rng = random.Random(3)
+    after = {f"w{i}": f"w{(7 * i + 3) % 40}" for i in range(40)}
+
+    def chain(k):
+        out = [f"w{rng.randrange(40)}"]
+        while len(out) < k:
+            out.append(after[out[-1]] if rng.random() < 0.9 else f"w{rng.randrange(40)}")
+        return " ".join(out)
+
+    rows = [(i, chain(80)) for i in range(400)]
+    held = [r for r in maxent_lm.score(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r["held_out"]]
+    assert held and all(r["score"] > 0.75 * r["base_score"] for r in held)  # nearer to 0 by a quarter
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert maxent_lm.score(empty).count() == 0
+    none = maxent_lm.score(spark.createDataFrame([(None, "never learned"), (None, None)], "doc_id long, text string")).collect()
+    assert all(r["train_tokens"] == r["n_known"] == 0 and r["held_out"] and r["score"] < 0 for r in none)
+    long_ = maxent_lm.score(spark.createDataFrame([(1, "w " * 1_000_000), (2, "w")], "doc_id long, text string")).collect()
+    assert {r["n_tokens"] for r in long_} == {1_000_001, 2}
+
+
+def test_probabilities_of_all_words_sum_to_one():
+    rng = np.random.default_rng(0)
+    head = [f"w{i}".encode() for i in range(900)]
+    mass = np.concatenate([np.sort(rng.pareto(1.0, 900))[::-1] * 300 + 3, rng.random(maxent_lm.OTHERS) * 100])
+    classes = maxent_lm.Classes(head, mass)
+    model = maxent_lm.Model(classes, 12, rng.normal(size=(sum(maxent_lm.FEATURES) << 12, maxent_lm.FANOUT)))
+    items = np.arange(len(mass), dtype=np.int32)
+    context = np.repeat(maxent_lm.contexts(np.array([5, 9, 0], np.int32), np.array([0]))[:, 2:], len(mass), axis=1)
+    assert (classes.node[1] >= 0).any() and abs(np.exp(model.log_probs(items, context)).sum() - 1) < 1e-4
+    assert np.allclose(np.exp(maxent_lm.Model(classes, 12).log_probs(items, context)), mass / mass.sum(), rtol=1e-3)
+
+
+def test_sums_by_row():
+    rng = np.random.default_rng(1)
+    rows, x = rng.integers(0, 40, 3000).astype(np.uint16) ** 2 % 97, rng.normal(size=(3000, 16)).astype(np.float32)
+    row, n, sums = maxent_lm.summed(rows, x)
+    assert n.sum() == 3000 and all(np.allclose(s, x[rows == r].sum(axis=0), atol=1e-3) and k == (rows == r).sum() for r, k, s in zip(row, n, sums))
 
 
 def test_licenses(spark):
