@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Hashes, mix64, slices, staged, table, texts_of
+from .common import Hashes, columns, mix64, packed, prefix, slices, staged, table, texts_of, unpacked
 
 SPAN, K = 13, 7
 WINDOW = SPAN - K + 1
@@ -174,7 +174,7 @@ def _hits(docs: DataFrame, items: list[tuple[str | None, bytes]]) -> DataFrame:
                     pa.array([len(t) for t in tokens], pa.int64()),
                     pa.array([[a for a, _ in s] for s in spans], pa.list_(pa.int64())),
                     pa.array([[b for _, b in s] for s in spans], pa.list_(pa.int64())),
-                    pa.array([sorted({index.ids[i] for i in n if index.ids[i] is not None}) for _, n in found], pa.list_(pa.string())),
+                    pa.array([list({index.ids[i] for i in n}) for _, n in found], pa.list_(pa.string())),
                 ],
                 names=["doc_id", "n_words", "starts", "ends", "items"],
             )
@@ -190,14 +190,15 @@ def _summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = batch.to_pylist()
         spans = [merged(zip(r["starts"], r["ends"])) for r in rows]
         hit = [sum(b - a for a, b in s) for s in spans]
-        items = [sorted(set(r["items"]), key=lambda x: x.encode()) for r in rows]
+        items = [set(r["items"]) for r in rows]
+        names = [sorted((x for x in i if x is not None), key=lambda x: x.encode()) for i in items]
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0),
                 batch.column(1),
                 pa.array(hit, pa.int64()),
                 pa.array([len(i) for i in items], pa.int64()),
-                pa.array([hashlib.sha256(",".join(i).encode()).hexdigest() for i in items]),
+                pa.array([hashlib.sha256(",".join(i).encode()).hexdigest() for i in names]),
                 pa.array([h > 0 and SHARE * h >= r["n_words"] for h, r in zip(hit, rows)]),
             ],
             names=[x.split()[0] for x in _OUT.split(", ")],
@@ -216,13 +217,16 @@ def _block(items: DataFrame, blocks: int, number: int) -> list[tuple[str | None,
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs(doc_id, text, ...) that are not contaminated, with all their columns."""
+    """The rows of docs(doc_id, text, ...) that are not contaminated, with all their columns. Each row is judged by its own text."""
     items, blocks = _blocks(benchmark)
     if blocks > 1:
-        rows = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "decontam-rows")
-        bad = contamination(rows.select(F.col("_row").alias("doc_id"), "text"), benchmark).filter("contaminated").select(F.col("doc_id").alias("_row"))
-        return rows.join(bad, "_row", "left_anti").select(*docs.columns)
+        row = prefix(docs) + "row"
+        rows = staged(docs.withColumn(row, F.monotonically_increasing_id()), "decontam-rows")
+        judged = contamination(rows.select(F.col(row).alias("doc_id"), "text"), benchmark)
+        bad = staged(judged.filter("contaminated").select(F.col("doc_id").alias(row)), "decontam-bad")
+        return rows.join(bad, row, "left_anti").select(*columns(docs))
     shared = docs.sparkSession.sparkContext.broadcast(_block(items, blocks, 0))
+    mine = packed(docs, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, hashes = Index(shared.value), Hashes()
@@ -231,15 +235,15 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             hit = [sum(b - a for a, b in merged(s)) for s, _ in index.scan(tokens, hashes)]
             yield batch.filter(pa.array([not (h > 0 and SHARE * h >= len(t)) for h, t in zip(hit, tokens)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return unpacked(mine.mapInArrow(run, mine.schema), docs, "text")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per row of docs(doc_id, text): n_words, n_hit, n_items, items_sha256, contaminated.
 
-    Nulls: a null text has no words; a null item text has none; items without an id hit words but are not counted.
-    Texts without words are never contaminated. Rows with equal ids stay separate rows as long as the benchmark fits one
-    block; over several blocks they are told apart by their position. Items with equal ids count once. Empty tables give empty or clean
+    Nulls: a null text has no words; a null item text has none; items without an id hit words and are together one nameless item.
+    Texts without words are never contaminated. Texts of any length are scanned whole. A document with exactly a 20th of its words hit is
+    contaminated. Rows with equal ids stay separate rows. Items with equal ids count once. Empty tables give empty or clean
     results. Other columns are ignored."""
     items, blocks = _blocks(benchmark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -247,19 +251,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     if blocks == 1:
         hits = _hits(docs, block(0))
     else:
-        # one pass over the documents for each block of items; a document's rows are told apart by id and text
-        docs = docs.withColumn("_row", F.monotonically_increasing_id())
-        ids = staged(docs.select("_row", "doc_id"), "decontam-ids")
-        keyed = docs.select(F.col("_row").alias("doc_id"), "text")
+        # one pass over the documents for each block of items; rows are told apart by a number that is staged with them
+        rows = staged(docs.withColumn("row", F.monotonically_increasing_id()), "decontam-ids")
         parts = None
         for b in range(blocks):
-            found = _hits(keyed, block(b))
+            found = _hits(rows.select(F.col("row").alias("doc_id"), "text"), block(b))
             parts = found if parts is None else parts.unionByName(found)
         hits = (
             parts.groupBy("doc_id")
             .agg(F.max("n_words").alias("n_words"), *(F.flatten(F.collect_list(c)).alias(c) for c in ("starts", "ends", "items")))
-            .withColumnRenamed("doc_id", "_row")
-            .join(ids, "_row")
+            .withColumnRenamed("doc_id", "row")
+            .join(rows.select("row", "doc_id"), "row")
             .select("doc_id", "n_words", "starts", "ends", "items")
         )
     return hits.mapInArrow(_summary, _OUT)

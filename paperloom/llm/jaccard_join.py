@@ -1,13 +1,13 @@
 """Similarity self-join of documents on word 5-grams (Jaccard >= 0.8) by chosen paths.
 
 In each of several runs a set goes into the buckets of its CHOICES least tokens under the run's hash: sampled tokens
-that similar sets share. Buckets of more than SMALL sets are split on further sampled tokens, up to DEPTH levels; what stays large
-then is a group of sets that share a whole path, and is compared block by block. The number of runs is the
-least that reaches RECALL for a pair at the threshold. Inside a bucket, sketches rule out pairs that are far from
+that similar sets share. Buckets of more than SMALL sets are split on further tokens sampled from the whole sets, up to DEPTH levels; what
+stays large then is a group of sets that share a whole path, and is compared block by block. The number of runs is the
+least that reaches RECALL for a pair at the threshold whose buckets are split on all levels. Inside a bucket, sketches rule out pairs that are far from
 similar; the rest is decided by exact intersections of whole sets. A pair is compared in the first bucket it shares only, so
 counts of links are exact, and no pair is ever a row: buckets give each set its number of links and a spanning forest.
 
-Equal sets are joined first (by a 128-bit digest), so copies cost one set.
+Equal sets are joined first (by a 128-bit digest), so copies cost one set. Rows are told apart by a number of their own.
 """
 
 from __future__ import annotations
@@ -21,20 +21,21 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Hashes, joined_small, mix64, slices, staged, table, texts_of
+from .common import Hashes, dropped, joined_small, mix64, slices, staged, table, texts_of
 
 N, THRESHOLD, RECALL = 5, 0.8, 0.9999
 CHOICES, SMALL, DEPTH = 2, 400, 3
+#: Sets of a block of a group that stays large.
+BLOCK = 1000
 SKETCH = 64
 #: Common sketch entries of a pair at the threshold: 51 of 64 expected, 3.2 standard deviation.
 SKETCH_SHARE = 0.5
-NO_ID = -(1 << 63)
 
 
-def runs_for(recall: float = RECALL, threshold: float = THRESHOLD) -> int:
+def runs_for(recall: float = RECALL, threshold: float = THRESHOLD, depth: int = DEPTH) -> int:
     """Runs after which a pair at the threshold has shared a bucket with this probability, if a level is passed with about 1 - (1 - t)^CHOICES
-    and buckets are split once."""
-    once = (1 - (1 - threshold) ** CHOICES) ** 2
+    and its buckets are split on all levels."""
+    once = (1 - (1 - threshold) ** CHOICES) ** (depth + 1)
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - once)))
 
 
@@ -64,57 +65,73 @@ def choose(tokens: np.ndarray, salt: int, path: int) -> list[int]:
     return mix64(least, 977 + salt).view(np.int64).tolist()
 
 
-_SETS = "doc_id long, digest binary, node long, n int, sketch binary, buckets array<long>"
+_SETS = "row long, doc_id long, node long, digest binary, n int, sketch binary, buckets array<long>"
 
 
-def describe(docs: DataFrame, runs: int) -> DataFrame:
+def describe(rows: DataFrame, runs: int) -> DataFrame:
+    """rows(row, doc_id, text) with a node, the mixed row number, and the digest, size, sketch and first buckets of their sets."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
         for batch in slices(batches, "text"):
             sets = [shingles(t, hashes) for t in texts_of(batch, "text")]
-            names = [digest(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
-                    pa.array(names, pa.binary()),
-                    pa.array([int.from_bytes(d[:8], "little", signed=True) for d in names], pa.int64()),
+                    *batch.columns[:2],
+                    pa.array(mix64(batch.column(0).to_numpy().view(np.uint64)).view(np.int64)),
+                    pa.array([digest(s) for s in sets], pa.binary()),
                     pa.array([len(s) for s in sets], pa.int32()),
                     pa.array([(s[:SKETCH] >> np.uint64(32)).astype(np.uint32).tobytes() for s in sets], pa.binary()),
                     pa.array([sorted({b for r in range(runs) for b in choose(s, r, 0)}) if len(s) else [] for s in sets], pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "digest", "node", "n", "sketch", "buckets"],
+                names=["row", "doc_id", "node", "digest", "n", "sketch", "buckets"],
             )
 
-    return docs.mapInArrow(run, _SETS)
+    return rows.mapInArrow(run, _SETS)
 
 
-def _split(rows: DataFrame, level: int) -> DataFrame:
-    """(node, bucket) below the large buckets of rows(node, bucket, sketch)."""
+def whole_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, set) of wanted(node, row), from the texts of rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            nodes, buckets = [], []
-            for node, bucket, sketch in zip(*(c.to_pylist() for c in batch.columns)):
-                for b in choose(np.frombuffer(sketch, np.uint32).astype(np.uint64), 100 + level, bucket & 0xFFFFFFFFFFFFFFFF):
-                    nodes.append(node)
-                    buckets.append(b)
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(buckets, pa.int64())], names=["node", "bucket"])
+        hashes = Hashes()
+        for batch in slices(batches, "text"):
+            found = [shingles(t, hashes).tobytes() for t in texts_of(batch, "text")]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["node", "set"])
 
-    return rows.mapInArrow(run, "node long, bucket long").distinct()
+    return joined_small(rows.select("row", "text"), wanted.select("node", "row"), ["row"], "inner").select("node", "text").mapInArrow(run, "node long, set binary")
 
 
-def paths(classes: DataFrame, small: int = SMALL, depth: int = DEPTH) -> DataFrame:
+def _split(large: DataFrame, level: int) -> DataFrame:
+    """(node, bucket) below the buckets of large(set, node, buckets)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "set"):
+            nodes, found = [], []
+            for data, node, buckets in zip(*(c.to_pylist() for c in batch.columns)):
+                tokens = np.frombuffer(data, np.uint64)
+                below = {b for path in buckets for b in choose(tokens, 100 + level, path & 0xFFFFFFFFFFFFFFFF)}
+                nodes += [node] * len(below)
+                found += below
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(found, pa.int64())], names=["node", "bucket"])
+
+    return large.select("set", "node", "buckets").mapInArrow(run, "node long, bucket long")
+
+
+def paths(classes: DataFrame, rows: DataFrame, small: int = SMALL, depth: int = DEPTH) -> DataFrame:
     """(node, bucket, c): the buckets of two or more sets at which the recursion ends, with their sizes."""
-    rows, done = classes.select("node", F.explode("buckets").alias("bucket")), None
+    live_rows, done, sets = classes.select("node", F.explode("buckets").alias("bucket")), None, None
     for level in range(depth + 1):
-        counts = staged(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "join-counts")
-        live = staged(joined_small(rows, counts, ["bucket"], "inner", F.col("node")), "join-rows")
+        counts = staged(live_rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "join-counts")
+        live = staged(joined_small(live_rows, counts, ["bucket"], "inner"), "join-rows")
         ended = live if level == depth else live.filter(F.col("c") <= small)
         done = ended if done is None else done.unionByName(ended)
-        large = live.filter(F.col("c") > small)
-        if level == depth or not large.take(1):
+        if level == depth or not live.filter(F.col("c") > small).take(1):
             return done
-        rows = staged(_split(large.join(classes.select("node", "sketch"), "node").select("node", "bucket", "sketch"), level), "join-split")
+        large = staged(live.filter(F.col("c") > small).groupBy("node").agg(F.collect_list("bucket").alias("buckets")), "join-large")
+        if sets is None:
+            sets = staged(whole_sets(rows, staged(large.select("node").join(classes.select("node", "row"), "node"), "join-large-rows")), "join-large-sets")
+        live_rows = staged(_split(sets.join(large, "node"), level), "join-split")
     return done
 
 
@@ -161,23 +178,46 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _first(where: list[list[int]], blocks: list[int], halves: tuple[int, int], bucket: int, i: int, j: int) -> bool:
-    """Whether this is the pair's bucket: the first that both are in, largest buckets first, and in it the block pair of their blocks.
-    The pairs of a group of near copies so meet in few of the group's buckets."""
-    if tuple(sorted((blocks[i], blocks[j]))) != halves:
-        return False
-    other = set(where[j])
-    return next(b for b in where[i] if b in other) == bucket
+def owned(part: pa.Table) -> np.ndarray:
+    """Which pairs of a group's rows belong to it: those whose first common bucket this is, largest buckets first, and in it those of the
+    group's two blocks. The pairs of a group of near copies so meet in few of the group's buckets."""
+    m, bucket = part.num_rows, part.column("bucket")[0].as_py()
+    before: dict[int, list[int]] = {}
+    for i, where in enumerate(part.column("paths").to_pylist()):
+        for b in where[: where.index(bucket)]:
+            before.setdefault(b, []).append(i)
+    out = np.ones((m, m), bool)
+    for rows in before.values():
+        if len(rows) > 1:
+            out[np.ix_(rows, rows)] = False
+    if part.column("x")[0].as_py() != part.column("y")[0].as_py():
+        block = part.column("block").to_numpy()
+        out &= block[:, None] != block[None, :]
+    out[np.arange(m), np.arange(m)] = False
+    return out
+
+
+def least_connected(pairs: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    """For each row the least node that it is connected with."""
+    order = np.argsort(nodes)
+    rank = np.empty(len(nodes), np.int32)
+    rank[order] = np.arange(len(nodes))
+    while True:
+        least = np.minimum(rank, np.where(pairs, rank[None, :], len(nodes)).min(axis=1)).astype(np.int32)
+        least = np.minimum(least, least[order][least])  # what its least neighbour has
+        if (least == rank).all():
+            return nodes[order][rank]
+        rank = least
 
 
 _ROW = "group string, bucket long, x int, y int, block int, node long, n int, sketch binary, paths array<long>"
 
 
-def _dealt(final: DataFrame, classes: DataFrame, small: int) -> DataFrame:
+def _dealt(final: DataFrame, classes: DataFrame, small: int, block: int = BLOCK) -> DataFrame:
     """Rows for each bucket; those of large ones for each pair of blocks that theirs is in."""
     listed = final.groupBy("node").agg(F.sort_array(F.collect_set(F.struct("c", "bucket")), asc=False).alias("p"))
     rows = classes.select("node", "n", "sketch").join(listed, "node").select("node", "n", "sketch", F.col("p.bucket").alias("paths"), F.explode("p").alias("b"))
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("b.c") / small)).cast("int")
+    blocks = F.when(F.col("b.c") <= small, 1).otherwise(F.ceil(F.col("b.c") / block)).cast("int")
     rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     x, y = F.least("block", "other").cast("int"), F.greatest("block", "other").cast("int")
@@ -200,18 +240,12 @@ def candidates(dealt: DataFrame, threshold: float) -> DataFrame:
                 continue
             least = np.minimum(small, SKETCH)
             near &= overlaps([np.unique(s) for s in sketches]) >= SKETCH_SHARE * least
-            i, j = np.nonzero(np.triu(near, 1))
-            if not len(i):
+            near[np.arange(m), np.arange(m)] = False
+            if not near.any():
                 continue
-            where, blocks = part.column("paths").to_pylist(), part.column("block").to_pylist()
-            bucket, halves = part.column("bucket")[0].as_py(), (part.column("x")[0].as_py(), part.column("y")[0].as_py())
-            needed: set[int] = set()
-            for a, b in zip(i.tolist(), j.tolist()):
-                if (a not in needed or b not in needed) and _first(where, blocks, halves, bucket, a, b):
-                    needed |= {a, b}
-            if needed:
-                keep = part.take(pa.array(sorted(needed))).select(["node", "group", "bucket", "x", "y", "block", "paths"])
-                yield from keep.combine_chunks().to_batches()
+            needed = np.flatnonzero((near & owned(part)).any(axis=1))
+            if len(needed):
+                yield from part.take(pa.array(needed)).select(["node", "group", "bucket", "x", "y", "block", "paths"]).combine_chunks().to_batches()
 
     return dealt.repartition("group").sortWithinPartitions("group").mapInArrow(run, "node long, group string, bucket long, x int, y int, block int, paths array<long>")
 
@@ -231,82 +265,61 @@ def verified(rows: DataFrame, threshold: float) -> DataFrame:
             n = np.array([len(s) for s in sets])
             common = overlaps(sets)
             near = common >= threshold * (n[:, None] + n[None, :] - common) - 1e-6
-            where, blocks, nodes = part.column("paths").to_pylist(), part.column("block").to_pylist(), part.column("node").to_pylist()
-            copies = part.column("copies").to_pylist()
-            bucket, halves = part.column("bucket")[0].as_py(), (part.column("x")[0].as_py(), part.column("y")[0].as_py())
-            links, up = [0] * m, list(range(m))
-
-            def root(a: int) -> int:
-                while up[a] != a:
-                    up[a] = up[up[a]]
-                    a = up[a]
-                return a
-
-            for a, b in zip(*(x.tolist() for x in np.nonzero(np.triu(near, 1)))):
-                if _first(where, blocks, halves, bucket, a, b):
-                    links[a] += copies[b]
-                    links[b] += copies[a]
-                    a, b = root(a), root(b)
-                    if a != b:
-                        up[max(a, b, key=lambda i: nodes[i])] = min(a, b, key=lambda i: nodes[i])
-            keep = [a for a in range(m) if links[a]]
-            if keep:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([nodes[a] for a in keep], pa.int64()), pa.array([nodes[root(a)] for a in keep], pa.int64()), pa.array([links[a] for a in keep], pa.int64())],
-                    names=["node", "root", "n_links"],
-                )
+            near &= owned(part)
+            copies, nodes = part.column("copies").to_numpy(), part.column("node").to_numpy()
+            keep = np.flatnonzero(near.any(axis=1))
+            if len(keep):
+                roots = least_connected(near, nodes)[keep]
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[keep]), pa.array(roots), pa.array([int(copies[near[a]].sum()) for a in keep.tolist()], pa.int64())], names=["node", "root", "n_links"])
 
     return rows.repartition("group").sortWithinPartitions("group").mapInArrow(run, _LINK)
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of edges(a, b): each round maps nodes to their least neighbour and contracts; ids are hashes, so few rounds do."""
+    spark = edges.sparkSession
     nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
     roots = staged(nodes.withColumn("root", F.col("node")), "components")
     edges = staged(edges.filter("a <> b").distinct(), "edges")
     while edges.take(1):
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = staged(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), "least")
-        roots = staged(roots.join(least, roots["root"] == least["a"], "left").select("node", F.coalesce("m", "root").alias("root")), "components")
+        moved = staged(roots.join(least, roots["root"] == least["a"], "left").select("node", F.coalesce("m", "root").alias("root")), "components")
         ends = edges.join(least.withColumnRenamed("m", "ma"), "a").join(least.select(F.col("a").alias("b"), F.col("m").alias("mb")), "b")
-        edges = staged(ends.filter("ma <> mb").select(F.least("ma", "mb").alias("a"), F.greatest("ma", "mb").alias("b")).distinct(), "edges")
+        fewer = staged(ends.filter("ma <> mb").select(F.least("ma", "mb").alias("a"), F.greatest("ma", "mb").alias("b")).distinct(), "edges")
+        for old in (roots, edges, least):
+            dropped(spark, old)
+        roots, edges = moved, fewer
     return roots
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, small: int = SMALL, depth: int = DEPTH) -> DataFrame:
-    """One row per row of docs(doc_id, text): doc_id, class_id, n_links, n_copies.
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, small: int = SMALL, depth: int = DEPTH, block: int = BLOCK, numbered: bool = False) -> DataFrame:
+    """One row per row of docs(doc_id, text): doc_id, class_id, n_links, n_copies. `numbered` says that docs is staged and its ids
+    are unique and not null; else rows are numbered in a staged copy.
 
     class_id is the least doc_id of the documents connected by links, n_links the number of other documents with a Jaccard
     similarity of at least `threshold`, exact copies among them; n_copies the number of documents with the same set.
     A null text has no words; documents without words have no links and are classes of their own. Rows without doc_id take part, and a class of such rows only has a
-    null class_id; rows with equal ids are separate documents. An empty table gives none; other columns are ignored."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = staged(describe(docs, runs_for(recall, threshold)), "join-sets")
+    null class_id; rows with equal ids are separate documents. A pair exactly at the threshold is linked. Texts of any length are compared
+    whole. An empty table gives none; other columns are ignored.
+
+    Distinct texts of one group of near copies are compared with each other once, in blocks, for the numbers of links are exact: this grows with the
+    square of such a group's distinct texts, spread over many tasks."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = docs.withColumn("row", F.col("doc_id")) if numbered else staged(docs.withColumn("row", F.monotonically_increasing_id()), "join-numbered")
+    rows = rows.select("row", "doc_id", "text")
+    sets = staged(describe(rows, runs_for(recall, threshold, depth)), "join-sets")
     grouped = sets.filter("n > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("first"), F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("_id"), F.count(F.lit(1)).alias("copies"), *(F.first(c).alias(c) for c in ("node", "n", "sketch", "buckets"))
+        F.min("doc_id").alias("first"), F.min(F.struct("node", "row")).alias("r"), F.count(F.lit(1)).alias("copies"), *(F.first(c).alias(c) for c in ("n", "sketch", "buckets"))
     )
-    classes = staged(grouped, "join-classes")
-    dealt = _dealt(paths(classes, small, depth), classes, small)
+    classes = staged(grouped.select("digest", "first", "r.node", "r.row", "copies", "n", "sketch", "buckets"), "join-classes")
+    dealt = _dealt(paths(classes, rows, small, depth), classes, small, block)
     wanted = staged(candidates(dealt, threshold), "join-candidates")
     per_node = wanted.groupBy("node").agg(F.first("paths").alias("paths"), F.collect_list(F.struct("group", "bucket", "x", "y", "block")).alias("groups"))
-    needed = staged(per_node.join(classes.select("node", "_id", "copies"), "node"), "join-needed")
-
-    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes()
-        for batch in slices(batches, "text"):
-            found = [shingles(t, hashes) for t in texts_of(batch, "text")]
-            same = [int.from_bytes(digest(s)[:8], "little", signed=True) == k for s, k in zip(found, batch.column(2).to_pylist())]
-            out = pa.Table.from_batches([batch]).drop_columns(["_id", "text"]).append_column("set", pa.array([s.tobytes() for s in found], pa.binary()))
-            yield from out.filter(pa.array(same)).combine_chunks().to_batches()
-
-    texts = joined_small(docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), "text"), needed, ["_id"], "inner", F.xxhash64("text"), salts=8)
-    made = texts.select("_id", "text", "node", "paths", "groups", "copies").mapInArrow(
-        sets_of, "node long, paths array<long>, groups array<struct<group:string,bucket:long,x:int,y:int,block:int>>, copies long, set binary"
-    )
-    # rows with equal ids and texts give the same set twice
-    dealt_sets = made.select("node", "paths", "copies", "set", F.explode("groups").alias("g")).select("node", "paths", "copies", "set", "g.*")
-    once = dealt_sets if not _repeats(docs) else dealt_sets.dropDuplicates(["node", "group"])
-    links = staged(verified(once, threshold), "join-links")
+    needed = staged(per_node.join(classes.select("node", "row", "copies"), "node"), "join-needed")
+    made = whole_sets(rows, staged(needed.select("node", "row"), "join-needed-rows"))
+    spread = made.join(needed.select("node", "copies", "paths", "groups"), "node").select("node", "paths", "copies", "set", F.explode("groups").alias("g"))
+    links = staged(verified(spread.select("node", "paths", "copies", "set", "g.*"), threshold), "join-links")
     roots = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
     degree = links.groupBy("node").agg(F.sum("n_links").alias("linked"))
     named = roots.join(degree, "node", "left").join(classes.select("node", "digest", "first", "copies"), "node")
@@ -314,7 +327,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     linked = named.join(least, "root").select("digest", "class_id", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "copies")
     alone = classes.filter("copies > 1").join(linked.select("digest"), "digest", "left_anti").select("digest", F.col("first").alias("class_id"), (F.col("copies") - 1).alias("n_links"), "copies")
     result = staged(linked.unionByName(alone), "join-result")
-    out = joined_small(sets.select("doc_id", "digest", "n"), result, ["digest"], "left", F.xxhash64("doc_id"))
+    out = joined_small(sets.select("doc_id", "digest", "n"), result, ["digest"], "left")
     known = F.col("copies").isNotNull()
     return out.select(
         "doc_id",
@@ -324,10 +337,5 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     )
 
 
-def _repeats(docs: DataFrame) -> bool:
-    ids = docs.select("doc_id")
-    return bool(ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").take(1))
-
-
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))

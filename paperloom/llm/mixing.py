@@ -14,12 +14,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mix64, staged, table
+from .common import columns, mix64, prefix, staged, table
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 MOST_COPIES = 2.0
-GROUP_ROWS = 20_000
+#: Documents of a group at most, about, and groups whose unsettled documents go into one of the next level.
+GROUP_ROWS = 2_000
 FAN_IN = 256
 MAX_SOURCES = 1_000_000
 
@@ -93,14 +94,12 @@ def _settler(level: int, last: bool):
     return lambda pdf: settle(pdf, level, last)
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST_COPIES) -> DataFrame:
-    """One row per row of docs(doc_id, text, source): doc_id, size, source, source_size, target, taken, copies.
+_COPIES = ("size", "source", "source_size", "target", "taken", "copies")
 
-    Nulls: a null text has size 0, a null source is a source of its own, a null doc_id is a document like others.
-    Rows with equal ids are separate documents. Documents without words take nothing. An empty table gives none.
-    Other columns are ignored. Sources are a catalogue: more than MAX_SOURCES of them raise ValueError."""
-    spark = docs.sparkSession
-    rows = staged(docs.select("doc_id", F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size")), "mix-sizes")
+
+def _rounded(rows: DataFrame, weights, share: float, most: float) -> DataFrame:
+    """Staged rows(row, source, size, key) with source_size, target, taken and copies."""
+    spark = rows.sparkSession
     found = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n")).limit(MAX_SOURCES + 1).collect()
     if len(found) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
@@ -108,17 +107,16 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
     target = targets(sizes, weights, share, most)
     plan = [(r["source"], r["source_size"], float(target[r["source"]]), max(1, -(-r["n"] // GROUP_ROWS))) for r in found]
     catalogue = spark.createDataFrame(plan, "source string, source_size long, target double, groups long")
-    side = F.broadcast(catalogue.withColumnRenamed("source", "_source"))
+    side = F.broadcast(catalogue.withColumnRenamed("source", "_source"))  # MAX_SOURCES rows at most
     joined = rows.join(side, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    key = F.xxhash64(F.col("doc_id"), F.col("source"), F.col("size"))
     level0 = (
-        joined.withColumn("key", key)
-        .withColumn("_x", F.least(expected, F.lit(float(most))))
+        joined.withColumn("_x", F.least(expected, F.lit(float(most))))
         .withColumn("copies", F.floor("_x").cast("long"))
         .withColumn("p", F.col("_x") - F.col("copies"))
-        .withColumn("node", F.pmod(F.xxhash64("key"), F.col("groups")))
-        .drop("_x")
+        # rows without an id are dealt by their place as well: a third of all rows may be such rows with one text
+        .withColumn("node", F.pmod(F.xxhash64("key", F.when(F.col("spread"), F.col("row"))), F.col("groups")))
+        .drop("_x", "spread")
     )
     schema = level0.schema
     final, level, widest = [], 0, max((p[3] for p in plan), default=1)
@@ -135,7 +133,41 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
     out = final[0]
     for more in final[1:]:
         out = out.unionByName(more)
-    return out.select("doc_id", "size", "source", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+    return out.withColumn("taken", F.col("copies") * F.col("size"))
+
+
+def _sized(docs: DataFrame, row: Column) -> DataFrame:
+    text = F.col("text").cast("string")
+    return docs.select(
+        row.alias("row"),
+        F.col("doc_id"),
+        F.col("source").cast("string").alias("source"),
+        n_words(text).alias("size"),
+        F.xxhash64("doc_id", "source", text).alias("key"),
+        F.col("doc_id").isNull().alias("spread"),
+    )
+
+
+def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST_COPIES) -> DataFrame:
+    """One row per row of docs(doc_id, text, source): doc_id, size, source, source_size, target, taken, copies.
+
+    Nulls: a null text has size 0, a null source is a source of its own, a null doc_id is a document like others.
+    Rows with equal ids are separate documents. Documents without words take nothing. Texts of any length count whole. Ties:
+    equal rows are interchangeable, others are ordered by a hash of id, source and text. An empty table gives none.
+    Other columns are ignored. Sources are a catalogue: more than MAX_SOURCES of them raise ValueError."""
+    rows = staged(_sized(docs, F.monotonically_increasing_id()), "mix-sizes")
+    return _rounded(rows, weights, share, most).select("doc_id", *_COPIES)
+
+
+def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST_COPIES) -> DataFrame:
+    """The rows of docs as in mix(), with all their columns and size, source_size, target, taken and copies; a column of docs with
+    one of these names keeps its name and its value, and the result's is left out."""
+    row = prefix(docs) + "row"
+    rows = staged(docs.withColumn(row, F.monotonically_increasing_id()), "mix-rows")
+    own = {c.lower() for c in docs.columns}
+    more = [c for c in _COPIES if c.lower() not in own]
+    result = _rounded(staged(_sized(rows, F.col(row)), "mix-sizes"), weights, share, most).select(F.col("row").alias(row), *more)
+    return rows.join(result, row).select(*columns(docs), *more)
 
 
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,6 +24,8 @@ from .decontaminate import words
 
 #: Labelled documents that a model is fitted on, at most; a hash of their ids picks them.
 MAX_TRAIN = 12_000
+#: ... and features that they hold together, so that very long texts don't fill the driver.
+MAX_FEATURES = 16_000_000
 BITS = 20
 #: Features in fewer sampled documents than this, or with a smaller correlation (phi) of presence with a grade above 0, get
 #: no weight: thousands of rare words would else drown the telling ones in long texts. The least phi, which doesn't depend on
@@ -66,20 +68,20 @@ class Ordinal:
 
 def fit(rows: np.ndarray, cols: np.ndarray, grades: np.ndarray, n_grades: int = GRADES, phi: float = PHIS[-1], rounds: int = ROUNDS) -> Ordinal:
     """Maximum likelihood with L2 by full gradients with Adam's steps; rows and cols list the present features, sorted by row."""
-    used, index = np.unique(cols, return_inverse=True)
-    n, k = len(grades), n_grades - 1
+    n, k, size = len(grades), n_grades - 1, 1 << BITS
     high = (grades > 0).astype(float)
-    df, on, total = np.bincount(index, minlength=len(used)).astype(float), np.bincount(index, high[rows], minlength=len(used)), high.sum()
+    df, on, total = np.bincount(cols, minlength=size).astype(float), np.bincount(cols, high[rows], minlength=size), high.sum()
     spread = np.maximum(df * (n - df) * total * (n - total), 1e-9)
     ratio = np.log((on + 0.5) / (total + 1)) - np.log((df - on + 0.5) / (n - total + 1))
-    keep = ((df >= MIN_DOCS) & (ratio >= MIN_LOG_RATIO) & ((on * n - df * total) ** 2 / spread >= phi * phi))[index]
-    rows, index = rows[keep], index[keep]
+    telling = (df >= MIN_DOCS) & (ratio >= MIN_LOG_RATIO) & ((on * n - df * total) ** 2 / spread >= phi * phi)
+    used, keep = np.flatnonzero(telling), telling[cols]
+    rows, index = rows[keep], (np.cumsum(telling) - 1)[cols[keep]]
     w, cuts = np.zeros(len(used)), np.linspace(0.0, 1.0, k) if k else np.zeros(0)
     first, second = np.zeros(len(used) + k), np.zeros(len(used) + k)
     # severity classes are uneven: each counts the same in all, up to a factor
     counts = np.bincount(grades, minlength=n_grades)
     weight = np.sqrt(n / np.maximum(1, counts))[grades]
-    weight /= weight.mean() if n else 1.0
+    weight = weight / weight.mean() if n else weight
     for step in range(rounds if n else 0):
         score = np.bincount(rows, w[index], minlength=n)
         tail = 1 / (1 + np.exp(-np.clip(score[:, None] - cuts[None, :], -40, 40)))
@@ -99,7 +101,7 @@ def fit(rows: np.ndarray, cols: np.ndarray, grades: np.ndarray, n_grades: int =
         move = RATE * first / (1 - 0.9 ** (step + 1)) / (np.sqrt(second / (1 - 0.999 ** (step + 1))) + 1e-9)
         w += move[: len(used)]
         cuts = np.maximum.accumulate(cuts + move[len(used) :] + np.arange(k) * 1e-6)
-    weights = np.zeros(1 << BITS, np.float32)
+    weights = np.zeros(size, np.float32)
     weights[used] = w
     return Ordinal(weights, cuts)
 
@@ -190,31 +192,38 @@ def distinct(cols: list[np.ndarray], toxic: np.ndarray) -> tuple[list[int], np.n
     return stay, labels
 
 
-def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, n_grades: int = GRADES) -> Ordinal:
-    """Fits on at most about max_train labelled documents. Labels without id or value are ignored; of several labels of one document
-    the most toxic counts."""
+def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, n_grades: int = GRADES, max_features: int = MAX_FEATURES) -> Ordinal:
+    """Fits on the labelled documents that come first by a hash of their ids: max_train and max_features of their words' features at
+    most. Labels without id or value are ignored; of several labels of one document the most toxic counts, of several texts the
+    least; labels of documents that aren't there take no place. Reruns pick the same."""
     spark = docs.sparkSession
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna().groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = staged(known, "toxicity-labels")
-    total = known.count()
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, max_train / max(1, total)))
-    picked = {r["doc_id"]: r["toxic"] for r in known.filter(part).limit(2 * max_train).collect()}
-    chosen = spark.createDataFrame([(k,) for k in picked] or [(None,)], "doc_id long")  # 2 * max_train rows at most
-    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    there = known.join(docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    chosen = staged(there.orderBy(*order).limit(max_train), "toxicity-labels")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")  # max_train rows
+    sample = texts.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            tokens = [words(t) for t in texts_of(batch, "text")]
+        for batch in slices(batches, 2):
+            tokens = [words(t) for t in texts_of(batch, 2)]
             found = [np.array(sorted({f for w in set(t) for f in features(w)}), np.int32).tobytes() for t in tokens]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(t) for t in tokens], pa.int64()), pa.array(found, pa.binary())], names=["doc_id", "n", "cols"])
-
-    got = sorted(sample.mapInArrow(run, "doc_id long, n long, cols binary").collect(), key=lambda r: r["doc_id"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array([len(f) // 4 for f in found], pa.int64()), pa.array(found, pa.binary())], names=["doc_id", "toxic", "n", "cols"])
+
+    made = staged(sample.mapInArrow(run, "doc_id long, toxic int, n long, cols binary"), "toxicity-features")
+    sizes = [(r["doc_id"], r["n"]) for r in made.select("doc_id", "n").orderBy(*order).collect()]  # max_train rows
+    within = np.cumsum([n for _, n in sizes]) <= max_features
+    if len(sizes) and not within.all():
+        picked = spark.createDataFrame([(d,) for (d, _), ok in zip(sizes, within) if ok] or [(None,)], "doc_id long")
+        made = made.join(F.broadcast(picked), "doc_id", "left_semi")
+    got = sorted(made.select("doc_id", "toxic", "cols").collect(), key=lambda r: r["doc_id"])  # max_features numbers
     cols = [np.frombuffer(r["cols"], np.int32) for r in got]
     # of copies and near copies one is learned from: else their rare words look telling
-    stay, toxic = distinct(cols, np.array([int(picked[r["doc_id"]] > 0) for r in got], np.int64))
+    stay, toxic = distinct(cols, np.array([int(r["toxic"] > 0) for r in got], np.int64))
     cols, toxic = [cols[i] for i in stay], toxic[stay]
-    rows = np.repeat(np.arange(len(cols)), [len(c) for c in cols])
-    flat = np.concatenate(cols).astype(np.int64) if cols else np.zeros(0, np.int64)
+    rows = np.repeat(np.arange(len(cols), dtype=np.int32), [len(c) for c in cols])
+    flat = np.concatenate(cols).astype(np.int32) if cols else np.zeros(0, np.int32)
+    del got, cols
     phi, cut = held_out_choice(rows, flat, toxic, n_grades)
     model = fit(rows, flat, severity(rows, flat, toxic, n_grades), n_grades, phi)
     return Ordinal(model.weights, model.cuts, cut)
@@ -226,9 +235,10 @@ _RESULTS = {"n_words": "long", "expected_severity": "double", "grade": "integer"
 def scored(docs: DataFrame, model: Ordinal) -> DataFrame:
     """docs(text, ...) with n_words, expected_severity, grade and toxic (P(grade > 0) from the model's cut on); columns of these names are replaced.
 
-    A null or empty text has no features, and no text without features that have a weight is toxic; the grade of those that aren't toxic is 0. Repeated rows are scored each, null ids are kept, an empty table gives none."""
+    A null or empty text has no features, and no text without features that have a weight is toxic; the grade of those that aren't toxic is 0.
+    A document exactly at the cut is toxic. Texts of any length are read whole. Repeated rows are scored each, null ids are kept, an empty table gives none."""
     docs = docs.drop(*_RESULTS)
-    schema = StructType(list(docs.schema.fields))
+    schema, at = StructType(list(docs.schema.fields)), docs.columns.index("text")
     for name, kind in _RESULTS.items():
         schema = schema.add(name, kind)
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.cuts, model.toxic))
@@ -247,8 +257,8 @@ def scored(docs: DataFrame, model: Ordinal) -> DataFrame:
                 return x
 
         telling = Telling()
-        for batch in slices(batches, "text"):
-            tokens = [words(t) for t in texts_of(batch, "text")]
+        for batch in slices(batches, at):
+            tokens = [words(t) for t in texts_of(batch, at)]
             found = [{f for x in map(telling.__getitem__, set(t)) if x for f in x} for t in tokens]
             tails = ordinal.tails(np.array([sum(float(weights[f]) for f in sorted(x)) for x in found], np.float64))
             holds = np.array([bool(x) for x in found])

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import joined_small, new_path, staged, table
@@ -23,6 +23,8 @@ from .common import joined_small, new_path, staged, table
 MAGIC, END = "WARC/1.1\r\n", "\r\n\r\n"
 #: Payloads of so many bytes are stored once.
 LEAST = 100
+#: Offsets are joined within buckets of 2^16 bytes.
+BUCKET_BITS = 16
 _LENGTH = re.compile(rb"(?:^|\r\n)content-length:[ \t]*([0-9]{1,18})[ \t]*(?=\r\n)", re.I)
 
 
@@ -32,7 +34,7 @@ def with_firsts(pages: DataFrame, least: int = LEAST) -> DataFrame:
     rows = rows.withColumns({"payload_bytes": F.octet_length("payload").cast("long"), "payload_digest": F.sha2(F.col("payload").cast("binary"), 256)})
     groups = rows.filter(F.col("payload_bytes") >= least).groupBy("payload_digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
     firsts = staged(groups.filter("n > 1 AND first IS NOT NULL").select("payload_digest", "first"), "warc-firsts")
-    marked = joined_small(rows, firsts, ["payload_digest"], "left", F.xxhash64("page_id", "url"))
+    marked = joined_small(rows, firsts, ["payload_digest"], "left")
     return marked.withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))).drop("first")
 
 
@@ -144,11 +146,8 @@ def reachable(found: DataFrame) -> DataFrame:
     spark = found.sparkSession
     ranges = staged(found.groupBy("file", "start").agg(F.sum("size").alias("size")), "warc-ranges")
     # ranges of one file in order: few and narrow rows, whatever the records' size
-    before = ranges.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("start", "size"))).alias("r"))
-    bases = before.select("file", F.posexplode("r").alias("i", "r"), F.col("r").alias("all")).select(
-        "file", F.col("r.start").alias("start"), F.aggregate(F.slice("all", 1, F.col("i")), F.lit(0).cast("long"), lambda s, x: s + x["size"]).alias("base")
-    )
-    bases = staged(bases, "warc-bases")
+    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    bases = staged(ranges.select("file", "start", F.coalesce(F.sum("size").over(before), F.lit(0)).cast("long").alias("base")), "warc-bases")
     placed = found.join(bases, ["file", "start"])
     # the first piece of a file is what is before its first magic: its chain starts behind it
     entry = placed.filter("start = 0 AND seq = 0").select("file", F.col("size").alias("at"))
@@ -188,7 +187,12 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     # records with magic in their payload: their pieces are read again and put together
     spans = broken.select("file", F.col("offset").alias("lo"), (F.col("base") + F.col("next") - len(MAGIC)).alias("hi"))
     pieces = found.join(true.select("file", "start", "base").distinct(), ["file", "start"])
-    owned = pieces.join(spans, "file").filter("base + at - 10 >= lo AND base + at - 10 < hi").select("file", "start", "seq", "lo", "n_bytes")
+    # a piece meets the records that reach into its bucket of offsets only
+    bucket = lambda c: F.shiftright(c, BUCKET_BITS)
+    spans = spans.withColumn("bucket", F.explode(F.sequence(bucket(F.col("lo")), bucket(F.col("hi") - 1))))
+    offset = F.col("base") + F.col("at") - len(MAGIC)
+    placed = pieces.withColumn("offset", offset).withColumn("bucket", bucket(F.greatest("offset", F.lit(0))))
+    owned = placed.join(spans, ["file", "bucket"]).filter("offset >= lo AND offset < hi").select("file", "start", "seq", "lo", "n_bytes")
     owned = staged(owned, "warc-pieces")
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,7 +205,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers, pa.int64())], names=["value", "file", "start", "seq"])
 
     values = _pieces(spark, path).mapInArrow(numbered, "value binary, file string, start long, seq long")
-    mine = joined_small(values, owned.dropDuplicates(["file", "start", "seq"]), ["file", "start", "seq"], "inner", F.col("seq"))
+    mine = joined_small(values, owned.dropDuplicates(["file", "start", "seq"]), ["file", "start", "seq"], "inner")
 
     def whole(part: pa.Table) -> pa.Table:
         part = part.sort_by([("start", "ascending"), ("seq", "ascending")])
@@ -211,7 +215,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         return pa.table({"file": part.column("file")[:1], "offset": part.column("lo")[:1], "_bytes": pa.array([len(body)]), "_digest": pa.array([hashlib.sha256(body).hexdigest()])})
 
     fixed = staged(mine.groupBy("file", "lo").applyInArrow(whole, "file string, offset long, _bytes long, _digest string"), "warc-fixed")
-    return joined_small(true, fixed, ["file", "offset"], "left", F.col("offset")).withColumns({"n_bytes": F.coalesce("_bytes", "n_bytes"), "digest": F.coalesce("_digest", "digest")}).drop("_bytes", "_digest")
+    return joined_small(true, fixed, ["file", "offset"], "left").withColumns({"n_bytes": F.coalesce("_bytes", "n_bytes"), "digest": F.coalesce("_digest", "digest")}).drop("_bytes", "_digest")
 
 
 def _page(c: str) -> Column:
@@ -226,7 +230,7 @@ def resolved(records: DataFrame) -> DataFrame:
     full = staged(rows.filter("record_type = 'response'").join(wanted, ["page_id", "digest"], "left_semi").groupBy("page_id", "digest").agg(F.max("n_bytes").alias("_bytes")), "warc-full")
     right = full.select(F.col("page_id").alias("_page"), F.concat(F.lit("sha256:"), "digest").alias("stated"), "_bytes", F.col("digest").alias("_digest"))
     keyed = rows.withColumn("_page", F.col("refers_to"))
-    out = joined_small(keyed, right, ["_page", "stated"], "left", F.xxhash64("page_id"))
+    out = joined_small(keyed, right, ["_page", "stated"], "left")
     revisit = F.col("record_type") == "revisit"
     return out.select(
         "page_id",

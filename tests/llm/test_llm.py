@@ -1,5 +1,6 @@
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -221,6 +222,27 @@ def test_mixing(spark, odd, monkeypatch):
     assert mixing.mix(odd).count() == len(ODD) and mixing.mix(odd.limit(0)).count() == 0
 
 
+def brute_classes(texts):
+    """(links, class, copies) of each text by all pairs; class is the least place of the connected ones."""
+    sets = [frozenset(tuple(t[i : i + 5]) for i in range(max(1, len(t) - 4))) if t else frozenset() for t in texts]
+    links, up = [0] * len(sets), list(range(len(sets)))
+
+    def root(a):
+        while up[a] != a:
+            a = up[a]
+        return a
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and sets[j] and len(a & sets[j]) >= 0.8 * len(a | sets[j]) - 1e-9:
+                links[i] += 1
+                links[j] += 1
+                x, y = sorted((root(i), root(j)))
+                up[y] = x
+    copies = Counter(sets)
+    return [(root(i), links[i], copies[s] if s else 1) for i, s in enumerate(sets)]
+
+
 def test_jaccard_join_is_exact(spark, odd):
     rng = random.Random(8)
     texts = [words(rng, 60) for _ in range(60)]
@@ -228,10 +250,48 @@ def test_jaccard_join_is_exact(spark, odd):
         base = list(texts[0] if k < 60 else texts[rng.randrange(60)])
         base[rng.randrange(len(base))] = f"n{k}"
         texts.append(base)
-    texts += texts[:20]
-    sets = [frozenset(tuple(t[i : i + 5]) for i in range(len(t) - 4)) for t in texts]
-    links = [sum(j != i and len(a & b) >= 0.8 * len(a | b) for j, b in enumerate(sets)) for i, a in enumerate(sets)]
-    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
-    got = {r["doc_id"]: r["n_links"] for r in jaccard_join.near_duplicates(docs, small=16).collect()}
-    assert [got[i] for i in range(len(texts))] == links
+    texts += texts[:20] + [["just", "four", "words", "here"]] * 3 + [[]] * 2
+    docs = spark.createDataFrame([(i, " ".join(t), "x") for i, t in enumerate(texts)], "doc_id long, text string, row string")
+    expected = brute_classes(texts)
+    for small, block in ((16, 7), (400, 1000)):
+        got = {r["doc_id"]: (r["class_id"], r["n_links"], r["n_copies"]) for r in jaccard_join.near_duplicates(docs, small=small, block=block).collect()}
+        assert [got[i] for i in range(len(texts))] == expected
     assert jaccard_join.near_duplicates(odd).count() == len(ODD) and jaccard_join.near_duplicates(odd.limit(0)).count() == 0
+
+
+def test_jaccard_join_loses_nothing_in_deep_splits(spark):
+    rng = random.Random(18)
+    base, texts = words(rng, 200, 10**6), []
+    for _ in range(300):  # one group around a text, and clusters that lie apart but share a passage
+        t = list(base)
+        for _ in range(rng.randrange(1, 5)):
+            t[rng.randrange(200)] = f"n{rng.randrange(10**9)}"
+        texts.append(t)
+    passage = words(rng, 40, 10**6)
+    for _ in range(20):
+        own = words(rng, 60, 10**6)
+        for k in range(6):
+            t = own + passage
+            t[rng.randrange(60)] = f"m{rng.randrange(10**9)}"
+            texts.append(t)
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: (r["class_id"], r["n_links"], r["n_copies"]) for r in jaccard_join.near_duplicates(docs, small=12, block=50).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_classes(texts)
+
+
+def test_small_sides_are_broadcast_and_others_are_not(spark, monkeypatch):
+    left = spark.range(100).select((F.col("id") % 7).alias("k"), "id")
+    right = common.staged(spark.range(5).select(F.col("id").alias("k"), F.lit("x" * 1000).alias("v")), "side")
+    wide = sorted(map(tuple, common.joined_small(left, right, ["k"], "left").collect()))
+    assert common.is_small(right) and not common.is_small(right, rows=4) and not common.is_small(right, most_bytes=5000)
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 1)
+    assert sorted(map(tuple, common.joined_small(left, right, ["k"], "left").collect())) == wide
+
+
+def test_operators_without_any_broadcast(spark, monkeypatch):
+    """What joined_small does beyond its bounds, in each operator that uses it."""
+    docs, pages = common.table(spark, "/root/testdata/sf0.001", "documents"), common.table(spark, "/root/testdata/sf0.001", "pages")
+    run = lambda: [sorted(map(str, df.collect())) for df in (line_frequency.judged(docs), jaccard_join.near_duplicates(docs), warc.round_trip(pages))]
+    first = run()
+    monkeypatch.setattr(common, "BROADCAST_ROWS", -1)
+    assert run() == first
