@@ -3,14 +3,14 @@
 A page becomes a tree of elements. Paragraphs pass points for length and commas to their ancestors, less to farther
 ones; an element's points are discounted by its link density. The best container is kept with all beside it that isn't
 mostly links, and so upwards as long as what is kept is most of the text; parts that are never content (menus, forms, comments, ...) are left out by tag, role or
-class. Text is emitted block by block in page order.
+class. Text is emitted block by block in page order. Reading takes time in proportion to the page's length, however it is nested.
 """
 
 from __future__ import annotations
 
 import html as html_lib
 import re
-from collections import deque
+from collections import defaultdict, deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,7 +29,7 @@ BLOCK = frozenset(
 )
 #: Elements that a start tag of these ends when they are open, up to a boundary.
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
-NEVER = frozenset("head script style noscript template nav footer aside form button select input textarea iframe object embed canvas svg math audio video map dialog menu title fieldset label".split())
+NEVER = frozenset("head script style noscript template nav footer aside button select input textarea iframe object embed canvas svg math audio video map dialog menu title fieldset label".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
 BAD = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs byline comment comments commentlist disqus consent cookie cookies dialog footer foot footnav gdpr header masthead "
@@ -37,10 +37,13 @@ BAD = frozenset(
     "search share sharing shoutbox sidebar sidebars signup skip social sponsor sponsored subscribe subscription tags toolbar widget widgets".split()
 )
 GOOD = frozenset("article articlebody body content main post entry story text page hentry".split())
+#: Of those, these leave an element out whatever else its class says.
+WORST = frozenset("adsense advert advertisement advertising adverts commentlist comments disqus".split())
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 #: A sibling of the best container is kept if less than SIBLING_LINKS of its text is in links; beside an article element only
 #: from a share of its points on, or as a paragraph of text.
 SIBLING_SHARE, SIBLING_CHARS, SIBLING_LINKS = 0.2, 80, 0.25
+FORM_SHARE = 0.5
 
 
 class Node:
@@ -50,92 +53,109 @@ class Node:
         self.tag, self.attrs, self.parent, self.items, self.skip, self.points = tag, attrs, parent, [], False, 0.0
 
 
+class Open:
+    """The open elements, innermost last. For each tag it is known at which depths it is open, so no start or end tag looks through them."""
+
+    def __init__(self, root: Node):
+        self.path, self.at, self.blocks = [root], defaultdict(list), [0]
+
+    @property
+    def here(self) -> Node:
+        return self.path[-1]
+
+    def push(self, node: Node) -> None:
+        self.at[node.tag].append(len(self.path))
+        if node.tag in BLOCK:
+            self.blocks.append(len(self.path))
+        self.path.append(node)
+
+    def cut(self, depth: int) -> None:
+        """Closes what is open from this depth on."""
+        while len(self.path) > depth:
+            node = self.path.pop()
+            self.at[node.tag].pop()
+            if node.tag in BLOCK:
+                self.blocks.pop()
+
+    def last(self, tags) -> int:
+        """The depth of the innermost open element with one of these tags; 0 if none is open."""
+        return max((self.at[t][-1] for t in tags if self.at[t]), default=0)
+
+    def imply(self, name: str) -> None:
+        """A start tag ends an open paragraph, list item, row or cell."""
+        if name in BLOCK and self.at["p"] and self.at["p"][-1] > self.last(P_BOUNDS):
+            self.cut(self.at["p"][-1])
+        if name in ENDS:
+            ended, bounds = ENDS[name]
+            bound = self.last(bounds)
+            # a row ends all of an open one, others the innermost only
+            depths = [d for t in ended for d in (self.at[t] if name == "tr" else self.at[t][-1:]) if d > bound]
+            if depths:
+                self.cut(min(depths) if name == "tr" else max(depths))
+
+    def close(self, name: str) -> None:
+        """An end tag ends its innermost open element; an inline one does not end a block."""
+        depth = self.at[name][-1] if self.at[name] else 0
+        if depth and (name in BLOCK or self.blocks[-1] < depth):
+            self.cut(depth)
+
+
+#: Beyond these an open paragraph isn't ended by a block's start tag.
+P_BOUNDS = ("td", "th", "caption", "button", "object", "li", "div", "section", "article", "blockquote")
+
+
 def parse(page: str) -> Node:
     """The page's tree; texts are strings with character references decoded. Unclosed and stray tags are allowed."""
-    root = here = Node("html", "", None)
-    at, end = 0, len(page)
+    root = Node("html", "", None)
+    opened, at, end, last = Open(root), 0, len(page), page.rfind(">")
+    raw_ends: dict[str, re.Pattern] = {}
     while at < end:
         start = page.find("<", at)
-        if start < 0:
-            here.items.append(html_lib.unescape(page[at:]))
+        if start < 0 or (start > last and not page.startswith("<!--", start)):
+            opened.here.items.append(html_lib.unescape(page[at:]))  # no tag ends any more
             break
         m = _TAG.match(page, start)
         if m is None:
             # a "<" that starts no tag is text
             stop = page.find("<", start + 1)
             stop = end if stop < 0 else stop
-            here.items.append(html_lib.unescape(page[at:stop]))
+            opened.here.items.append(html_lib.unescape(page[at:stop]))
             at = stop
             continue
         if start > at:
-            here.items.append(html_lib.unescape(page[at:start]))
+            opened.here.items.append(html_lib.unescape(page[at:start]))
         at = m.end()
         name = m["name"] or m["name2"]
         if not name:
             continue
-        name, closing = name.lower(), m["close"] or m["close2"]
-        if closing:
-            here = _close(here, name)
+        name = name.lower()
+        if m["close"] or m["close2"]:
+            opened.close(name)
             continue
         attrs = m["attrs"] if m["name"] else m["attrs2"]
         if name in ("html", "body"):
             root.attrs += attrs
             continue
-        here = _imply(here, name)
-        node = Node(name, attrs, here)
-        here.items.append(node)
+        opened.imply(name)
+        node = Node(name, attrs, opened.here)
+        opened.here.items.append(node)
         if name in RAW:
-            stop = re.compile(rf"</{name}(?=[\s/>])", re.I).search(page, at)
-            at = end if stop is None else stop.start()
-            if stop is not None:
-                gt = page.find(">", at)
-                at = end if gt < 0 else gt + 1
+            if name not in raw_ends:
+                raw_ends[name] = re.compile(rf"</{name}(?=[\s/>])", re.I)
+            stop = raw_ends[name].search(page, at)
+            gt = -1 if stop is None else page.find(">", stop.start())
+            at = end if gt < 0 else gt + 1
         elif name not in VOID:
-            here = node
+            opened.push(node)
     return root
 
 
-def _imply(here: Node, name: str) -> Node:
-    """Where a start tag's element goes: it ends an open paragraph, list item, row or cell."""
-    if name in BLOCK:
-        x = here
-        while x.parent is not None and x.tag not in ("td", "th", "caption", "button", "object", "li", "div", "section", "article", "blockquote"):
-            if x.tag == "p":
-                here = x.parent
-                break
-            x = x.parent
-    if name in ENDS:
-        ended, stop = ENDS[name]
-        x = here
-        while x.parent is not None and x.tag not in stop:
-            if x.tag in ended:
-                here = x.parent
-                if name != "tr":
-                    break
-            x = x.parent
-    return here
-
-
-def _close(here: Node, name: str) -> Node:
-    x = here
-    while x.parent is not None:
-        if x.tag == name:
-            return x.parent
-        if name not in BLOCK and x.tag in BLOCK:
-            return here  # an inline end tag does not end a block
-        x = x.parent
-    return here
-
-
-def boilerplate(node: Node) -> bool:
-    """Whether an element is left out by its tag, role, class or id."""
+def boilerplate(node: Node, inside: bool = False) -> bool:
+    """Whether an element is left out by its tag, role, class or id. `inside` says that it is part of an article or main element."""
     if node.tag in NEVER:
         return True
-    if node.tag == "header":
-        x = node.parent
-        while x is not None and x.tag not in ("article", "main"):
-            x = x.parent
-        return x is None
+    if node.tag == "header" and not inside:
+        return True
     if not node.attrs or node.attrs.isspace():
         return False
     found = {k.lower(): html_lib.unescape(a or b or c or "") for k, a, b, c in _ATTR.findall(node.attrs)}
@@ -148,6 +168,8 @@ def boilerplate(node: Node) -> bool:
         parts = [p.lower() for p in _PART.findall(name)]
         if parts and parts[0] in ("has", "with", "no", "is", "without"):
             continue
+        if WORST.intersection(parts):
+            return True
         if BAD.intersection(parts):
             bad = True
         elif GOOD.intersection(parts):
@@ -155,25 +177,37 @@ def boilerplate(node: Node) -> bool:
     return bad and not good
 
 
-def _walk(root: Node) -> list[Node]:
-    out, todo = [], [root]
+def _mark(root: Node) -> list[Node]:
+    """The elements that are not left out, parents first. A form is left out if it holds less than FORM_SHARE of the text beside it:
+    one around the whole page is none."""
+    nodes, forms = [], []
+    todo = [(root, False)]
     while todo:
-        x = todo.pop()
-        out.append(x)
-        todo += [y for y in x.items if y.__class__ is Node]
-    return out
+        x, inside = todo.pop()
+        x.skip = x is not root and x.tag != "form" and boilerplate(x, inside)
+        if not x.skip:
+            nodes.append(x)
+            if x.tag == "form":
+                forms.append(x)
+            within = inside or x.tag in ("article", "main")
+            todo += [(y, within) for y in x.items if y.__class__ is Node]
+    if not forms:
+        return nodes
+    size: dict[int, int] = {}
+    for x in reversed(nodes):
+        size[id(x)] = sum(len(y.strip()) if y.__class__ is str else size.get(id(y), 0) for y in x.items)
+    gone: set[int] = set()
+    for x in nodes:
+        if (x.tag == "form" and size[id(x)] < FORM_SHARE * size[id(root)]) or (x.parent is not None and id(x.parent) in gone):
+            x.skip = True
+            gone.add(id(x))
+    return [x for x in nodes if not x.skip]
 
 
 def main_nodes(root: Node) -> list[Node | str | None]:
-    """The best container with what is kept beside it and above, in page order; None ends a block."""
-    nodes, size, links, inline = [], {}, {}, {}
-    todo = [root]
-    while todo:
-        x = todo.pop()
-        x.skip = x is not root and boilerplate(x)
-        if not x.skip:
-            nodes.append(x)
-            todo += [y for y in x.items if y.__class__ is Node]
+    """The best container with what is kept beside it and above, in page order; None ends a block. Inside an article or main element
+    the whole of it is the container, for those say where an article ends; of several main elements all are."""
+    nodes, size, links, inline = _mark(root), {}, {}, {}
     for x in reversed(nodes):  # children before parents
         own = sum(len(y.split()) and len(" ".join(y.split())) for y in x.items if y.__class__ is str)
         commas = sum(y.count(",") for y in x.items if y.__class__ is str)
@@ -205,8 +239,17 @@ def main_nodes(root: Node) -> list[Node | str | None]:
         if up.tag in ("article", "main"):
             best = up
         up = up.parent
-    if best.parent is None or best.tag == "main":
+    if best.parent is None:
         return [best]
+    if best.tag == "main":
+        mains, todo = [], [root]
+        while todo:
+            x = todo.pop()
+            if x.tag == "main":
+                mains += [x, None]
+            else:
+                todo += [y for y in reversed(x.items) if y.__class__ is Node and not y.skip]
+        return mains
     if best.tag != "article":
         return _beside(best, size, links)
     kept = []
