@@ -1,4 +1,4 @@
-"""URL filters: host and path rules, and a Bloom filter cascade over a list of blocked hosts.
+"""URL filters: host and path rules, and a Bloom filter cascade over a list of blocked hosts and addresses.
 
 Level 0 encodes the listed keys; level 1 encodes the keys of the corpus that level 0 passes by mistake; level 2 the
 listed keys that level 1 passes, and so on until no mistake is left. The keys of the whole corpus are known, so a key
@@ -25,10 +25,14 @@ RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
-#: Hosts that are blocked with their subdomains where no rule fits.
+#: Hosts that are blocked with their subdomains where no rule fits. The registered query's list also has the corpus's own addresses
+#: (host and path) whose md5 begins with LISTED: in place of an external list, so that the cascade has thousands of keys and several levels.
 BLOCKED_HOSTS = ("ads-track.example.org", "casino-win.example.org", "cheap-pills.example.com", "free-bets.example.com", "spam-farm.example.org")
+LISTED = "7"
 #: Bits of a level at most (2 GB of keys' worth); a longer list raises ValueError.
 MAX_BITS = 1 << 31
+#: Words of a filter that are put together at once.
+CHUNK_WORDS = 1 << 12
 FIRST_BITS, FIRST_PROBES, NEXT_BITS, NEXT_PROBES = 12, 6, 3, 2
 
 
@@ -110,20 +114,26 @@ def _level(keys: DataFrame, n: int, level: int) -> tuple[int, int, np.ndarray]:
     if bits > MAX_BITS:
         raise ValueError(f"level {level} needs {bits} bits, more than {MAX_BITS}")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The bits of each chunk of the filter that the task's keys set."""
+        for batch in batches:
+            at = np.unique(positions(batch.column(0).to_numpy(), batch.column(1).to_numpy(), level, bits, probes).ravel())
+            chunks, first = np.unique(at // np.uint64(64 * CHUNK_WORDS), return_index=True)
+            places = (at % np.uint64(64 * CHUNK_WORDS)).astype(np.uint32)
+            yield pa.RecordBatch.from_arrays([pa.array(chunks.astype(np.int32)), pa.array([x.tobytes() for x in np.split(places, first[1:])] if len(at) else [], pa.binary())], names=["chunk", "places"])
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made: dict[int, np.ndarray] = {}  # a share of the filter
         for batch in batches:
-            at = positions(batch.column(0).to_numpy(), batch.column(1).to_numpy(), level, bits, probes).ravel()
-            order = np.argsort(at, kind="stable")
-            at = at[order]
-            if len(at):
-                words, first = np.unique(at >> np.uint64(6), return_index=True)
-                set_ = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), first)
-                yield pa.RecordBatch.from_arrays([pa.array(words.astype(np.int64)), pa.array(set_.view(np.int64))], names=["word", "bits"])
+            for chunk, places in zip(*(c.to_pylist() for c in batch.columns)):
+                made.setdefault(chunk, np.zeros(64 * CHUNK_WORDS, bool))[np.frombuffer(places, np.uint32)] = True
+        for chunk, x in made.items():
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([np.packbits(x, bitorder="little").tobytes()], pa.binary())], names=["chunk", "words"])
 
-    words = np.zeros(bits // 64, np.uint64)
-    for row in keys.mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toLocalIterator():
-        words[row["word"]] = np.uint64(row["bits"] & 0xFFFFFFFFFFFFFFFF)
-    return bits, probes, words
+    words = np.zeros(-(-bits // (64 * CHUNK_WORDS)) * CHUNK_WORDS, np.uint64)
+    for row in keys.mapInArrow(spread, "chunk int, places binary").repartition("chunk").mapInArrow(packed, "chunk int, words binary").collect():  # MAX_BITS at most
+        words[row["chunk"] * CHUNK_WORDS :][:CHUNK_WORDS] = np.frombuffer(row["words"], np.uint64)
+    return bits, probes, words[: bits // 64]
 
 
 def build(listed: DataFrame, universe: DataFrame) -> Cascade:
@@ -137,7 +147,7 @@ def build(listed: DataFrame, universe: DataFrame) -> Cascade:
         if number >= 64:
             raise RuntimeError("two keys have the same 128-bit hash")
         levels.append(made := _level(include, n, number))
-        shared = spark.sparkContext.broadcast(made)
+        shared = spark.sparkContext.broadcast(made)  # MAX_BITS at most
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, number=number) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -145,23 +155,31 @@ def build(listed: DataFrame, universe: DataFrame) -> Cascade:
                 yield batch.filter(pa.array(hit))
 
         passing = staged(exclude.mapInArrow(run, "a long, b long"), "cascade-pass")
-        dropped(spark, exclude) if number == 0 else None
+        dropped(spark, exclude)
         include, exclude = passing, include
+    for df in (include, exclude):
+        dropped(spark, df)
     return Cascade(levels)
 
 
 def judge(pages: DataFrame, blocked: DataFrame, rules=RULES) -> DataFrame:
     """One row per row of pages(page_id, url): page_id, host, path, rule, verdict, listed.
 
-    A rule's verdict comes first; else the host is blocked if it or a parent domain is in blocked(key), and allowed if
-    not. A null url, and one without ://, has empty host and path, fits no rule and is allowed. Repeated rows are judged each;
-    rows without page_id too. Empty tables and lists are allowed; other columns are ignored."""
+    A rule's verdict comes first; else the page is blocked if its host, a parent domain or its address (host and path) is in
+    blocked(key), and allowed if not. A null url, and one without ://, has empty host and path, fits no rule and is allowed. Hosts and
+    paths of any length are looked up whole. Of rules of equal length that with the longer host wins. Repeated rows are judged each, keys
+    that are listed twice count once;
+    rows without page_id are judged too. Empty tables and lists are allowed; other columns are ignored."""
     spark = pages.sparkSession
     base = pages.select(F.col("page_id").cast("long").alias("page_id"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    listed = blocked.select(ascii_lower(F.col("key")).alias("key"))
+    # the host of a listed key is lower-cased, a path is as it is
+    at = F.instr("key", "/")
+    key = F.when(at > 0, F.concat(ascii_lower(F.substring("key", F.lit(1), at - 1)), F.substring("key", at, F.length("key")))).otherwise(ascii_lower(F.col("key")))
+    listed = blocked.select(key.alias("key"))
     # no key has more labels than the longest that is listed
-    most = listed.filter(F.col("key").isNotNull()).agg(F.max(n_labels(F.col("key")))).first()[0] or 1
-    keyed = base.withColumn("keys", host_keys(F.col("host"), most))
+    most = listed.filter(F.col("key").isNotNull() & ~F.contains("key", F.lit("/"))).agg(F.max(n_labels(F.col("key")))).first()[0] or 1
+    address = F.when(F.col("host") != "", F.concat("host", "path"))
+    keyed = base.withColumn("keys", F.array_compact(F.array_append(host_keys(F.col("host"), most), F.when(F.col("path") != "", address))))
     cascade = spark.sparkContext.broadcast(build(listed, keyed.select(F.explode("keys").alias("key"))))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     ready = keyed.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("_verdict"), F.transform("keys", hashed).alias("h")).select(
@@ -181,8 +199,10 @@ def judge(pages: DataFrame, blocked: DataFrame, rules=RULES) -> DataFrame:
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blocked = spark.createDataFrame([(h,) for h in BLOCKED_HOSTS], "key string")
-    return judge(table(spark, sf_dir, "pages"), blocked)
+    pages = table(spark, sf_dir, "pages")
+    address = F.concat(host_of(F.col("url")), path_of(F.col("url")))
+    own = pages.select(address.alias("key")).filter(F.contains("key", F.lit("/")) & F.md5(F.col("key").cast("binary")).startswith(LISTED))
+    return judge(pages, spark.createDataFrame([(h,) for h in BLOCKED_HOSTS], "key string").unionByName(own))
 
 
 def _oracle() -> str:
@@ -191,6 +211,7 @@ def _oracle() -> str:
     rule = " ".join(f"WHEN {fits(h, p)} THEN '{h}{p}'" for _, h, p in ranked)
     verdict = " ".join(f"WHEN {fits(h, p)} THEN '{v}'" for v, h, p in ranked)
     listed = " OR ".join(f"host = '{h}' OR ends_with(host, '.{h}')" for h in BLOCKED_HOSTS)
+    listed += f" OR (host <> '' AND contains(host || path, '/') AND starts_with(md5(host || path), '{LISTED}'))"
     return f"""
 WITH a AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 u AS (SELECT page_id, translate(coalesce(regexp_extract(rest, '^[^/?#]*'), ''), '{UPPER}', '{LOWER}') AS host,
