@@ -1,5 +1,8 @@
 """A training corpus from raw documents: toxic and low-quality documents go, near copies become one, benchmark passages
-go, and the rest is mixed to target weights. Each stage reads what the one before wrote."""
+go, and the rest is mixed to target weights. Each stage reads what the one before wrote.
+
+Every stage returns the columns of its input as they are, whatever their names and other columns; the quality rules change text, and
+n_chars with it, where lines are removed. Null ids, texts and sources and repeated rows are rows like others, an empty table stays empty."""
 
 from __future__ import annotations
 
@@ -12,29 +15,33 @@ from paperloom.llm import common, decontaminate, jaccard_join, line_frequency, m
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the ordinal model, fitted on the labelled ones among them, doesn't find toxic."""
     model = toxicity.train(docs, common.table(spark, sf_dir, "labels"))
-    return toxicity.scored(docs, model).filter(~F.col("toxic")).select(*docs.columns)
+    return common.unpacked(toxicity.scored(common.packed(docs, "text"), model).filter(~F.col("toxic")), docs, "text")
 
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass, without the lines that too many documents of their host hold."""
-    kept = line_frequency.cleaned(line_frequency.judged(docs))
+    key = ("doc_id", "source", "text")
+    kept = line_frequency.cleaned(line_frequency.judged(common.packed(docs, *key)))
+    out = kept.select(*(c for c in (*key, common.CARRIED)), F.col("removed").isNotNull().alias("cut"))
     if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.when(F.col("removed").isNull(), F.col("n_chars")).otherwise(F.length("text")))
-    return kept.select(*docs.columns)
+        was = F.col(common.CARRIED).getField("n_chars")
+        out = out.withColumn(common.CARRIED, F.col(common.CARRIED).withField("n_chars", F.when(F.col("cut"), F.length("text")).otherwise(was).cast(docs.schema["n_chars"].dataType)))
+    return common.unpacked(out, docs, *key)
 
 
 def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each class of near copies: that with the least doc_id, one with an id before those without. Rows are told apart
     by a number of their own, so that repeated and null ids neither save nor remove a row."""
-    rows = common.staged(docs.withColumn("_row", F.monotonically_increasing_id()), "near-copies-rows")
-    found = jaccard_join.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text")).select(F.col("doc_id").alias("_row"), "class_id")
-    size = found.groupBy("class_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("class_id")
-    many = common.staged(common.joined_small(found, common.staged(size, "near-copies-classes"), ["class_id"], "left_semi", F.col("_row")), "near-copies-members")
-    named = common.joined_small(rows.select("_row", F.col("doc_id").cast("long").alias("_id")), many, ["_row"], "inner", F.col("_row"))
-    order = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row"))
-    stays = common.staged(named.groupBy("class_id").agg(F.min(order).alias("m")).select(F.col("m.row").alias("_row")), "near-copies-stay")
-    extra = common.staged(common.joined_small(many, stays, ["_row"], "left_anti", F.col("_row")).select("_row"), "near-copies")
-    return common.joined_small(rows, extra, ["_row"], "left_anti", F.col("_row")).select(*docs.columns)
+    row = common.prefix(docs) + "row"
+    rows = common.staged(docs.withColumn(row, F.monotonically_increasing_id()), "near-copies-rows")
+    found = jaccard_join.near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"), numbered=True).select(F.col("doc_id").alias(row), "class_id")
+    size = found.groupBy("class_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("class_id")
+    many = common.staged(common.joined_small(found, common.staged(size, "near-copies-classes"), ["class_id"], "left_semi"), "near-copies-members")
+    named = common.joined_small(rows.select(row, F.col("doc_id").cast("long").alias("id")), many, [row], "inner")
+    order = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col(row).alias("row"))
+    stays = common.staged(named.groupBy("class_id").agg(F.min(order).alias("m")).select(F.col("m.row").alias(row)), "near-copies-stay")
+    extra = common.staged(common.joined_small(many, stays, [row], "left_anti").select(row), "near-copies")
+    return common.joined_small(rows, extra, [row], "left_anti").select(*common.columns(docs))
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,8 +50,8 @@ def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How many words of each document the mix takes."""
-    return mixing.mix(docs)
+    """The corpus: all columns, with the number of copies and of words of each document that the mix takes."""
+    return mixing.mixed(docs)
 
 
 STAGES = [
@@ -60,9 +67,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages; what a stage staged is deleted when its output is written."""
     docs = common.table(spark, sf_dir, "documents")
-    for number, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if number < len(STAGES) - 1:
-            docs = common.staged(docs, f"pipeline-{number}")
-    return docs
+    for number, (_, stage) in enumerate(STAGES[:-1]):
+        path = common.new_path(spark, f"pipeline-{number}")
+        with common.scratch(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        if number:
+            common.dropped(spark, docs)
+        docs = spark.read.schema(out.schema).parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)
