@@ -10,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from .. import fixed
+
 # Unicode blocks of Arabic letters and forms; digits of Arabic script.
 ARABIC = "\\u0600-\\u06FF\\u0750-\\u077F\\u08A0-\\u08FF\\uFB50-\\uFDFF\\uFE70-\\uFEFF"
 ARABIC_DIGITS = "٠١٢٣٤٥٦٧٨٩"
@@ -19,7 +21,7 @@ INVISIBLE = "[\\u200B-\\u200F\\u202A-\\u202F\\u2060-\\u2064\\uFEFF\\u0640]"
 
 def count_of(text: Column, character_class: str) -> Column:
     """Characters of a class."""
-    return F.length(text) - F.length(F.regexp_replace(text, f"[{character_class}]", ""))
+    return F.regexp_count(text, F.lit(f"[{character_class}]"))
 
 
 def strip(text: Column) -> Column:
@@ -60,6 +62,45 @@ def script(text: Column) -> Column:
     return F.when(arabic + latin == 0, "unknown").when(share > 0.6, "arabic").when(share < 0.2, "latin").otherwise("mixed")
 
 
+def words(text: Column) -> Column:
+    """Between white space of any script."""
+    return F.filter(F.split(text, r"(?U)\s+"), lambda t: t != "")
+
+
+def mean_length(words_: Column) -> Column:
+    return F.when(F.size(words_) > 0, F.aggregate(words_, F.lit(0), lambda s, x: s + F.length(x)) / F.size(words_)).otherwise(0.0)
+
+
+def arabic_word_length(text: Column) -> Column:
+    """Mean length of the words that are Arabic by more than half; 0 without any."""
+    return mean_length(F.filter(words(text), lambda w: 2 * count_of(w, ARABIC) > F.length(w)))
+
+
+def arabic_token_length(text: Column) -> Column:
+    """Mean length of the words with any Arabic character; 0 without any."""
+    return mean_length(F.filter(words(text), lambda w: w.rlike(f"[{ARABIC}]")))
+
+
+def arabic_density(text: Column) -> Column:
+    """Arabic characters to all of the stripped text; 0 for blank text."""
+    return F.coalesce(count_of(text, ARABIC) / F.nullif(F.length(strip(text)), F.lit(0)), F.lit(0.0))
+
+
+def all_lines(text: Column) -> Column:
+    """Lines ended by any line end of Unicode; an end at the very end opens no further line."""
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(F.regexp_replace(text, r"\R\z", ""), r"\R"))
+
+
+def short(text: Column, most: int = 110) -> Column:
+    """One line of at most so many characters, without markup."""
+    return F.substring(strip(F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), r"\*\*|<[^>]+>", ""), r"(?U)\s+", " ")), 1, most)
+
+
+def leading(label: Column) -> Column:
+    """The first number of a label."""
+    return F.split_part(label, F.lit("."), F.lit(1)).try_cast("int")
+
+
 def tokens(text: Column) -> Column:
     return F.filter(F.split(text, r"\s+"), lambda t: t != "")
 
@@ -81,6 +122,17 @@ def anchors(text: Column, stop: tuple[str, ...] = ()) -> Column:
     return F.array_except(found, F.array(*map(F.lit, stop))) if stop else found
 
 
+def key_tokens(text: Column) -> Column:
+    """What tells a question's or an answer's subject: words, numbers, and the macros, names and numbers inside formulas, each once;
+    without stop words, single characters and macros of layout."""
+    bare = F.regexp_replace(F.regexp_replace(text, fixed.MARKS, ""), fixed.CELL_MARKUP, "")
+    found = F.regexp_extract_all(bare, F.lit(f"(?U)({fixed.TOKEN})"), F.lit(1))
+    inner = F.flatten(F.transform(F.filter(found, lambda t: t.startswith("$")), lambda t: F.regexp_extract_all(t, F.lit(r"(\\[a-zA-Z]+|[A-Za-z](?U:\w)*|\d+(?:[.,]\d+)?)"), F.lit(1))))
+    plain = F.filter(F.transform(F.filter(found, lambda t: ~t.startswith("$")), F.lower), lambda w: F.length(w) >= 2)
+    names = lambda values: F.array(*map(F.lit, values))
+    return F.array_union(F.array_except(inner, names(fixed.LAYOUT_MACROS)), F.array_except(plain, names(fixed.STOP_WORDS)))
+
+
 def lexical(a: Column, b: Column) -> Column:
     """Cosine of two bags taken as sets; 0 if either is empty."""
     return F.when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(F.size(F.array_intersect(a, b)) / F.sqrt(F.size(a) * F.size(b).cast("double")))
@@ -98,8 +150,11 @@ def label_agreement(a: Column, b: Column) -> Column:
     return F.coalesce(F.when(equal, 1.0).when(opens, 0.5), F.lit(0.0))
 
 
+def dot(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda p, q: p.cast("double") * q), F.lit(0.0), lambda s, v: s + v)
+
+
 def cosine(a: Column, b: Column) -> Column:
-    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q), F.lit(0.0), lambda s, v: s + v)
     return dot(a, b) / F.sqrt(dot(a, a) * dot(b, b))
 
 

@@ -13,9 +13,10 @@ def upsert(prior: DataFrame, new: DataFrame, keys: list[str], skipped: Column |
 
 
 def latest(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The last row of each key."""
-    window = Window.partitionBy(*keys).orderBy(*(c.desc() for c in order))
-    return rows.withColumn("_r", F.row_number().over(window)).filter("_r = 1").drop("_r")
+    """The last row of each key. Tasks keep one row a key before the shuffle."""
+    rest = [c for c in rows.columns if c not in keys]
+    last = F.max_by(F.struct(*rest), F.struct(*order))
+    return rows.groupBy(*keys).agg(last.alias("_last")).select(*keys, "_last.*").select(*rows.columns)
 
 
 def pending(work: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
@@ -51,3 +52,47 @@ def unique_label_fix(questions: DataFrame, blocks: DataFrame, unit: str, label:
 def permuted(rows: DataFrame, mapping: DataFrame, key: str) -> DataFrame:
     """Keys replaced by mapping(old, new), all at once."""
     return rows.join(mapping, rows[key] == mapping["old"], "left").withColumn(key, F.coalesce("new", key)).drop("old", "new")
+
+
+def first_of_each(rows: DataFrame, key: str, order: str) -> tuple[DataFrame, DataFrame]:
+    """The first row of each key, and the keys that come more than once with how often."""
+    whole = F.struct(*rows.columns)
+    first = rows.groupBy(F.col(key).alias("_k")).agg(F.min_by(whole, order).alias("_r")).select("_r.*")
+    return first, rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+
+
+def swapped_topics(name: Column, subject: str, year: int, which: str = "both", session: str = "") -> Column:
+    """A name, key or text in which topics 1 and 2 of a subject's year are exchanged: those of exams, of solutions or of both. Combined files keep theirs."""
+    base = f"bac_{subject}_{year}_sujet"
+    after = {"exam": r"(?!_and)(?!_solution)(?![A-Za-z0-9])", "solution": rf"(?=_solution{session}(?![A-Za-z0-9]))", "both": r"(?!_and)(?![A-Za-z0-9])"}[which]
+    # through a mark that no name has, so that a name is exchanged once
+    mark = F.regexp_replace(name, rf"{base}1{after}", f"{base}\u0000")
+    return F.regexp_replace(F.regexp_replace(mark, rf"{base}2{after}", f"{base}1"), f"{base}\u0000", f"{base}2")
+
+
+def override_set(overrides: DataFrame, questions: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """overrides(qid, blocks, note, by, from_unit) with new ones in place of those of their keys, and a log: what a question(qid, match, answer_label, answer) had before, which override it had, what it has now."""
+    merged = upsert(overrides, new, ["qid"])
+    before = overrides.select("qid", F.col("blocks").alias("previous_blocks"), F.col("note").alias("previous_note"))
+    had = questions.select("qid", F.struct("match", "answer_label", "answer").alias("old_mapping"))
+    now = F.when(F.col("blocks").isNull(), "solution_missing").otherwise("human")
+    log = new.join(had, "qid", "left").join(before, "qid", "left").withColumn("match", now)
+    return merged, log.select("qid", "old_mapping", "previous_blocks", "previous_note", "match", "blocks", "from_unit", F.col("note").alias("reason"), "by")
+
+
+def with_fallback(rows: DataFrame, first: DataFrame, second: DataFrame, key: str, value: str) -> DataFrame:
+    """rows with a value from the first table that has one for the key."""
+    a, b = first.select(key, F.col(value).alias("_a")), second.select(key, F.col(value).alias("_b"))
+    return rows.join(a, key, "left").join(b, key, "left").withColumn(value, F.coalesce("_a", "_b")).drop("_a", "_b")
+
+
+def retry(work: DataFrame, results: DataFrame, key: str, quality: str = "quality_score", skipped: str = "skipped") -> DataFrame:
+    """Work whose last result had no quality and wasn't skipped."""
+    bad = results.filter((F.coalesce(quality, F.lit(0.0)) == 0) & ~F.coalesce(skipped, F.lit(False))).select(key)
+    return work.join(bad, key, "left_semi")
+
+
+def within_budget(calls: DataFrame, order: str, cost: str, most: float) -> DataFrame:
+    """Calls made before their sum reached the budget. The log is one of a run, read in order."""
+    w = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return calls.withColumn("_spent", F.coalesce(F.sum(cost).over(w), F.lit(0.0))).filter(F.col("_spent") < most).drop("_spent")

@@ -5,24 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import fixed
 from ..functions.text import western_digits
 
-# Kinds of headings, ordinals and words for points, as exam texts write them.
-KINDS = {"التمرين": "exercise", "التمريب": "exercise", "الجزء": "part"}
-ORDINALS = {"الأول": 1, "الاول": 1, "الثاني": 2, "الثالث": 3, "الرابع": 4, "الخامس": 5, "التجريبي": 9}
-POINTS = ("نقاط", "نقطة", "نقطتان", "نقط", "ن")
-# Vowel signs with the elongation sign, inline markup.
-MARKS = "[\\u0610-\\u061A\\u064B-\\u065F\\u0670\\u06D6-\\u06ED\\u0640]"
-MARKUP = r"</?u>|</?b>|\*\*|__|\$?\\underline\{\\text\{|\}\}\$?|[‎‏]"
 #: Numbers that may open an item: before any other one, and after a smaller one.
 FIRST_AT_MOST, LATER_AT_MOST = 12, 15
 
-_HEADING = rf"^[\s#*_\-]*({'|'.join(KINDS)})\s+({'|'.join(ORDINALS)})(?:[\s:：*_]*\(?\s*([0-9]+(?:[.,][0-9]+)?)\s*\)?\s*(?:{'|'.join(POINTS)})(?![\p{{L}}]))?"
+_HEADING = (
+    rf"(?U)^[\s#*_\-]*({fixed.EXERCISE}|{fixed.PART})\s+({'|'.join(fixed.ORDINALS)})[\s:：*_]*"
+    rf"(?:\(?\s*([\d٠-٩]+(?:[.,]\d+)?)\s*\)?\s*(?:{fixed.POINTS})\b[^\n]*)?"
+)
 
 
 def plain(line: Column) -> Column:
     """Without vowel signs and inline markup."""
-    return F.regexp_replace(F.regexp_replace(line, MARKS, ""), MARKUP, "")
+    return F.regexp_replace(F.regexp_replace(line, fixed.MARKS, ""), fixed.MARKUP, "")
 
 
 def fragments(line: Column) -> Column:
@@ -33,10 +30,10 @@ def fragments(line: Column) -> Column:
 def headings(lines: DataFrame) -> DataFrame:
     """lines(unit, i, line) -> (unit, i, kind, number, points): the first exercise and the first part of each line."""
     found = lines.select("unit", "i", F.posexplode(fragments(F.col("line"))).alias("at", "f"))
-    field = lambda k: F.nullif(F.regexp_extract(western_digits(F.col("f")), _HEADING, k), F.lit(""))
+    field = lambda k: F.nullif(F.regexp_extract("f", _HEADING, k), F.lit(""))
     named = lambda values: F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
-    parts = found.select("unit", "i", "at", field(1).alias("k"), field(2).alias("o"), F.replace(field(3), F.lit(","), F.lit(".")).try_cast("double").alias("points")).filter("k IS NOT NULL")
-    typed = parts.select("unit", "i", "at", F.element_at(named(KINDS), F.col("k")).alias("kind"), F.element_at(named(ORDINALS), F.col("o")).alias("number"), "points")
+    parts = found.select("unit", "i", "at", field(1).alias("k"), field(2).alias("o"), F.replace(western_digits(field(3)), F.lit(","), F.lit(".")).try_cast("double").alias("points")).filter("k IS NOT NULL")
+    typed = parts.select("unit", "i", "at", F.when(F.col("k") == fixed.PART, "part").otherwise("exercise").alias("kind"), F.element_at(named(fixed.ORDINALS), F.col("o")).alias("number"), "points")
     first = typed.groupBy("unit", "i", "kind").agg(F.min_by(F.struct("number", "points"), "at").alias("h"))
     return first.select("unit", "i", "kind", "h.number", "h.points")
 

@@ -52,3 +52,40 @@ def shared_answers(rows: DataFrame, unit: str, order: list[str], answer: str, wi
     """rows with shared: whether an earlier answer of the unit begins with the same `width` characters. Null answers share nothing."""
     w = Window.partitionBy(unit, F.substring(answer, 1, width)).orderBy(*order)
     return rows.withColumn("shared", F.col(answer).isNotNull() & (F.row_number().over(w) > 1))
+
+
+def nth_pages(texts: DataFrame) -> DataFrame:
+    """texts(stem, content) cut at every page mark: (stem, page_num, text), pages numbered as they come."""
+    parts = texts.select("stem", F.posexplode(F.split("content", r"\[PAGE \d+\]")).alias("page_num", "text"))
+    return parts.filter("page_num > 0").withColumn("text", F.regexp_replace("text", r"(?U)^\s+|\s+$", ""))
+
+
+def rendered(pages: DataFrame) -> DataFrame:
+    """(stem, content) of pages(stem, page_num, text), in order, each below its mark."""
+    part = F.concat(F.lit("[PAGE "), F.col("page_num"), F.lit("]\n"), F.col("text"))
+    listed = pages.groupBy("stem").agg(F.array_sort(F.collect_list(F.struct("page_num", part.alias("t")))).alias("l"))
+    return listed.select("stem", F.array_join(F.transform("l", lambda x: x["t"]), "\n\n").alias("content"))
+
+
+def replaced_pages(pages: DataFrame, new: DataFrame) -> DataFrame:
+    """pages(stem, page_num, text) with new texts where there are some."""
+    own = new.select("stem", "page_num", F.col("text").alias("_new"))
+    return pages.join(own, ["stem", "page_num"], "left").withColumn("text", F.coalesce("_new", "text")).drop("_new")
+
+
+def page_lines(chars: DataFrame) -> DataFrame:
+    """(stem, page_num, text) from chars(stem, page_num, seq, text, x0, top): characters within a row of three points are a line, read from right to left if it is Arabic by
+    more than 30 %, with its runs of digits turned back; blank lines are left out."""
+    from ..functions import text as T
+
+    row = (F.rint(F.col("top") / 3) * 3).alias("row")
+    lines = chars.groupBy("stem", "page_num", row).agg(F.collect_list(F.struct("seq", "x0", "text")).alias("c"))
+    joined = lambda order: F.array_join(F.transform(F.array_sort(F.transform("c", order)), lambda x: x["text"]), "")
+    as_come = joined(lambda x: F.struct(x["seq"].alias("k"), x["text"].alias("text")))
+    left = joined(lambda x: F.struct(x["x0"].alias("k"), x["seq"].alias("s"), x["text"].alias("text")))
+    right = joined(lambda x: F.struct((-x["x0"]).alias("k"), x["seq"].alias("s"), x["text"].alias("text")))
+    share = T.count_of(as_come, T.ARABIC) / F.greatest(F.length(T.strip(as_come)), F.lit(1))
+    line = F.when(share > 0.3, T.restored_digits(T.strip(T.nfkc(right)))).otherwise(T.strip(left))
+    kept = lines.select("stem", "page_num", "row", line.alias("line")).filter("line <> ''")
+    listed = kept.groupBy("stem", "page_num").agg(F.array_sort(F.collect_list(F.struct("row", "line"))).alias("l"))
+    return listed.select("stem", "page_num", F.array_join(F.transform("l", lambda x: x["line"]), "\n").alias("text"))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import quality
 from ..functions import text as T
-from ..operators import align, formulas, overlay, segments, sequences
+from ..operators import align, figures, formulas, overlay, segments, sequences
 from ..streaming import incremental
 
 QUERIES: dict = {}
@@ -75,17 +76,22 @@ def low_relative_doc(spark, sf_dir):
     return docs.join(mean, "source").filter((F.col("n") < 0.1 * F.col("a")) & (F.col("a") > 200)).select("doc_id", "source")
 
 
-@query("SELECT doc_id, count(*) AS n_lines, CAST(sum(c) AS BIGINT) AS n_total FROM (SELECT doc_id, l, count(*) AS c FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM documents) WHERE length(l) >= 45 AND NOT starts_with(l, '|') GROUP BY ALL HAVING count(*) > 1) GROUP BY doc_id")
+@query(r"SELECT doc_id, count(*) AS n_lines, CAST(sum(length(l)) AS BIGINT) AS n_chars FROM (SELECT doc_id, l FROM (SELECT doc_id, regexp_replace(unnest(string_split(text, chr(10))), '^\s+|\s+$', '', 'g') AS l FROM documents) WHERE length(l) >= 45 AND NOT starts_with(l, '|') AND NOT regexp_matches(l, '^[-=_*|:\s]+$') GROUP BY ALL HAVING count(*) > 1) GROUP BY doc_id")
 def duplicate_long_lines(spark, sf_dir):
-    lines = read(spark, sf_dir, "documents").select("doc_id", F.explode(T.lines(F.col("text"))).alias("l")).filter((F.length("l") >= 45) & ~F.col("l").startswith("|"))
-    return lines.groupBy("doc_id", "l").agg(F.count("*").alias("c")).filter("c > 1").groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.sum("c").alias("n_total"))
+    found = read(spark, sf_dir, "documents").select("doc_id", quality.repeated_lines(F.col("text")).alias("l")).filter(F.size("l") > 0)
+    return found.select("doc_id", F.size("l").cast("long").alias("n_lines"), F.aggregate("l", F.lit(0).cast("long"), lambda n, x: n + F.length(x)).alias("n_chars"))
 
 
 @query(r"SELECT doc_id, round(avg(CASE WHEN t > 0 AND c <= 4 * t THEN 1.0 ELSE 0.0 END), 6) AS ratio FROM (SELECT doc_id, len(regexp_extract_all(l, '[^ ]+')) AS t, length(replace(l, ' ', '')) AS c FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM documents) WHERE l <> '') GROUP BY doc_id")
 def suspicious_line_ratio(spark, sf_dir):
-    lines = read(spark, sf_dir, "documents").select("doc_id", F.explode(T.lines(F.col("text"))).alias("l")).filter("l <> ''")
-    t, c = F.regexp_count("l", F.lit("[^ ]+")), F.length(F.replace("l", F.lit(" "), F.lit("")))
-    return lines.groupBy("doc_id").agg(F.round(F.avg(F.when((t > 0) & (c <= 4 * t), 1.0).otherwise(0.0)), 6).alias("ratio"))
+    """In each document's own row."""
+    lines = F.filter(T.lines(F.col("text")), lambda x: x != "")
+
+    def short(x):
+        t = F.regexp_count(x, F.lit("[^ ]+"))
+        return (t > 0) & (F.length(F.replace(x, F.lit(" "), F.lit(""))) <= 4 * t)
+
+    return read(spark, sf_dir, "documents").select("doc_id", lines.alias("l")).filter(F.size("l") > 0).select("doc_id", F.round(F.size(F.filter("l", short)) / F.size("l"), 6).alias("ratio"))
 
 
 @query("SELECT role, count(*) AS n, count_if(regexp_matches(lower(text), 'as an ai|i cannot|i''m sorry|here is the')) AS n_marked FROM conversations GROUP BY role")
@@ -110,8 +116,8 @@ _ARTIFACTS = {"n_img": "<img", "n_script": "<script", "n_link": "<a ", "n_commen
 
 @query("SELECT " + ", ".join(f"CAST(sum(len(regexp_extract_all(html, '{p}'))) AS BIGINT) AS {n}, count_if(regexp_matches(html, '{p}')) AS pages_{n}" for n, p in _ARTIFACTS.items()) + " FROM pages")
 def html_artifact_counts(spark, sf_dir):
-    each = [x for n, p in _ARTIFACTS.items() for x in (F.sum(F.regexp_count("html", F.lit(p))).cast("long").alias(n), F.count_if(F.col("html").rlike(p)).alias(f"pages_{n}"))]
-    return read(spark, sf_dir, "pages").agg(*each)
+    counts = read(spark, sf_dir, "pages").select(*(F.regexp_count("html", F.lit(p)).alias(n) for n, p in _ARTIFACTS.items()))
+    return counts.agg(*(x for n in _ARTIFACTS for x in (F.sum(n).cast("long").alias(n), F.count_if(F.col(n) > 0).alias(f"pages_{n}"))))
 
 
 @query("SELECT page_id, length(regexp_replace(html, '<img[^>]*>|<li><a[^>]*>[^<]*</a></li>', '[FIGURE]', 'g')) AS n FROM pages")
@@ -230,16 +236,18 @@ def hybrid_score_class(spark, sf_dir):
 
 @query()
 def monotone_alignment(spark, sf_dir):
-    return align.aligned(_turn_pairs(spark, sf_dir).select(F.col("conv_id").alias("unit"), "q", "b", F.col("lex").alias("score")))
+    return align.aligned_scores(_turn_pairs(spark, sf_dir).select(F.col("conv_id").alias("unit"), "q", "b", F.col("lex").alias("score")))
 
 
 @query("""WITH q AS (SELECT vec_id AS q, label, embedding FROM embeddings WHERE vec_id % 50 = 0),
 s AS (SELECT q, e.vec_id, round(list_cosine_similarity(q.embedding::DOUBLE[], e.embedding::DOUBLE[]), 6) AS cos FROM q JOIN embeddings e USING (label) WHERE q <> e.vec_id)
 SELECT q, vec_id, cos FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY cos DESC, vec_id) AS r FROM s) WHERE r <= 3""")
 def embedding_cosine_topk(spark, sf_dir):
-    e = read(spark, sf_dir, "embeddings")
+    v = F.col("embedding")
+    norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x))
+    e = read(spark, sf_dir, "embeddings").select("vec_id", "label", F.transform(v, lambda x: x / norm).alias("embedding"))
     q = e.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("q"), "label", F.col("embedding").alias("qe"))
-    s = e.join(q, "label").filter("q <> vec_id").select("q", "vec_id", F.round(T.cosine(F.col("qe"), F.col("embedding")), 6).alias("cos"))
+    s = e.join(q, "label").filter("q <> vec_id").select("q", "vec_id", F.round(T.dot(F.col("qe"), F.col("embedding")), 6).alias("cos"))
     return s.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("cos"), "vec_id"))).filter("r <= 3").drop("r")
 
 
@@ -328,7 +336,7 @@ def events_min_interval(spark, sf_dir):
 def rect_clusters(spark, sf_dir):
     """Events as boxes on pages of 20 users."""
     boxes = read(spark, sf_dir, "events").select((F.col("user_id") % 97).alias("page"), (F.col("event_id") % 600).cast("double").alias("x0"), F.col("value").alias("y0"))
-    return align.rect_clusters(boxes.filter("y0 IS NOT NULL").select("page", "x0", "y0", (F.col("x0") + 10).alias("x1"), (F.col("y0") + 1).alias("y1")), 1.0)
+    return figures.rect_clusters(boxes.filter("y0 IS NOT NULL").select("page", "x0", "y0", (F.col("x0") + 10).alias("x1"), (F.col("y0") + 1).alias("y1")), 1.0)
 
 
 @query("""WITH RECURSIVE s AS (SELECT l_orderkey AS u, CAST(l_partkey % 20 AS INTEGER) AS n, l_quantity > 45 AS d, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_partkey % 20, l_quantity > 45) AS k FROM lineitem),
@@ -348,8 +356,9 @@ def arithmetic_slips(spark, sf_dir):
     return read(spark, sf_dir, "lineitem").filter(F.size(formulas.slips(stated)) > 0).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
-@query("""WITH f AS (SELECT DISTINCT l_orderkey AS k, l_linenumber AS i, 'y = ' || l_partkey || CASE WHEN l_quantity > 25 THEN ' + ' ELSE ' - ' END || 'x^' || l_suppkey AS f, 'y' || '=' || l_partkey || 'x' || l_suppkey AS b FROM lineitem)
-SELECT DISTINCT o.k AS l_orderkey, o.f AS "left", s.f AS "right" FROM f o JOIN f s ON o.k = s.k AND o.b = s.b AND o.i % 2 = 0 AND s.i % 2 = 1 AND o.f <> s.f WHERE length(o.f) >= 12 AND length(s.f) >= 12""")
+@query(r"""WITH f AS (SELECT DISTINCT l_orderkey AS k, l_linenumber % 2 AS i, 'y = ' || l_partkey || CASE WHEN l_quantity > 25 THEN ' + ' ELSE ' - ' END || 'x^' || l_suppkey AS f FROM lineitem),
+g AS (SELECT *, regexp_replace(f, '[-+]', '', 'g') AS sg, regexp_replace(f, '\^\{[^}]*\}|\^.', '', 'g') AS xp FROM f), s AS (SELECT * FROM g WHERE i = 1), o AS (SELECT * FROM g WHERE i = 0 AND length(f) >= 12 AND (k, f) NOT IN (SELECT k, f FROM s))
+SELECT o.k AS l_orderkey, o.f AS "left", s.f AS "right", 'sign' AS differs_in FROM o JOIN s ON o.k = s.k AND o.sg = s.sg UNION ALL SELECT o.k, o.f, s.f, 'exponent' FROM o JOIN s ON o.k = s.k AND o.xp = s.xp AND o.sg <> s.sg""")
 def formula_sign_variants(spark, sf_dir):
     """Even lines of an order against odd ones."""
     f = F.concat(F.lit("y = "), "l_partkey", F.when(F.col("l_quantity") > 25, " + ").otherwise(" - "), F.lit("x^"), "l_suppkey")
@@ -357,18 +366,18 @@ def formula_sign_variants(spark, sf_dir):
     return formulas.sign_variants(rows.filter("l_linenumber % 2 = 0"), rows.filter("l_linenumber % 2 = 1"), "l_orderkey", "formula")
 
 
-@query(r"SELECT doc_id, (length(text) - length(replace(text, '$', ''))) % 2 = 1 AS odd_dollars, length(replace(text, '}', '')) - length(replace(text, '{', '')) AS brace_gap, len(regexp_extract_all(text, '[\^_](?:[ \n$]|$)')) AS dangling FROM documents")
+@query(r"SELECT doc_id, (length(replace(text, '$$', '')) - length(replace(replace(text, '$$', ''), '$', ''))) % 2 = 1 AS odd_dollars, length(replace(text, '}', '')) - length(replace(text, '{', '')) AS brace_gap, len(regexp_extract_all(text, '\\frac($|[^{])')) AS bare_fractions, regexp_matches(text, '[\^_]\s*(\$|\n|$)') AS dangling FROM documents")
 def latex_balance(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", *(c.alias(n) for n, c in formulas.latex_counts(F.col("text")).items()))
 
 
-@query("""WITH c AS (SELECT doc_id, length(l) - length(replace(l, ',', '')) AS c FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM documents)),
-s AS (SELECT doc_id, CAST(sum(k) AS BIGINT) AS n_rows, max(k) AS m FROM (SELECT doc_id, c, count(*) AS k FROM c WHERE c > 0 GROUP BY ALL) GROUP BY doc_id)
-SELECT doc_id, n_rows, n_rows - m AS n_off FROM s WHERE n_rows >= 3 AND n_rows - m > greatest(1, floor(n_rows / 3))""")
+@query("""WITH c AS (SELECT doc_id, length(l) - length(replace(l, '|', '')) AS c FROM (SELECT doc_id, unnest(string_split('|' || replace(replace(text, ',', '|'), chr(10), '|' || chr(10) || '|') || '|', chr(10))) AS l FROM documents)),
+s AS (SELECT doc_id, sum(k) AS n_rows, max(k) AS m FROM (SELECT doc_id, c, count(*) AS k FROM c GROUP BY ALL) GROUP BY doc_id)
+SELECT doc_id, CAST(n_rows AS INTEGER) AS n_rows, CAST(n_rows - m AS INTEGER) AS n_off FROM s WHERE n_rows >= 3 AND n_rows - m > greatest(1, floor(n_rows / 3))""")
 def uneven_tables(spark, sf_dir):
-    """Lines with commas as rows."""
-    lines = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("unit"), F.explode(T.lines(F.col("text"))).alias("line"))
-    return formulas.uneven_tables(lines, ",").withColumnRenamed("unit", "doc_id")
+    """Lines as rows of a table, their commas as separators."""
+    rows = F.concat(F.lit("|"), F.replace(F.replace("text", F.lit(","), F.lit("|")), F.lit("\n"), F.lit("|\n|")), F.lit("|"))
+    return read(spark, sf_dir, "documents").select("doc_id", formulas.uneven_table(rows).alias("t")).filter("t IS NOT NULL").select("doc_id", "t.*")
 
 
 @query("SELECT strftime(ts, '%Y-%m-%d %H:00') AS hour, event_type, count(*) AS n FROM events WHERE ts IS NOT NULL GROUP BY ALL")

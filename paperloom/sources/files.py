@@ -6,7 +6,7 @@ from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, StringType, StructType
+from pyspark.sql.types import MapType, StringType, StructField, StructType
 
 # Fixed value: the first bytes of a PDF file.
 PDF_MAGIC = b"%PDF"
@@ -59,14 +59,53 @@ def json_rows(spark: SparkSession, path: str, schema: StructType | str, many_lin
 
 def json_entries(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """(key, value...) of files that hold one object whose values have this schema. A file is one row until it is exploded."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], StructType([StructField("key", StringType()), *schema.fields]))
     whole = spark.read.text(path, wholetext=True)
     entries = whole.select(F.explode(F.from_json("value", MapType(StringType(), schema))).alias("key", "entry"))
     return entries.select("key", "entry.*")
 
 
+def captions(spark: SparkSession, folder: str, schema: StructType | str) -> DataFrame:
+    """Records of one JSON file each: no index files, no malformed ones, no decorative images; caption_file is the file's name."""
+    if not exists(spark, folder):
+        return spark.createDataFrame([], schema).withColumn("caption_file", F.lit(None).cast("string"))
+    read = spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").json(folder)
+    rows = read.withColumn("caption_file", _name(F.col("_metadata.file_path"))).filter("caption_file <> 'index.json'")
+    return rows.filter(~F.coalesce("is_decorative", F.lit(False))) if "is_decorative" in rows.columns else rows
+
+
+def _replaced(spark: SparkSession, new: str, path: str) -> None:
+    """Puts a finished folder in the place of another: what was there is moved aside first and deleted last."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    old, to, source = hadoop.Path(f"{path}.old"), hadoop.Path(path), hadoop.Path(new)
+    files = to.getFileSystem(conf)
+    files.delete(old, True)
+    if files.exists(to):
+        files.rename(to, old)
+    if not files.rename(source, to):
+        files.rename(old, to)
+        raise OSError(f"{new} could not be moved to {path}")
+    files.delete(old, True)
+
+
+def replaced(df: DataFrame, path: str, kind: str = "parquet", by: list[str] | None = None) -> None:
+    """Writes df in place of a folder that it may have been read from. The job writes beside it; readers see the old files or the new ones, but for the
+    moment of two renames."""
+    new = f"{path}.new"
+    df.write.mode("overwrite").partitionBy(*(by or [])).format(kind).save(new)
+    _replaced(df.sparkSession, new, path)
+
+
 def write_json(df: DataFrame, path: str, by: list[str] | None = None) -> None:
-    """Replaces a folder of JSON lines, split by columns. Readers see the new files only when the job has committed."""
-    df.write.mode("overwrite").partitionBy(*(by or [])).json(path)
+    """Replaces a folder of JSON lines, split by columns."""
+    replaced(df, path, "json", by)
+
+
+def write_texts(texts: DataFrame, path: str) -> None:
+    """texts(stem, content) as one text file each, below a folder for each stem."""
+    texts.select("stem", F.col("content").alias("value")).write.mode("overwrite").partitionBy("stem").option("lineSep", "\n").text(path)
 
 
 def append_log(df: DataFrame, path: str) -> None:

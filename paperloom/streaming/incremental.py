@@ -13,8 +13,13 @@ from pyspark.sql.types import StructType
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A new folder in spark.checkpoint.dir, which driver and executors share; where that is unset (tests), a temporary one."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="paperloom-")
+    """A new folder in spark.checkpoint.dir, which driver and executors share. Where that is unset a temporary one does if they are one process (tests); on
+    a cluster that raises RuntimeError."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir names no folder that driver and executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="paperloom-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from paperloom.functions import text as T
-from paperloom.operators import align, catalog, overlay, sequences
+from paperloom.operators import align, catalog, figures, overlay, sequences
 
 
 def test_manifest(spark):
@@ -11,12 +11,15 @@ def test_manifest(spark):
     assert (a["subject"], a["year"], a["family"], a["type"]) == ("english", 2019, "A", "exam")
     assert (b["family"], b["session"], b["session_type"]) == ("B", 2, "reexam")
     assert (c["family"], c["topic_choice"], c["duplicate"], c["censored"]) == ("C", "both", True, True)
-    assert d["subject"] is None and e["subject"] is None
+    assert d["subject"] is None and e["subject"] is None and a["era"] == "stable"
+    years = catalog.year_regimes(spark)
+    assert {r["era"] for r in years.filter("year >= 2023").collect()} == {"modern"} and catalog.training_years(years).count() == 18
+    assert {r["year"] for r in catalog.two_sessions(years).collect()} == {2016, 2017} and catalog.year(years, 2020)["completion_pct"] == 65.0
 
 
 def test_coverage(spark):
     files = spark.createDataFrame([("bac_math_2019_sujet1.pdf",)], "filename string")
-    assert catalog.coverage(catalog.manifest(files)).first()["missing"] == ["2:exam", "1:solution", "2:solution"]
+    assert catalog.coverage(catalog.manifest(files)).first()["missing"] == ["topic1_solution", "topic2_exam", "topic2_solution"]
 
 
 def test_scripts_and_normal_form(spark):
@@ -61,11 +64,50 @@ def test_monotone():
 
     assert align.monotone(np.array([[0.1, 0.9], [0.8, 0.2]])) == [1, -1]
     assert align.monotone(np.array([[0.5, 0.5], [0.0, 0.5]])) == [0, 1]
+    assert align.monotone(np.array([[0.6], [0.6]])) == [0, -1]
+    assert align.monotone(np.array([[0.6], [0.6]]), np.array([[False], [True]])) == [0, 0]
+    assert align.monotone(np.zeros((2, 2))) == [-1, -1] and align.monotone(np.zeros((1, 0))) == [-1]
+
+
+def test_monotone_against_its_definition():
+    from functools import cache
+
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for _ in range(80):
+        n, m = int(rng.integers(1, 6)), int(rng.integers(1, 6))
+        score = np.where(rng.random((n, m)) < 0.6, rng.integers(1, 9, (n, m)) / 10, 0.0)
+        again = rng.random((n, m)) < 0.3
+
+        @cache
+        def best(rows, columns, score=score, again=again):
+            """(sum, column of the last row or None) over the first rows and columns."""
+            if not rows:
+                return 0.0, None
+            options = [(best(rows - 1, columns)[0], 1, 0, None)]
+            for k in range(columns):
+                before, last = best(rows - 1, k + 1)
+                if score[rows - 1, k] > 0 and (last != k or again[rows - 1, k]):
+                    options.append((before + score[rows - 1, k] - align.AGAIN * (last == k), 0, -k, k))
+            top = max(options, key=lambda o: (round(o[0], 9), o[1], o[2]))
+            return top[0], top[3]
+
+        got, columns, expected = align.monotone(score, again), m, [-1] * n
+        for i in range(n, 0, -1):
+            k = best(i, columns)[1]
+            if k is not None:
+                expected[i - 1], columns = k, k + 1
+        first = {}
+        for i, k in enumerate(expected):
+            if k >= 0 and first.setdefault(k, i) != i and not again[i, k]:
+                expected[i] = -1
+        assert got == expected, (score, again)
 
 
 def test_clusters(spark):
     df = spark.createDataFrame([(1, 0.0, 0.0, 1.0, 1.0), (1, 1.5, 0.0, 2.0, 1.0), (1, 9.0, 9.0, 10.0, 10.0)], "page long, x0 double, y0 double, x1 double, y1 double")
-    assert sorted(r["n"] for r in align.rect_clusters(df, 0.6).collect()) == [1, 2]
+    assert sorted(r["n"] for r in figures.rect_clusters(df, 0.6).collect()) == [1, 2]
 
 
 def test_stubs_and_shared_answers(spark):
