@@ -174,9 +174,11 @@ def numbering_runs(spark, sf_dir):
     return sequences.runs(rows, "l_orderkey", "o", "l_partkey").groupBy("l_orderkey", "run").agg(F.count("*").alias("n"))
 
 
-@query("SELECT l_orderkey, l_linenumber AS after FROM (SELECT l_orderkey, l_linenumber, lead(l_linenumber) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS n FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_quantity > 10)) WHERE n = l_linenumber + 2")
+@query("SELECT l_orderkey, CAST(n AS INTEGER) AS after FROM (SELECT l_orderkey, n, lead(n) OVER (PARTITION BY l_orderkey ORDER BY n) AS m FROM (SELECT DISTINCT l_orderkey, l_partkey % 20 AS n FROM lineitem)) WHERE m = n + 2")
 def numbering_gaps(spark, sf_dir):
-    return sequences.gaps(read(spark, sf_dir, "lineitem").filter("l_quantity > 10"), "l_orderkey", "l_linenumber")
+    """Parts of an order as numbers."""
+    rows = read(spark, sf_dir, "lineitem").select("l_orderkey", (F.col("l_partkey") % 20).cast("int").alias("n"))
+    return sequences.gaps(rows, "l_orderkey", "n")
 
 
 @query("SELECT conv_id, turn, role, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS occurrence FROM conversations")
@@ -334,7 +336,7 @@ def events_min_interval(spark, sf_dir):
 
 @query()
 def rect_clusters(spark, sf_dir):
-    """Events as boxes on pages of 20 users."""
+    """Events as boxes on 97 pages; those without a value are none."""
     boxes = read(spark, sf_dir, "events").select((F.col("user_id") % 97).alias("page"), (F.col("event_id") % 600).cast("double").alias("x0"), F.col("value").alias("y0"))
     return figures.rect_clusters(boxes.filter("y0 IS NOT NULL").select("page", "x0", "y0", (F.col("x0") + 10).alias("x1"), (F.col("y0") + 1).alias("y1")), 1.0)
 
