@@ -1,210 +1,14 @@
-"""Numbered questions and answers in a text: labels, lines of tables, items, blocks, and what a label or block is.
-
-Which label opens an item depends on the items before it, and a number may be glued to the line after it, so a text is read in one
-pass, in Arrow batches of whole texts; no line leaves its text's row."""
+"""Labels, items and blocks of texts as columns, read in Arrow batches of whole texts; no line leaves its text's row."""
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
 
-from .. import fixed
-
-_DIGITS = str.maketrans("٠١٢٣٤٥٦٧٨٩,", "0123456789.")
-_MARKS, _MARKUP, _CELL = re.compile(fixed.MARKS), re.compile(fixed.MARKUP), re.compile(fixed.CELL_MARKUP)
-_FOOTER, _LABEL, _TURNED = re.compile(fixed.PAGE_FOOTER), re.compile(fixed.LABEL), [re.compile(r"^\s*(?:" + p + ")") for p in fixed.TURNED_LABELS]
-_ASKING = re.compile(fixed.ASKING)
-# Lines that open with a number and are no question: scores, values, options of a choice, names of substances, dates.
-_SCORE_CELL, _SCORE_LINE = re.compile(r"[\d.,\s×x+]+"), re.compile(r"\s*\(?\d+(?:[.,]\d+)?\)?\s*(?:pts?|points?)\b", re.I)
-_PERCENT, _FOOT = re.compile(r"\s*[\d.,]+\s*%"), re.compile(r"[–\-]\s*\||BAC20\d\d/")
-_OPTION, _SUBSTANCE, _INNER_NUMBER = re.compile(r"\(\s*[1-9]\s*\)"), re.compile(r"\d+-[ء-ي]"), re.compile(r"[ء-ي]-\d+-")
-_DATE, _LETTER = re.compile(r"\s*[\-–]\s*\d+\s+[a-zà-ÿ]"), re.compile(r"[^\W\d_]")
-_CLEAN_SCORE = re.compile(r"[\d.,\s×x+()]+")
-# A number alone in its cell, what may and may not follow one, rows of matching tables.
-_ALONE, _CLOSED = re.compile(r"\**\(?\s*(?:[1-9]|1[0-5])\s*[.)]?\**"), re.compile(r"[.)]\**$")
-_AFTER_CLOSED = re.compile(r"(?:\**|<u>|[\-–]\s*)?\s*(?:[A-Za-zء-ي(«]|<table|\d+\s*[.)]\s*[A-Za-z])")
-_AFTER_BARE, _AFTER_NOT = re.compile(r"\**\s*[A-Za-zء-ي(]"), re.compile(r"\**\s*\(?(?:0?\d+(?:[.,]\d+)?\s*(?:[x×]\s*\d|pts?\b|points?\b|each\b)|0\d)", re.I)
-_MATCHING_ROW = re.compile(r"\s*\d+[.)]?\s+[A-Za-z][\w'-]*\s*(?:\(\s*§\s*\d\s*\))?\s*(?:[a-d]\s*[.)]|Syllables?\b|$)")
-_BREAK, _PIPE, _INNER_PIPE, _RULE = re.compile(r"<br\s*/?>"), re.compile(r"(?<!\\)\|"), re.compile(r"\s\|\s"), re.compile(r"[\s:\-]+")
-_CHOICE = re.compile(r"(?:^|[\s.])(?:[ab]\)|أ\)|ب\)|أ-|ب-)")
-HEADING = re.compile(
-    r"^[\s#*_\-]*(?P<kind>" + fixed.EXERCISE + "|" + fixed.PART + r")\s+(?P<ord>" + "|".join(fixed.ORDINALS) + r")[\s:：*_]*"
-    r"(?:\(?\s*(?P<pts>[\d٠-٩]+(?:[.,]\d+)?)\s*\)?\s*(?:" + fixed.POINTS + r")\b[^\n]*)?"
-)
-
-
-def plain(line: str) -> str:
-    """Without vowel signs and inline markup."""
-    return _MARKUP.sub("", _MARKS.sub("", line))
-
-
-def western(number: str) -> str:
-    return number.translate(_DIGITS)
-
-
-def fragments(line: str) -> list[str]:
-    """Cells, parts between line breaks and between slashes that stand alone."""
-    return re.split(r"<br\s*/?>|\||\s/\s", plain(line))
-
-
-def label_of(line: str) -> str | None:
-    """The label that opens a line, 3 or 2.1; None for lines that open with another number or none."""
-    t = _CELL.sub("", _MARKS.sub("", line)).strip()
-    if _SCORE_CELL.fullmatch(t) or any(p.match(t) for p in (_FOOTER, _PERCENT, _SCORE_LINE)) or _FOOT.search(t):
-        return None
-    if t.count("–") >= 3 and len(_LETTER.findall(t)) < 20:  # an axis drawn in characters
-        return None
-    form, found = -1, _LABEL.match(t)
-    while found is None and form + 1 < len(_TURNED):
-        form += 1
-        found = _TURNED[form].match(t)
-    if found is None or (t.startswith("(") and len(_OPTION.findall(t)) > 1) or (_SUBSTANCE.match(t) and _INNER_NUMBER.search(t)) or (form <= 0 and _DATE.match(t)):
-        return None
-    if found[1] in fixed.KEY_ORDINALS:
-        return str(fixed.KEY_ORDINALS[found[1]])
-    label = western(found[1])
-    return None if any(int(x) > fixed.DEEPEST_PART for x in label.split(".")[1:]) else label
-
-
-def leading(label: str) -> int:
-    return int(label.split(".")[0])
-
-
-def _cells(lines: list[str]) -> Iterator[str]:
-    for line in lines:
-        row = line.lstrip().startswith("|")
-        if row or "<br" in line or " | " in line:
-            for cell in (_PIPE if row else _INNER_PIPE).split(line):
-                yield from (f.strip() for f in _BREAK.split(cell) if f.strip() and not _RULE.fullmatch(f))
-        else:
-            yield line
-
-
-def virtual_lines(lines: list[str]) -> Iterator[str]:
-    """Lines as a reader sees them: cells of tables and parts between line breaks each one, and a number that stands alone before its answer
-    on one line with it."""
-    waiting = None  # a number alone
-    for line in _cells(lines):
-        if waiting is not None:
-            number, waiting = waiting, None
-            closed = bool(_CLOSED.search(number.strip()))
-            if (_AFTER_CLOSED if closed else _AFTER_BARE).match(line) and not _AFTER_NOT.match(line) and label_of(line) is None:
-                yield re.sub(r"[*()]", "", number).strip().rstrip(".") + (". " if closed else " ") + line.strip()
-                continue
-            yield number
-        if _ALONE.fullmatch(line.strip()):
-            waiting = line
-        else:
-            yield line
-    if waiting is not None:
-        yield waiting
-
-
-def items_of(lines: list[str], strict: bool = False) -> list[dict]:
-    """The numbered items of a text. A dotted label, the next number and 1 open one, the first of 12 at most does, and later larger ones of 15 at
-    most; strictly, only the next number does, or a first one of 3 at most, and rows of matching tables never."""
-    out: list[dict] = []
-    expected = 1
-    for line in virtual_lines(lines):
-        label = label_of(line)
-        if label is not None:
-            n, dotted, first = leading(label), "." in label, not out
-            if strict:
-                opens = not dotted and not _MATCHING_ROW.match(line.strip()) and (n == expected or (first and n <= 3))
-            else:
-                opens = dotted or n in (expected, 1) or (n <= 12 if first else leading(out[-1]["label"]) < n <= 15)
-            if opens:
-                out.append({"label": label, "text": line.strip()})
-                expected = n + 1
-                continue
-        if out:
-            out[-1]["text"] += "\n" + line.rstrip()
-    return [x for x in out if x["text"].strip()]
-
-
-def clean(text: str) -> str:
-    """The lines that say something: no blank ones, footers and scores, and headings only where an answer follows on their line."""
-    kept = []
-    for line in text.splitlines():
-        t = _CELL.sub("", line).strip()
-        if not t or _FOOTER.match(t) or _CLEAN_SCORE.fullmatch(t):
-            continue
-        head = HEADING.match(plain(t))
-        if head is None or len(t) - head.end() > 15:
-            kept.append(t)
-    return "\n".join(kept)
-
-
-def blocks_of(text: str, least: int = 6) -> list[dict]:
-    """An answer key cut at every label, or into paragraphs if it has none; blocks that say next to nothing are left out."""
-    lines = list(virtual_lines(text.splitlines()))
-    labels = [label_of(x) for x in lines]
-    numbered = any(x is not None for x in labels)
-    runs: list[tuple[str | None, list[str]]] = []
-    fresh = True
-    for line, label in zip(lines, labels):
-        if not numbered and not line.strip():
-            fresh = True
-            continue
-        if fresh or label is not None:
-            runs.append((label, []))
-            fresh = False
-        runs[-1][1].append(line)
-    out = [{"label": label, "text": "\n".join(part)} for label, part in runs]
-    return [x | {"clean": c} for x in out if len(c := clean(x["text"])) >= least]
-
-
-def turned(label: str) -> str:
-    return ".".join(reversed(label.split(".")))
-
-
-def oriented(rows: list[dict]) -> list[dict]:
-    """rows with label_raw, and all labels of several parts turned round if among neighbours of equal depth the first part changes more often than
-    the last: the text layer has then reversed them."""
-    parts = [r["label"].split(".") for r in rows if r["label"] and "." in r["label"]]
-    pairs = [(a, b) for a, b in zip(parts, parts[1:]) if len(a) == len(b)]
-    flip = sum(a[0] != b[0] for a, b in pairs) > sum(a[-1] != b[-1] for a, b in pairs)
-    return [r | {"label": turned(r["label"]) if flip and r["label"] else r["label"], "label_raw": r["label"]} for r in rows]
-
-
-def asks(text: str) -> bool:
-    """Whether a text is a question: long, with a word that asks, or with choices."""
-    t = _MARKS.sub("", clean(text))
-    return len(t) >= 60 or bool(_ASKING.search(t)) or bool(_CHOICE.search(t))
-
-
-def legends(rows: list[dict], share: float = 0.6) -> set[int]:
-    """Places of labels of a figure: a run of undotted labels that mostly ask nothing, before another run. A run ends where an undotted label
-    doesn't grow."""
-    starts = [i for i, r in enumerate(rows) if i and "." not in r["label"] and leading(r["label"]) <= leading(rows[i - 1]["label"])]
-    runs = [range(a, b) for a, b in zip([0, *starts], [*starts, len(rows)])]
-    return {i for run in runs[:-1] if not any("." in rows[i]["label"] for i in run) and sum(not asks(rows[i]["text"]) for i in run) >= share * len(run) for i in run}
-
-
-def stubs(rows: list[dict]) -> set[int]:
-    """Places of labels that the next one lies below."""
-    return {i for i, (a, b) in enumerate(zip(rows, rows[1:])) if b["label"].startswith(a["label"] + ".")}
-
-
-def mentions(label: str, text: str) -> bool:
-    """Whether a later line or cell of a block opens with a label, in either orientation."""
-    either = "|".join(re.escape(x) for x in sorted({label, turned(label)}))
-    return re.search(rf"(?:^|\n|\|)\s*\**\(?\s*(?:{either})\s*[\.\)\-–/:]", text.partition("\n")[2]) is not None
-
-
-def qids(unit: str, rows: list[dict]) -> list[str]:
-    """Keys of a unit's questions: its label, and #n from the second of a label on."""
-    seen: dict[str, int] = {}
-    out = []
-    for r in rows:
-        n = seen[r["label"]] = seen.get(r["label"], 0) + 1
-        out.append(f"{unit}__q{r['label']}" + (f"#{n}" if n > 1 else ""))
-    return out
+from .reading import asks, blocks_of, clean, items_of, label_of, legends, mentions, oriented, qids, stubs, virtual_lines
 
+__all__ = ["asks", "block_mentions", "blocks", "blocks_of", "clean", "cleaned", "is_question", "item_label", "items", "items_of", "label_of", "legends", "mentions", "oriented", "qids", "seen_lines", "stubs", "virtual_lines"]
 
 _ITEM = StructType().add("label", StringType()).add("text", StringType())
 

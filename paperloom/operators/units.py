@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed
-from . import labels as L
+from . import reading as L
 
 _PAGE, _STEM, _TOPIC, _FIGURE, _HEADER = (re.compile(p) for p in (r"^\[PAGE (\d+)\]\s*$", fixed.STEM, fixed.TOPIC_MARK, fixed.FIGURE_MARK, fixed.HEADER_LINE))
 #: Text before the first heading, or beside none, is a unit of its own from so many characters on.

@@ -236,9 +236,18 @@ def hybrid_score_class(spark, sf_dir):
     return best.select("conv_id", "q", F.when(m >= 0.6, "strong").when(m >= 0.4, "good").when(m > 0, "label_supported").otherwise("none").alias("match"))
 
 
-@query()
+@query(f"""WITH RECURSIVE t AS (SELECT conv_id, turn, role, {_ANCHORS} AS w FROM conversations), s AS (
+SELECT q.conv_id AS unit, q.turn AS q, a.turn AS b, round(CASE WHEN len(q.w) = 0 OR len(a.w) = 0 THEN 0 ELSE len(list_intersect(q.w, a.w)) / sqrt(len(q.w) * len(a.w)::DOUBLE) END, 6) AS lex FROM t q JOIN t a ON q.conv_id = a.conv_id AND q.role = 'user' AND a.role = 'assistant'),
+r AS (SELECT unit, q, row_number() OVER (PARTITION BY unit ORDER BY q) AS i, list(lex ORDER BY b) AS s, list(b ORDER BY b) AS bs FROM (SELECT unit, q, b, max(lex) AS lex FROM s GROUP BY ALL) GROUP BY unit, q),
+dp AS (SELECT DISTINCT unit, CAST(0 AS BIGINT) AS i, len(bs) AS m, list_transform(range(0, len(bs) + 1), lambda x: 0.0::DOUBLE) AS best, list_transform(range(0, len(bs) + 1), lambda x: -1::BIGINT) AS pick FROM r
+UNION ALL SELECT unit, i, m, list_transform(range(0, m + 1), lambda j: CASE WHEN coalesce(list_max(v[1:j]), -1e9) > best[j + 1] + 1e-12 THEN list_max(v[1:j]) ELSE best[j + 1] END),
+list_transform(range(0, m + 1), lambda j: CASE WHEN coalesce(list_max(v[1:j]), -1e9) > best[j + 1] + 1e-12 THEN list_position(v[1:j], list_max(v[1:j]))::BIGINT - 1 ELSE -1 END)
+FROM (SELECT dp.unit, r.i, m, best, list_transform(range(1, m + 1), lambda k: CASE WHEN s[k] > 0 AND pick[k + 1] <> k - 1 THEN best[k + 1] + s[k] ELSE -1e9 END) AS v FROM dp JOIN r ON r.unit = dp.unit AND r.i = dp.i + 1)),
+back AS (SELECT unit, max(i) AS i, any_value(m)::BIGINT AS j FROM dp GROUP BY unit UNION ALL SELECT back.unit, back.i - 1, CASE WHEN pick[j + 1] >= 0 THEN pick[j + 1] + 1 ELSE j END FROM back JOIN dp ON dp.unit = back.unit AND dp.i = back.i WHERE back.i > 0)
+SELECT unit, q, b FROM (SELECT back.unit, r.q, bs[pick[j + 1] + 1] AS b, row_number() OVER (PARTITION BY back.unit, pick[j + 1] ORDER BY back.i) AS n FROM back JOIN dp ON dp.unit = back.unit AND dp.i = back.i JOIN r ON r.unit = back.unit AND r.i = back.i WHERE back.i > 0 AND pick[j + 1] >= 0) WHERE n = 1""")
 def monotone_alignment(spark, sf_dir):
-    return align.aligned_scores(_turn_pairs(spark, sf_dir).select(F.col("conv_id").alias("unit"), "q", "b", F.col("lex").alias("score")))
+    """User turns as questions, assistants' as blocks."""
+    return align.aligned_scores(_turn_pairs(spark, sf_dir).select(F.col("conv_id").alias("unit"), "q", "b", F.round("lex", 6).alias("score")))
 
 
 @query("""WITH q AS (SELECT vec_id AS q, label, embedding FROM embeddings WHERE vec_id % 50 = 0),
