@@ -51,7 +51,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Writes df to the shared folder and reads it back: lineage ends there, and lost executors cost no recomputation."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -25,6 +25,8 @@ from .common import Hashes, dropped, joined_small, mix64, slices, staged, table,
 
 N, THRESHOLD, RECALL = 5, 0.8, 0.9999
 CHOICES, SMALL, DEPTH = 2, 400, 3
+#: A bucket that kept more than this share of the one above it holds near copies, which no token tells apart: it is split no further.
+SHRINK = 0.7
 #: Sets of a block of a group that stays large.
 BLOCK = 1000
 SKETCH = 64
@@ -103,35 +105,46 @@ def whole_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _split(large: DataFrame, level: int) -> DataFrame:
-    """(node, bucket) below the buckets of large(set, node, buckets)."""
+    """(node, bucket, above) below the buckets of large(set, node, buckets array<struct<bucket,c>>), above being the size of the bucket split."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "set"):
-            nodes, found = [], []
+            nodes, found, above = [], [], []
             for data, node, buckets in zip(*(c.to_pylist() for c in batch.columns)):
                 tokens = np.frombuffer(data, np.uint64)
-                below = {b for path in buckets for b in choose(tokens, 100 + level, path & 0xFFFFFFFFFFFFFFFF)}
+                below = {b: x["c"] for x in buckets for b in choose(tokens, 100 + level, x["bucket"] & 0xFFFFFFFFFFFFFFFF)}
                 nodes += [node] * len(below)
                 found += below
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(found, pa.int64())], names=["node", "bucket"])
+                above += below.values()
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(found, pa.int64()), pa.array(above, pa.int64())], names=["node", "bucket", "above"])
 
-    return large.select("set", "node", "buckets").mapInArrow(run, "node long, bucket long")
+    return large.select("set", "node", "buckets").mapInArrow(run, "node long, bucket long, above long")
 
 
 def paths(classes: DataFrame, rows: DataFrame, small: int = SMALL, depth: int = DEPTH) -> DataFrame:
     """(node, bucket, c): the buckets of two or more sets at which the recursion ends, with their sizes."""
-    live_rows, done, sets = classes.select("node", F.explode("buckets").alias("bucket")), None, None
+    spark = classes.sparkSession
+    live_rows, done, sets = classes.select("node", F.explode("buckets").alias("bucket"), F.lit(None).cast("long").alias("above")), None, None
     for level in range(depth + 1):
         counts = staged(live_rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "join-counts")
         live = staged(joined_small(live_rows, counts, ["bucket"], "inner"), "join-rows")
-        ended = live if level == depth else live.filter(F.col("c") <= small)
+        dropped(spark, counts)
+        if level:
+            dropped(spark, live_rows)
+        large = (F.col("c") > small) & (F.col("above").isNull() | (F.col("c") <= SHRINK * F.col("above")))
+        ended = (live if level == depth else live.filter(~large)).select("node", "bucket", "c")
         done = ended if done is None else done.unionByName(ended)
-        if level == depth or not live.filter(F.col("c") > small).take(1):
-            return done
-        large = staged(live.filter(F.col("c") > small).groupBy("node").agg(F.collect_list("bucket").alias("buckets")), "join-large")
+        if level == depth or not live.filter(large).take(1):
+            break
+        split = staged(live.filter(large).groupBy("node").agg(F.collect_list(F.struct("bucket", "c")).alias("buckets")), "join-large")
         if sets is None:
-            sets = staged(whole_sets(rows, staged(large.select("node").join(classes.select("node", "row"), "node"), "join-large-rows")), "join-large-sets")
-        live_rows = staged(_split(sets.join(large, "node"), level), "join-split")
+            wanted = staged(split.select("node").join(classes.select("node", "row"), "node"), "join-large-rows")
+            sets = staged(whole_sets(rows, wanted), "join-large-sets")
+            dropped(spark, wanted)
+        live_rows = staged(_split(sets.join(split, "node"), level), "join-split")
+        dropped(spark, split)
+    if sets is not None:
+        dropped(spark, sets)
     return done
 
 
@@ -305,6 +318,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float
 
     Distinct texts of one group of near copies are compared with each other once, in blocks, for the numbers of links are exact: this grows with the
     square of such a group's distinct texts, spread over many tasks."""
+    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = docs.withColumn("row", F.col("doc_id")) if numbered else staged(docs.withColumn("row", F.monotonically_increasing_id()), "join-numbered")
     rows = rows.select("row", "doc_id", "text")
@@ -313,13 +327,22 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float
         F.min("doc_id").alias("first"), F.min(F.struct("node", "row")).alias("r"), F.count(F.lit(1)).alias("copies"), *(F.first(c).alias(c) for c in ("n", "sketch", "buckets"))
     )
     classes = staged(grouped.select("digest", "first", "r.node", "r.row", "copies", "n", "sketch", "buckets"), "join-classes")
-    dealt = _dealt(paths(classes, rows, small, depth), classes, small, block)
+    ended = paths(classes, rows, small, depth)
+    used = [staged(ended, "join-paths")]
+    dropped(spark, ended)
+    dealt = _dealt(used[0], classes, small, block)
     wanted = staged(candidates(dealt, threshold), "join-candidates")
+    for df in used:
+        dropped(spark, df)
     per_node = wanted.groupBy("node").agg(F.first("paths").alias("paths"), F.collect_list(F.struct("group", "bucket", "x", "y", "block")).alias("groups"))
     needed = staged(per_node.join(classes.select("node", "row", "copies"), "node"), "join-needed")
+    dropped(spark, wanted)
     made = whole_sets(rows, staged(needed.select("node", "row"), "join-needed-rows"))
     spread = made.join(needed.select("node", "copies", "paths", "groups"), "node").select("node", "paths", "copies", "set", F.explode("groups").alias("g"))
     links = staged(verified(spread.select("node", "paths", "copies", "set", "g.*"), threshold), "join-links")
+    dropped(spark, needed)
+    if not numbered:
+        dropped(spark, rows)
     roots = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
     degree = links.groupBy("node").agg(F.sum("n_links").alias("linked"))
     named = roots.join(degree, "node", "left").join(classes.select("node", "digest", "first", "copies"), "node")
