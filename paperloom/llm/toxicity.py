@@ -140,7 +140,7 @@ def held_out_choice(rows: np.ndarray, cols: np.ndarray, toxic: np.ndarray, n_gra
     tails = np.zeros((len(PHIS), n))
     for k in range(min(FOLDS, n)):
         learned = fold != k
-        at = np.cumsum(learned) - 1
+        at = np.cumsum(learned, dtype=np.int32) - 1
         mine = learned[rows]
         r, c = at[rows[mine]], cols[mine]
         grades = severity(r, c, toxic[learned], n_grades)
@@ -224,6 +224,9 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, n_grad
     rows = np.repeat(np.arange(len(cols), dtype=np.int32), [len(c) for c in cols])
     flat = np.concatenate(cols).astype(np.int32) if cols else np.zeros(0, np.int32)
     del got, cols
+    # no model takes a feature of fewer documents than this, whichever fold it is fitted without
+    often = (np.bincount(flat, minlength=1 << BITS) >= MIN_DOCS)[flat]
+    rows, flat = rows[often], flat[often]
     phi, cut = held_out_choice(rows, flat, toxic, n_grades)
     model = fit(rows, flat, severity(rows, flat, toxic, n_grades), n_grades, phi)
     return Ordinal(model.weights, model.cuts, cut)
