@@ -168,7 +168,7 @@ def distinct(cols: list[np.ndarray], toxic: np.ndarray) -> tuple[list[int], np.n
     toxic if any is; of those with one label, every later one whose sets' Jaccard similarity to one that stays is COPY or more
     goes. Documents that are only alike and differ in their label all stay, for what tells them apart is what is to be learned.
 
-    Two such sets share one of each set's rarest (1 - COPY) features, so only those are looked up; every pair found is counted out."""
+    Two such sets share one of each set's rarest (1 - COPY) features, so only those that other documents hold too are looked up; every pair found is counted out."""
     labels, first = np.array(toxic, np.int64), {}
     for i, c in enumerate(cols):
         j = first.setdefault(c.tobytes(), i)
@@ -177,7 +177,8 @@ def distinct(cols: list[np.ndarray], toxic: np.ndarray) -> tuple[list[int], np.n
     stay, holders = [], {}
     for i in first.values():
         c, n, label = cols[i], len(cols[i]), int(labels[i])
-        rarest = [(label, f) for f in c[np.lexsort((c, df[c]))][: n - int(np.ceil(COPY * n - 1e-9)) + 1].tolist()]
+        rarest = c[np.lexsort((c, df[c]))][: n - int(np.ceil(COPY * n - 1e-9)) + 1]
+        rarest = ((rarest[df[rarest] > 1].astype(np.int64) << 1) | min(label, 1)).tolist()  # a feature of one document is shared with none
         near = False
         for j in {j for f in rarest for j in holders.get(f, ())}:
             m = len(cols[j])
