@@ -1,7 +1,7 @@
 """A training corpus from raw documents: toxic and low-quality documents go, near copies become one, benchmark passages
 go, and the rest is mixed to target weights. Each stage reads what the one before wrote.
 
-Every stage returns the columns of its input as they are, whatever their names and other columns; the quality rules change text, and
+Every stage but the last returns the columns of its input as they are, whatever their names and other columns; the quality rules change text, and
 n_chars with it, where lines are removed. Null ids, texts and sources and repeated rows are rows like others, an empty table stays empty."""
 
 from __future__ import annotations
@@ -50,8 +50,9 @@ def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The corpus: all columns, with the number of copies and of words of each document that the mix takes."""
-    return mixing.mixed(docs)
+    """How many copies and words of each document the mix takes: doc_id, source, size, source_size, target, taken, copies. Texts stay in the stage before,
+    and the caller joins them by id; mixing.mixed() carries all columns instead, at the cost of a shuffle of the texts."""
+    return mixing.mix(docs)
 
 
 STAGES = [
