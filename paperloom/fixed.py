@@ -196,3 +196,30 @@ RAISED, LEVEL = "⁰¹²³⁴⁵⁶⁷⁸⁹⁺⁻₀₁₂₃₄₅₆₇₈₉
 ATOM = r"[A-Za-z]{2,}|\d+(?:\.\d+)?|[A-Za-z]\d+"
 ATOM_MACROS = r"\\(?:text|mathrm|mathbf|mathbb|vec|overrightarrow|overline|bar|hat|dfrac|frac|sqrt|left|right|cdot|times|approx|simeq|ell|quad|,|;|!)\b"
 NO_ATOMS = "mol min mL MeV mV ms cm kg km nm mm sin cos tan ln log lim exp dx dt et ou de la le des les and the of".split()
+
+# Lines that open with a number and are no label: scores, running feet, axes drawn in characters, options of a choice, names of substances, dates.
+NO_LABEL = (
+    r"(?U)^[\d.,\s×x+]+$",
+    PAGE_FOOTER,
+    r"(?U)^\s*[\d.,]+\s*%",
+    r"(?iU)^\s*\(?\d+(?:[.,]\d+)?\)?\s*(?:pts?|points?)\b",
+    r"[–\-]\s*\||BAC20\d\d/",
+    r"(?s)^(?=(?:[^–]*–){3})(?!(?:\P{L}*\p{L}){20})",
+    r"(?s)^(?=\()(?:.*?\(\s*[1-9]\s*\)){2}",
+    r"(?s)^(?=\d+-[ء-ي])(?=.*[ء-ي]-\d+-)",
+    r"(?U)^\s*[\-–]\s*\d+\s+[a-zà-ÿ]",
+)
+TOO_DEEP = r"\.0*(?:1[3-9]|[2-9]\d|\d{3,})(?:\.|$)"
+NUMBERED = r"(?U)\d|الجواب"
+# Rules between cells, a number alone in its cell, what may and may not follow one, rows of matching tables, lines of scores, choices.
+CELL_RULE = r"(?U)^[\s:\-]+$"
+ALONE = r"(?U)^\**\(?\s*(?:[1-9]|1[0-5])\s*[.)]?\**$"
+ALONE_CLOSED = r"[.)]\**$"
+AFTER_CLOSED = r"(?U)^(?:\**|<u>|[\-–]\s*)?\s*(?:[A-Za-zء-ي(«]|<table|\d+\s*[.)]\s*[A-Za-z])"
+AFTER_BARE = r"(?U)^\**\s*[A-Za-zء-ي(]"
+AFTER_NEVER = r"(?iU)^\**\s*\(?(?:0?\d+(?:[.,]\d+)?\s*(?:[x×]\s*\d|pts?\b|points?\b|each\b)|0\d)"
+MATCHING_ROW = r"(?U)^\s*\d+[.)]?\s+[A-Za-z][\w'-]*\s*(?:\(\s*§\s*\d\s*\))?\s*(?:[a-d]\s*[.)]|Syllables?\b|$)"
+SCORES_ONLY = r"(?U)^[\d.,\s×x+()]+$"
+CHOICE = r"(?:^|[\s.])(?:[ab]\)|أ\)|ب\)|أ-|ب-)"
+# Numbers that may open an item: before any other one, after a smaller one, and first in a strict sequence; characters of an answer on a heading's line.
+FIRST_AT_MOST, LATER_AT_MOST, STRICT_FIRST, LEAST_AFTER_HEADING = 12, 15, 3, 15

@@ -1,48 +1,15 @@
-"""Labels, items and blocks of texts as columns, read in Arrow batches of whole texts; no line leaves its text's row."""
+"""Labels, items and blocks of whole texts as columns; null texts give null."""
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
+from pyspark.sql import Column
 
-from .reading import asks, blocks_of, clean, items_of, label_of, legends, mentions, oriented, qids, stubs, virtual_lines
+from ..functions.text import all_lines
+from . import reading
+from .reading import block_mentions, blocks, cleaned, is_question, item_label, items, legends, oriented, stubs
 
-__all__ = ["asks", "block_mentions", "blocks", "blocks_of", "clean", "cleaned", "is_question", "item_label", "items", "items_of", "label_of", "legends", "mentions", "oriented", "qids", "seen_lines", "stubs", "virtual_lines"]
+__all__ = ["block_mentions", "blocks", "cleaned", "is_question", "item_label", "items", "legends", "oriented", "seen_lines", "stubs"]
 
-_ITEM = StructType().add("label", StringType()).add("text", StringType())
 
-
-@F.pandas_udf(StringType())
-def item_label(lines: pd.Series) -> pd.Series:
-    return lines.map(lambda x: None if x is None else label_of(x))
-
-
-@F.pandas_udf(ArrayType(StringType()))
-def seen_lines(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else list(virtual_lines(t.splitlines())))
-
-
-@F.pandas_udf(ArrayType(_ITEM))
-def items(texts: pd.Series, strict: pd.Series) -> pd.Series:
-    return pd.Series([None if t is None else items_of(t.splitlines(), bool(s)) for t, s in zip(texts, strict)])
-
-
-@F.pandas_udf(ArrayType(StructType([*_ITEM.fields, StructField("clean", StringType())])))
-def blocks(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else blocks_of(t))
-
-
-@F.pandas_udf(StringType())
-def cleaned(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else clean(t))
-
-
-@F.pandas_udf(BooleanType())
-def is_question(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else asks(t))
-
-
-@F.pandas_udf(BooleanType())
-def block_mentions(labels: pd.Series, texts: pd.Series) -> pd.Series:
-    return pd.Series([None if a is None or t is None else mentions(a, t) for a, t in zip(labels, texts)])
+def seen_lines(text: Column) -> Column:
+    return reading.seen_lines(all_lines(text))

@@ -9,9 +9,9 @@ from .. import fixed
 from ..functions.text import western_digits
 
 #: Numbers that may open an item: before any other one, and after a smaller one.
-FIRST_AT_MOST, LATER_AT_MOST = 12, 15
+FIRST_AT_MOST, LATER_AT_MOST = fixed.FIRST_AT_MOST, fixed.LATER_AT_MOST
 
-_HEADING = (
+HEADING = (
     rf"(?U)^[\s#*_\-]*({fixed.EXERCISE}|{fixed.PART})\s+({'|'.join(fixed.ORDINALS)})[\s:：*_]*"
     rf"(?:\(?\s*([\d٠-٩]+(?:[.,]\d+)?)\s*\)?\s*(?:{fixed.POINTS})\b[^\n]*)?"
 )
@@ -30,7 +30,7 @@ def fragments(line: Column) -> Column:
 def headings(lines: DataFrame) -> DataFrame:
     """lines(unit, i, line) -> (unit, i, kind, number, points): the first exercise and the first part of each line."""
     found = lines.select("unit", "i", F.posexplode(fragments(F.col("line"))).alias("at", "f"))
-    field = lambda k: F.nullif(F.regexp_extract("f", _HEADING, k), F.lit(""))
+    field = lambda k: F.nullif(F.regexp_extract("f", HEADING, k), F.lit(""))
     named = lambda values: F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
     parts = found.select("unit", "i", "at", field(1).alias("k"), field(2).alias("o"), F.replace(western_digits(field(3)), F.lit(","), F.lit(".")).try_cast("double").alias("points")).filter("k IS NOT NULL")
     typed = parts.select("unit", "i", "at", F.when(F.col("k") == fixed.PART, "part").otherwise("exercise").alias("kind"), F.element_at(named(fixed.ORDINALS), F.col("o")).alias("number"), "points")

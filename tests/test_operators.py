@@ -1,3 +1,4 @@
+import numpy as np
 from pyspark.sql import functions as F
 
 from paperloom.functions import text as T
@@ -59,23 +60,23 @@ def test_upsert(spark):
     assert {(r["k"], r["v"]) for r in overlay.upsert(prior, new, ["k"], F.col("skipped")).collect()} == {(1, "a"), (2, "y"), (3, "z")}
 
 
-def test_monotone():
-    import numpy as np
+def monotone(spark, *cases):
+    rows = [(i, score.tolist(), (np.zeros(score.shape, bool) if again is None else again).tolist()) for i, (score, again) in enumerate(cases)]
+    got = align.monotone(spark.createDataFrame(rows, "i int, score array<array<double>>, again array<array<boolean>>")).collect()
+    return [r["k"] for r in sorted(got, key=lambda r: r["i"])]
 
-    assert align.monotone(np.array([[0.1, 0.9], [0.8, 0.2]])) == [1, -1]
-    assert align.monotone(np.array([[0.5, 0.5], [0.0, 0.5]])) == [0, 1]
-    assert align.monotone(np.array([[0.6], [0.6]])) == [0, -1]
-    assert align.monotone(np.array([[0.6], [0.6]]), np.array([[False], [True]])) == [0, 0]
-    assert align.monotone(np.zeros((2, 2))) == [-1, -1] and align.monotone(np.zeros((1, 0))) == [-1]
 
+def test_monotone(spark):
+    cases = [([[0.1, 0.9], [0.8, 0.2]], None), ([[0.5, 0.5], [0.0, 0.5]], None), ([[0.6], [0.6]], None), ([[0.6], [0.6]], [[False], [True]]), ([[0.0, 0.0], [0.0, 0.0]], None)]
+    got = monotone(spark, *((np.array(a), None if b is None else np.array(b)) for a, b in cases), (np.zeros((1, 0)), None), (np.zeros((0, 0)), None))
+    assert got == [[1, -1], [0, 1], [0, -1], [0, 0], [-1, -1], [-1], []]
 
-def test_monotone_against_its_definition():
-    from functools import cache
 
-    import numpy as np
+def test_monotone_against_its_definition(spark):
+    from functools import cache
 
-    rng = np.random.default_rng(3)
-    for _ in range(80):
+    rng, cases, wanted = np.random.default_rng(3), [], []
+    for _ in range(300):
         n, m = int(rng.integers(1, 6)), int(rng.integers(1, 6))
         score = np.where(rng.random((n, m)) < 0.6, rng.integers(1, 9, (n, m)) / 10, 0.0)
         again = rng.random((n, m)) < 0.3
@@ -93,7 +94,7 @@ def test_monotone_against_its_definition():
             top = max(options, key=lambda o: (round(o[0], 9), o[1], o[2]))
             return top[0], top[3]
 
-        got, columns, expected = align.monotone(score, again), m, [-1] * n
+        columns, expected = m, [-1] * n
         for i in range(n, 0, -1):
             k = best(i, columns)[1]
             if k is not None:
@@ -102,7 +103,9 @@ def test_monotone_against_its_definition():
         for i, k in enumerate(expected):
             if k >= 0 and first.setdefault(k, i) != i and not again[i, k]:
                 expected[i] = -1
-        assert got == expected, (score, again)
+        cases.append((score, again))
+        wanted.append(expected)
+    assert monotone(spark, *cases) == wanted
 
 
 def test_clusters(spark):

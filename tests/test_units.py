@@ -5,47 +5,72 @@ from pyspark.sql import functions as F
 from paperloom.operators import align, labels, linking, units
 
 
-def test_labels():
+def each(spark, kind, values, *columns):
+    """The columns for each value of x, in order."""
+    rows = spark.createDataFrame(list(enumerate(values)), f"i int, x {kind}").repartition(2).select("i", *columns)
+    return [r[1] if len(columns) == 1 else tuple(r[1:]) for r in sorted(rows.collect(), key=lambda r: r[0])]
+
+
+ROWS = "array<struct<label:string,text:string>>"
+
+
+def test_labels(spark):
     cases = {
         "7.35 - 7.45": None, "7.35 إلى 7.45": "7", "- 7 mai 1933 :": None, "1.5 pt": None, "(1) a (2) b": None, "3-ميثيل بوتان-1-أول": None, "-2 احسب": "2", "-2 text": None, "ج 1 - نعم": "1",
-        "2.1) Calculer": "2.1", "١- احسب": "1", "الجواب على السؤال الثالث: نعم": "3", "5 The text is": "5", "12 / 20": None, "صفحة 2 من 4": None, "plain": None, "(2 احسب": "2", ".4 جد": "4", "3 خاطئ لأن": "3", "0,5": None, "4.13 x": "4",
+        "2.1) Calculer": "2.1", "١- احسب": "1", "الجواب على السؤال الثالث: نعم": "3", "5 The text is": "5", "12 / 20": None, "صفحة 2 من 4": None, "plain": None, "(2 احسب": "2", ".4 جد": "4", "3 خاطئ لأن": "3", "0,5": None,
     }
-    for line, label in cases.items():
-        if line != "4.13 x":
-            assert labels.label_of(line) == label, line
+    assert dict(zip(cases, each(spark, "string", cases, labels.item_label(F.col("x"))))) == cases
 
 
-def test_virtual_lines():
-    assert list(labels.virtual_lines(["2.", "text here"])) == ["2. text here"]
-    assert list(labels.virtual_lines(["1", "0,5"])) == ["1", "0,5"]
-    assert list(labels.virtual_lines(["2)", "<table>"])) == ["2. <table>"]
-    assert list(labels.virtual_lines(["| 2 | خاطئ لأن | 0,5 |", "|---|---|"])) == ["2 خاطئ لأن", "0,5"]
-    assert list(labels.virtual_lines(["**1**", "**(2** answer"])) == ["**1**", "**(2** answer"]
-    assert list(labels.virtual_lines(["a<br>b<br/>c", "1"])) == ["a", "b", "c", "1"]
+def test_virtual_lines(spark):
+    cases = {
+        "2.\ntext here": ["2. text here"], "1\n0,5": ["1", "0,5"], "2)\n<table>": ["2. <table>"], "| 2 | خاطئ لأن | 0,5 |\n|---|---|": ["2 خاطئ لأن", "0,5"], "**1**\n**(2** answer": ["**1**", "**(2** answer"],
+        "a<br>b<br/>c\n1": ["a", "b", "c", "1"], "": [], "\t| 1 |": ["1"],
+    }
+    assert dict(zip(cases, each(spark, "string", cases, labels.seen_lines(F.col("x"))))) == cases
 
 
-def test_items():
+def test_items(spark):
     text = "intro\n1) first\nmore\n2) second\n5) fifth\n3) inside\n1) again\n"
-    assert [(x["label"], x["text"]) for x in labels.items_of(text.splitlines())] == [("1", "1) first\nmore"), ("2", "2) second"), ("5", "5) fifth\n3) inside"), ("1", "1) again")]
     strict = "1. contaminated (§1) a. well\n1. Read it\n2. Answer all of these\n4. Not next"
-    assert [x["label"] for x in labels.items_of(strict.splitlines(), True)] == ["1", "2"]
+    loose, tight = each(spark, "string", [text, strict], labels.items(F.col("x"), F.lit(False)), labels.items(F.col("x"), F.lit(True)))
+    assert [tuple(x) for x in loose[0]] == [("1", "1) first\nmore"), ("2", "2) second"), ("5", "5) fifth\n3) inside"), ("1", "1) again")]
+    assert [x["label"] for x in tight[1]] == ["1", "2"]
+
+
+def test_items_of_a_long_text_take_linear_time(spark):
+    """More labels than one stretch of a scan holds, in 60,000 lines."""
+    import time
+
+    text = "\n".join(f"{1 + i % 15}) line {i}\nmore of it, with words" for i in range(30_000))
+    began = time.perf_counter()
+    (got,) = each(spark, "string", [text], F.size(labels.items(F.col("x"), F.lit(False))))
+    assert got == 30_000 and time.perf_counter() - began < 60
+
+
+def test_blocks_and_clean(spark):
+    keys = ["header line here\n1) the answer is long\n2) 0,5\n3) another answer", "one paragraph\nof two lines\n\nanother one"]
+    got = each(spark, "string", keys, labels.blocks(F.col("x")))
+    assert [b["label"] for b in got[0]] == [None, "1", "3"] and [b["text"] for b in got[1]] == ["one paragraph\nof two lines", "another one"]
+    text = "صفحة 1 من 2\n0.5\nالتمرين الأول (4 نقاط)\nالتمرين الأول: 1) lim h(x) = 0 and much more\nkept"
+    assert each(spark, "string", [text], labels.cleaned(F.col("x"))) == ["التمرين الأول: 1) lim h(x) = 0 and much more\nkept"]
 
 
-def test_blocks_and_clean():
-    assert [b["label"] for b in labels.blocks_of("header line here\n1) the answer is long\n2) 0,5\n3) another answer")] == [None, "1", "3"]
-    assert [b["text"] for b in labels.blocks_of("one paragraph\nof two lines\n\nanother one")] == ["one paragraph\nof two lines", "another one"]
-    assert labels.clean("صفحة 1 من 2\n0.5\nالتمرين الأول (4 نقاط)\nالتمرين الأول: 1) lim h(x) = 0 and much more\nkept") == "التمرين الأول: 1) lim h(x) = 0 and much more\nkept"
+def test_orientation_legends_stubs(spark):
+    plain = lambda *x: [(a, "") for a in x]
+    got = each(spark, ROWS, [plain("1.2", "2.2", "3.2"), plain("2.1", "2.2", "3"), []], F.transform(labels.oriented(F.col("x")), lambda r: r["label"]))
+    assert got == [["2.1", "2.2", "2.3"], ["2.1", "2.2", "3"], []]
+    legend = [("1", "noyau"), ("2", "membrane"), ("1", "Calculer la vitesse."), ("2", "x")]
+    assert each(spark, ROWS, [legend, legend[:2], []], labels.legends(F.col("x"))) == [[True, True, False, False], [False, False], []]
+    assert each(spark, ROWS, [plain("1", "1.1", "2"), []], labels.stubs(F.col("x"))) == [[True, False, False], []]
+    assert each(spark, "string", ["1) a\n2) b", "2) b\nc", "x\nsee (2) there"], labels.block_mentions(F.lit("2"), F.col("x"))) == [True, False, False]
 
 
-def test_orientation_legends_stubs():
-    rows = lambda *x: [{"label": a, "text": t} for a, t in x]
-    assert [r["label"] for r in labels.oriented(rows(("1.2", ""), ("2.2", ""), ("3.2", "")))] == ["2.1", "2.2", "2.3"]
-    assert [r["label"] for r in labels.oriented(rows(("2.1", ""), ("2.2", ""), ("3", "")))] == ["2.1", "2.2", "3"]
-    legend = rows(("1", "noyau"), ("2", "membrane"), ("1", "Calculer la vitesse."), ("2", "x"))
-    assert labels.legends(legend) == {0, 1} and labels.legends(legend[:2]) == set()
-    assert labels.stubs(rows(("1", ""), ("1.1", ""), ("2", ""))) == {0}
-    assert labels.mentions("2", "1) a\n2) b") and not labels.mentions("2", "2) b\nc") and not labels.mentions("2", "x\nsee (2) there")
-    assert labels.qids("u", rows(("1", ""), ("2", ""), ("1", ""))) == ["u__q1", "u__q2", "u__q1#2"]
+def test_readings_are_native(spark):
+    texts = spark.createDataFrame([("bac_svt_2015_sujet1", "[PAGE 1]\nx")], "stem string, content string")
+    for df in (units.segmented(texts), texts.select(labels.items(F.col("content"), F.lit(True)), labels.blocks(F.col("content")))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
 
 
 def by_id(spark, *texts):
@@ -100,8 +125,11 @@ def test_alignment(spark):
         "u__q1": (got["u__q1"]["match"], "1"), "u__q2": ("parent_stub", None), "u__q2.1": (got["u__q2.1"]["match"], "2.1"), "u__q2.2": (got["u__q2.2"]["match"], "2.2"), "u__q3": ("none", None),
     }
     assert got["u__q1"]["match"] in ("strong", "good") and got["w__q1"]["match"] == "none" and not any(q.startswith("x") for q in got)
-    assert [align.matched(x) for x in (0.6, 0.59, 0.4, 0.39, None)] == ["strong", "good", "good", "label_supported", "none"]
-    assert align.by_labels([{"label": "1", "text": "q"}, {"label": "1", "text": "r"}], [{"label": "1", "text": "a"}, {"label": "2", "text": "b"}]) == ["a", None]
+    assert each(spark, "double", (0.6, 0.59, 0.4, 0.39, None), align.matched(F.col("x"))) == ["strong", "good", "good", "label_supported", "none"]
+    both = each(spark, ROWS, [[("1", "a"), ("2", "b")]], align.answers_by_labels(F.array(*(F.struct(F.lit("1").alias("label"), F.lit(t).alias("text")) for t in "qr")), F.col("x")))
+    assert both == [["a", None]]
+    again = spark.createDataFrame([("v", items[:2] + items[:1], None)], pairs.schema)
+    assert sorted(r["qid"] for r in align.aligned(again).collect()) == ["v__q1", "v__q1#2", "v__q2"]
 
 
 def test_embeddings_are_cached(spark):
