@@ -19,8 +19,9 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def following(values: Column) -> Column:
-    """Each element with the next one: structs of x and next, which is null for the last."""
-    return F.when(F.size(values) > 0, F.zip_with(values, F.slice(values, F.lit(2), F.greatest(F.size(values) - 1, F.lit(0))), lambda x, y: F.struct(x.alias("x"), y.alias("next"))))
+    """Each element with the next one: structs of x and next, which is null for the last; none for an empty array."""
+    pairs = lambda v: F.zip_with(v, F.slice(v, F.lit(2), F.greatest(F.size(v) - 1, F.lit(0))), lambda x, y: F.struct(x.alias("x"), y.alias("next")))
+    return let(values, lambda v: F.when(F.size(v) > 0, pairs(v)).otherwise(F.slice(pairs(v), F.lit(1), F.lit(0))))
 
 
 def scan(values: Column, start: Column, step: Callable[[Column, Column], Column], kind: str) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
 from .. import fixed
 from . import text as T
+from .arrays import following, let
 
 TAG = "array<struct<tag:string,detail:string>>"
 
@@ -128,7 +129,7 @@ def suspicious_share(text: Column) -> Column:
         arabic = T.count_of(line, T.ARABIC)
         return (arabic > 0) & (T.mean_length(T.words(line)) <= 4) & (arabic > 0.6 * F.length(F.replace(line, F.lit(" "), F.lit(""))))
 
-    return F.coalesce(F.size(F.filter(lines, bad)) / F.nullif(F.size(lines), F.lit(0)), F.lit(0.0))
+    return let(lines, lambda ls: F.coalesce(F.size(F.filter(ls, bad)) / F.nullif(F.size(ls), F.lit(0)), F.lit(0.0)))
 
 
 def without_side_bars(text: Column, most: float = 0.6) -> Column:
@@ -229,9 +230,9 @@ def weird_scores(text: Column) -> Column:
 
 
 def repeated_lines(text: Column, least: int = 45) -> Column:
-    """Lines of a page that come twice or more; rows of tables and rules don't count."""
+    """Lines of a page that come twice or more; rows of tables and rules don't count. Sorted, so that equal ones are neighbours."""
     kept = F.array_sort(F.filter(F.transform(T.all_lines(text), T.strip), lambda x: (F.length(x) >= least) & ~x.startswith("|") & ~x.rlike(r"^[\-=_*|:\s]+$")))
-    return F.filter(kept, lambda x, i: (i > 0) & (x == F.get(kept, i - 1)) & ((i == 1) | (x != F.coalesce(F.get(kept, i - 2), F.lit("")))))
+    return F.array_distinct(F.transform(F.filter(following(kept), lambda p: p["x"] == p["next"]), lambda p: p["x"]))
 
 
 def file_marks(raw: Column, content: Column) -> Column:

@@ -57,11 +57,28 @@ def test_replies(spark):
     assert [r["w"] for r in waits] == [5.0, 62.0, 8.0, None]
 
 
-def test_figures_in_markup():
-    text = "a ![graph](data:x) b <svg><p>x</p></svg> <img src=q alt=\"Force F\"> ```txt\n|-- Vitesse 12 m --|\n``` \\begin{tikzpicture}node A1 Rayon\\end{tikzpicture}"
-    assert repair.plain_figures(text) == "a [FIGURE] b [FIGURE] [FIGURE: Force F] [FIGURE: ASCII rendition removed; labels: Vitesse, 12 m] [FIGURE: labels: begin, tikzpicture, node, A1, Rayon, end]"
-    assert repair.plain_figures("x\n```\nAB\n[PAGE 2]\ny\n```\nz") == "x\n[FIGURE: ASCII rendition removed; labels: AB]\n[PAGE 2]\ny\n[FIGURE: ASCII rendition removed]"
-    assert repair.plain_figures("plain") == "plain"
+def test_figures_in_markup(spark):
+    cases = {
+        "a ![graph](data:x) b <svg><p>x</p></svg> <img src=q alt=\"Force F\"> ```txt\n|-- Vitesse 12 m --|\n``` \\begin{tikzpicture}node A1 Rayon\\end{tikzpicture}":
+            "a [FIGURE] b [FIGURE] [FIGURE: Force F] [FIGURE: ASCII rendition removed; labels: Vitesse, 12 m] [FIGURE: labels: begin, tikzpicture, node, A1, Rayon, end]",
+        "x\n```\nAB\n[PAGE 2]\ny\n```\nz": "x\n[FIGURE: ASCII rendition removed; labels: AB]\n[PAGE 2]\ny\n[FIGURE: ASCII rendition removed]",
+        "plain": "plain", "": "", "```": "", "a\n```\n![graph](q) bc\n```\nd": "a\n[FIGURE: ASCII rendition removed; labels: graph, bc]\nd", "x ```one``` y": "x [FIGURE: ASCII rendition removed] y", "![](q)![Coupe  A](r)": "[FIGURE][FIGURE: Coupe  A]",
+    }
+    got = spark.createDataFrame([(t,) for t in cases], "t string").select("t", repair.figures(F.col("t")).alias("f")).collect()
+    assert {r["t"]: r["f"] for r in got} == cases
+    assert spark.createDataFrame([(None,)], "t string").select(repair.figures(F.col("t")).alias("f")).first()["f"] is None
+
+
+def test_repeated_lines_of_a_long_text(spark):
+    import time
+
+    from paperloom.functions import quality
+
+    text = "\n".join(f"a line of a document that is long enough to count: {i % 15_000}" for i in range(20_000))
+    df = spark.createDataFrame([(text,), ("short\nshort",), (None,)], "t string").select(F.size(quality.repeated_lines(F.col("t"))).alias("n"))
+    df.collect()
+    began = time.perf_counter()
+    assert [r["n"] for r in df.collect()][:2] == [5000, 0] and time.perf_counter() - began < 2
 
 
 def test_boxes(spark):
