@@ -15,6 +15,7 @@ from re import _parser as sre_parser
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.arrays import let
 from .common import ascii_lower, is_small, prefix, staged, table
 
 #: A query is a set of alternatives, each a set of trigrams that must all be there; None says nothing.
@@ -143,6 +144,12 @@ def trigram_query(regex: str) -> Query:
     return _walk(sre_parser.parse(regex))[1]
 
 
+def thinned(query: Query, most: int) -> Query:
+    """The query with at most so many trigrams an alternative, spread over those in code-point order. It asks for less, so it leaves no fewer texts."""
+    spread = lambda ts: ts if len(ts) <= most else [ts[i * (len(ts) - 1) // (most - 1)] for i in range(most)]
+    return _least({frozenset(spread(sorted(a))) for a in query})
+
+
 def _text() -> Column:
     return F.coalesce(F.col("text"), F.lit(""))
 
@@ -154,16 +161,18 @@ def _key() -> Column:
 
 #: Texts whose postings are kept together.
 BLOCK = 1024
+#: Trigrams that the index holds for an alternative at most: each costs a search of every text, and a few leave hardly more texts than all.
+MOST_TRIGRAMS = 3
 
 
 def postings(docs: DataFrame, trigrams: list[str], n_docs: int) -> DataFrame:
     """(block, trigram, keys): of docs(doc_id, text), in blocks of about BLOCK texts by a hash, which of them hold each of the trigrams. A trigram
     that all texts hold has a short list in every block, so no list grows with the corpus. Equal rows are one entry."""
     blocks = max(1, n_docs // BLOCK)
-    low = docs.select(_key().alias("key"), ascii_lower(_text()).alias("low"))
-    # named once for each trigram, so the lower-cased text isn't put in its place
-    there = low.select("key", F.array_compact(F.array(*(F.when(F.contains("low", F.lit(t)), F.lit(t)) for t in trigrams))).alias("t"))
-    each = there.select(F.pmod("key.a", F.lit(blocks)).alias("block"), F.explode("t").alias("trigram"), "key")
+    found = lambda low: F.array_compact(F.array(*(F.when(F.contains(low, F.lit(t)), F.lit(t)) for t in trigrams)))
+    there = docs.select(_key().alias("key"), let(ascii_lower(_text()), found).alias("t"))  # lower-cased once, not for each trigram
+    # explode() would ask for the array's size first, and so for the array twice
+    each = there.select(F.pmod("key.a", F.lit(blocks)).alias("block"), F.explode_outer("t").alias("trigram"), "key").filter("trigram IS NOT NULL")
     return each.groupBy("block", "trigram").agg(F.collect_set("key").alias("keys"))
 
 
@@ -211,7 +220,7 @@ def scanned(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     don't overlap, those of several may. An empty table gives none. Other columns are carried along; one named spans is replaced."""
     p = prefix(docs)
     queries = {r.kind: trigram_query(r.regex) for r in rules}
-    indexed = {k: q for k, q in queries.items() if q}
+    indexed = {k: thinned(q, MOST_TRIGRAMS) for k, q in queries.items() if q}
     out = docs.drop("spans").withColumn(p + "key", _key())
     kinds = F.array().cast("array<string>")
     if indexed:
