@@ -13,6 +13,7 @@ from .. import fixed
 from ..functions import names, quality, repair, replies
 from ..functions import text as T
 from ..operators import align, audit, catalog, figures, formulas, linking, overlay, reports, segments, sequences
+from . import derived
 from .catalogue import ORACLES, QUERIES, query, read
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -50,12 +51,8 @@ _WEST = "translate({0}, '٠١٢٣٤٥٦٧٨٩', '0123456789')"
 
 # ---- names
 
-_FILES = [(n,) for n in (
-    "bac_egnlish_٢٠١٩_sujet1.pdf", "bac_math_2016_sujet2_solution_session2.pdf", "bac_svt_2014_sujet1_and_sujet2.pdf", "BAC_Physic_2026_Sujet1.PDF", "bac_arabe_2017_sujet1_session2.pdf", "bac_islamic_2021_sujet2_solution.pdf",
-    "bac_latin_2014_sujet1.pdf", "notes.pdf", "bac_math_2031_sujet1.pdf", "bac_math_2016_sujet1_session1.pdf", "bac_francais_2013_sujet1_and_sujet2_solution.pdf",
-)]
 _YEARS_SQL = values([(y, era, c, s) for y, era, _, _, c, s in fixed.YEAR_ROWS], "year int, era string, censored boolean, sealed boolean")
-_MANIFEST_SQL = rf"""WITH f AS {values(_FILES, "filename string")},
+_MANIFEST_SQL = rf"""WITH f AS {derived.FILES.sql},
 p AS (SELECT filename, regexp_extract(filename, '{fixed.SINGLE_NAME}', ['s', 'y', 'n', 'k', 'x']) AS a, regexp_extract(filename, '{fixed.COMBINED_NAME}', ['s', 'y', 'k', 'x']) AS c FROM f),
 q AS (SELECT filename, a.s = '' AND c.s <> '' AS twin, {_WEST.format("lower(CASE WHEN a.s <> '' THEN a.s ELSE c.s END)")} AS raw, TRY_CAST({_WEST.format("CASE WHEN a.s <> '' THEN a.y ELSE c.y END")} AS INTEGER) AS y, a.n AS n,
   CASE WHEN a.s <> '' THEN a.k ELSE c.k END <> '' AS sol, TRY_CAST(CASE WHEN a.s <> '' THEN a.x ELSE c.x END AS INTEGER) AS session FROM p),
@@ -69,53 +66,41 @@ FROM r LEFT JOIN {_YEARS_SQL} d ON d.year = CASE WHEN subject IS NOT NULL THEN y
 
 @query(_MANIFEST_SQL)
 def manifest_records(spark, sf_dir):
-    return catalog.manifest(table(spark, _FILES, "filename string"))
+    return catalog.manifest(derived.FILES.df(spark, sf_dir))
 
 
 @query(f"""WITH m AS ({_MANIFEST_SQL}), c AS (SELECT subject, year, session, max(CAST(topic_choice = '1' AND type = 'exam' AS INTEGER)) AS topic1_exam, max(CAST(topic_choice = '1' AND type = 'solution' AS INTEGER)) AS topic1_solution,
 max(CAST(topic_choice = '2' AND type = 'exam' AS INTEGER)) AS topic2_exam, max(CAST(topic_choice = '2' AND type = 'solution' AS INTEGER)) AS topic2_solution FROM m WHERE family IN ('A', 'B') AND NOT duplicate GROUP BY ALL)
 SELECT *, array_to_string(list_filter([CASE WHEN topic1_exam = 0 THEN 'topic1_exam' END, CASE WHEN topic1_solution = 0 THEN 'topic1_solution' END, CASE WHEN topic2_exam = 0 THEN 'topic2_exam' END, CASE WHEN topic2_solution = 0 THEN 'topic2_solution' END], lambda x: x IS NOT NULL), ',') AS missing FROM c""")
 def coverage_slots(spark, sf_dir):
-    return catalog.coverage(catalog.manifest(table(spark, _FILES, "filename string"))).withColumn("missing", F.concat_ws(",", "missing"))
+    return catalog.coverage(catalog.manifest(derived.FILES.df(spark, sf_dir))).withColumn("missing", F.concat_ws(",", "missing"))
 
 
-_OTHER = [(n,) for n in ("curriculum_Math.txt", "curriculum_egnlish.PDF", "curriculum_latin.txt", "threshold_svt_٢٠١٢.pdf", "threshold_math_2015.txt", ".hidden", "x.txt")]
-
-
-@query(rf"""WITH f AS {values(_OTHER, "filename string")}, p AS (SELECT filename, lower(regexp_extract(filename, '{fixed.PROGRAMME_NAME}', 1)) AS c, lower(regexp_extract(filename, '{fixed.THRESHOLD_NAME}', 1)) AS t, {_WEST.format(f"regexp_extract(filename, '{fixed.THRESHOLD_NAME}', 2)")} AS y FROM f WHERE NOT starts_with(filename, '.')),
+@query(rf"""WITH f AS {derived.OTHER.sql}, p AS (SELECT filename, lower(regexp_extract(filename, '{fixed.PROGRAMME_NAME}', 1)) AS c, lower(regexp_extract(filename, '{fixed.THRESHOLD_NAME}', 1)) AS t, {_WEST.format(f"regexp_extract(filename, '{fixed.THRESHOLD_NAME}', 2)")} AS y FROM f WHERE NOT starts_with(filename, '.')),
 s AS (SELECT filename, CASE WHEN c = 'egnlish' THEN 'english' WHEN c IN {fixed.SUBJECTS} THEN c END AS c, CASE WHEN t IN {fixed.SUBJECTS} THEN t END AS t, TRY_CAST(y AS INTEGER) AS y FROM p)
 SELECT filename, coalesce(c, t) AS subject, CASE WHEN c IS NOT NULL THEN 'programme' ELSE 'threshold' END AS type, CASE WHEN t IS NOT NULL THEN y END AS year, era FROM s LEFT JOIN {_YEARS_SQL} d ON d.year = y AND t IS NOT NULL WHERE coalesce(c, t) IS NOT NULL""")
 def other_records(spark, sf_dir):
-    files = table(spark, _OTHER, "filename string")
+    files = derived.OTHER.df(spark, sf_dir)
     return catalog.built(files.limit(0), files, files)[0].select("filename", "subject", "type", "year", "era")
 
 
-_STEMS = [(s,) for s in ("bac_math_2016_sujet1", "bac_math_2016_sujet2_solution_session2", "bac_svt_2009_sujet1_session1", "bac_svt_2009_sujet1_and_sujet2", "notes", "")]
-
-
-@query(rf"""WITH s AS {values(_STEMS, "stem string")}, p AS (SELECT stem, regexp_extract(stem, '{fixed.STEM}', ['a', 'y', 'n', 'k', 'x']) AS g FROM s)
+@query(rf"""WITH s AS {derived.STEMS.sql}, p AS (SELECT stem, regexp_extract(stem, '{fixed.STEM}', ['a', 'y', 'n', 'k', 'x']) AS g FROM s)
 SELECT stem, nullif(g.a, '') AS subject, TRY_CAST(g.y AS INTEGER) AS year, TRY_CAST(g.n AS INTEGER) AS sujet, TRY_CAST(g.x AS INTEGER) AS session, CASE WHEN g.a = '' THEN NULL WHEN g.k <> '' THEN 'solution' ELSE 'exam' END AS doc_type,
 CASE WHEN regexp_matches(stem, '_session[0-9]$') THEN regexp_replace(stem, '_(session[0-9])$', '_solution_\1') ELSE stem || '_solution' END AS key FROM p""")
 def stem_parts(spark, sf_dir):
-    rows = table(spark, _STEMS, "stem string").withColumn("p", names.stem(F.col("stem")))
+    rows = derived.STEMS.df(spark, sf_dir).withColumn("p", names.stem(F.col("stem")))
     return rows.select("stem", "p.*", names.solution_stem(F.col("stem")).alias("key"))
 
 
-_IMAGES = [(n,) for n in ("bac_svt_2009_sujet1_page3_img2.png", "bac_math_2016_sujet1.png", "figure.png", "bac_x_page1_y_page12_img7.png", "bac_svt_20x9_page4.png")]
-
-
-@query(r"SELECT *, coalesce(TRY_CAST(regexp_extract(tail, '^([0-9]+)(_img[^_]*)?$', 1) AS INTEGER), 1) AS page_num, coalesce(TRY_CAST(regexp_extract(tail, '_img([0-9]+)$', 1) AS INTEGER), 1) AS img_index FROM (SELECT name, stem, coalesce(nullif(split_part(stem, '_', 2), ''), 'unknown') AS subject, TRY_CAST(regexp_extract(split_part(stem, '_', 3), '^[0-9]+$') AS INTEGER) AS year, tail FROM (SELECT name, regexp_extract(b, '^(.*)_page([^p]*)$', 1) AS h, CASE WHEN contains(b, '_page') THEN regexp_extract(b, '^(.*)_page([^p]*)$', 1) ELSE b END AS stem, regexp_extract(b, '^(.*)_page([^p]*)$', 2) AS tail FROM (SELECT name, regexp_replace(name, '\.png$', '') AS b FROM " + values(_IMAGES, "name string") + "))) ORDER BY 1")
+@query(r"SELECT *, coalesce(TRY_CAST(regexp_extract(tail, '^([0-9]+)(_img[^_]*)?$', 1) AS INTEGER), 1) AS page_num, coalesce(TRY_CAST(regexp_extract(tail, '_img([0-9]+)$', 1) AS INTEGER), 1) AS img_index FROM (SELECT name, stem, CASE WHEN contains(stem, '_') THEN split_part(stem, '_', 2) ELSE 'unknown' END AS subject, TRY_CAST(regexp_extract(split_part(stem, '_', 3), '^[0-9]+$') AS INTEGER) AS year, tail FROM (SELECT name, regexp_extract(b, '^(.*)_page([^p]*)$', 1) AS h, CASE WHEN contains(b, '_page') THEN regexp_extract(b, '^(.*)_page([^p]*)$', 1) ELSE b END AS stem, regexp_extract(b, '^(.*)_page([^p]*)$', 2) AS tail FROM (SELECT name, regexp_replace(name, '\.png$', '') AS b FROM " + derived.IMAGES.sql + "))) ORDER BY 1")
 def image_parts(spark, sf_dir):
-    rows = table(spark, _IMAGES, "name string").withColumn("p", names.image(F.col("name")))
+    rows = derived.IMAGES.df(spark, sf_dir).withColumn("p", names.image(F.col("name")))
     return rows.select("name", "p.stem", "p.subject", "p.year", F.regexp_extract(F.regexp_replace("name", r"\.png$", ""), "_page([^p]*)$", 1).alias("tail"), "p.page_num", "p.img_index")
 
 
-_KEYS = [(k,) for k in ("bac_math_2016_sujet1__p12", "a__p1__p2", "bac_svt_2010_sujet1__ex2__q2.1", "bac_svt_2010_sujet1__ex2__q2.1#3", "plain")]
-
-
-@query(r"SELECT key, nullif(regexp_extract(key, '^(.*)__p([0-9]+)$', 1), '') AS stem, TRY_CAST(regexp_extract(key, '^(.*)__p([0-9]+)$', 2) AS INTEGER) AS page_num, split_part(key, '__q', 1) AS unit_id, split_part(split_part(key, '__q', 2), '#', 1) AS label, coalesce(TRY_CAST(split_part(split_part(key, '__q', 2), '#', 2) AS INTEGER), 1) AS occurrence FROM " + values(_KEYS, "key string"))
+@query(r"SELECT key, nullif(regexp_extract(key, '^(.*)__p([0-9]+)$', 1), '') AS stem, TRY_CAST(regexp_extract(key, '^(.*)__p([0-9]+)$', 2) AS INTEGER) AS page_num, split_part(key, '__q', 1) AS unit_id, split_part(split_part(key, '__q', 2), '#', 1) AS label, coalesce(TRY_CAST(split_part(split_part(key, '__q', 2), '#', 2) AS INTEGER), 1) AS occurrence FROM " + derived.KEYS.sql)
 def key_parts(spark, sf_dir):
-    rows = table(spark, _KEYS, "key string").select("key", names.page_key(F.col("key")).alias("p"), names.question_key(F.col("key")).alias("q"))
+    rows = derived.KEYS.df(spark, sf_dir).select("key", names.page_key(F.col("key")).alias("p"), names.question_key(F.col("key")).alias("q"))
     return rows.select("key", "p.stem", "p.page_num", "q.unit_id", "q.label", "q.occurrence")
 
 
@@ -128,11 +113,7 @@ def image_sizes(spark, sf_dir):
 
 # ---- text
 
-_TEXTS = [(i, t) for i, t in enumerate((
-    "", "12 34", "مرحبا بالعالم", "hello world", "éèà", "نص عربي with a few latin words in it", "abc مرحبا بكم جميعا في هذا", "ا ب ت ث ج ح خ د", "كلمات من النص العربي الطويل",
-    "a  b\t\tc\n\n\n\nd", "   padded  ", "tatـweel​ zero﻿",
-))]
-_TEXT_SQL = values(_TEXTS, "i int, t string")
+_TEXT_SQL = derived.TEXTS.sql
 
 
 @query(f"""WITH c AS (SELECT i, t, length(regexp_replace(t, '[^{_AR}]', '', 'g')) AS ar, length(regexp_replace(t, '[^A-Za-z]', '', 'g')) AS la, list_filter(regexp_split_to_array(t, '[\\s  ]+'), lambda x: x <> '') AS w, length(regexp_replace(t, '^[\\s  ]+|[\\s  ]+$', '', 'g')) AS n FROM {_TEXT_SQL}),
@@ -142,29 +123,26 @@ round(coalesce(list_sum(list_transform(aw, lambda x: length(x))) / nullif(len(aw
 def arabic_measures(spark, sf_dir):
     t = F.col("t")
     measures = (T.arabic_density(t).alias("density"), T.arabic_word_length(t).alias("word_length"), T.arabic_token_length(t).alias("token_length"))
-    return table(spark, _TEXTS, "i int, t string").select("i", T.script(t).alias("script"), *(F.round(m, 6).alias(n) for m, n in zip(measures, ("density", "word_length", "token_length"))))
+    return derived.TEXTS.df(spark, sf_dir).select("i", T.script(t).alias("script"), *(F.round(m, 6).alias(n) for m, n in zip(measures, ("density", "word_length", "token_length"))))
 
 
 @query(f"SELECT i, regexp_replace(regexp_replace(regexp_replace(nfc_normalize(regexp_replace(replace(t, ' ', ' '), '[​-‏‪- ⁠-⁤﻿ـ]', '', 'g')), '[ \t]{{2,}}', ' ', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g'), '^[\\s ]+|[\\s ]+$', '', 'g') AS t FROM {_TEXT_SQL}")
 def normal_forms(spark, sf_dir):
-    return table(spark, _TEXTS, "i int, t string").select("i", T.normalized(F.col("t")).alias("t"))
-
+    return derived.TEXTS.df(spark, sf_dir).select("i", T.normalized(F.col("t")).alias("t"))
 
-_PAGED = [("a", "before\n[PAGE 1]\none\nmore\n[PAGE 2]\ntwo\n[PAGE 1]\nagain"), ("b", "no mark"), ("c", "[PAGE 3]\n\n  x  \n\n[PAGE 4]"), ("d", "")]
 
-
-@query(f"""WITH l AS (SELECT stem, i, string_split(content, chr(10))[i] AS line FROM (SELECT stem, content, unnest(range(1, len(string_split(content, chr(10))) + 1)) AS i FROM {values(_PAGED, "stem string, content string")})),
+@query(f"""WITH l AS (SELECT stem, i, string_split(content, chr(10))[i] AS line FROM (SELECT stem, content, unnest(range(1, len(string_split(content, chr(10))) + 1)) AS i FROM {derived.PAGED.sql})),
 m AS (SELECT *, TRY_CAST(regexp_extract(line, '^\\[PAGE\\s+(\\d+)\\]', 1) AS INTEGER) AS mark FROM l), n AS (SELECT *, count(mark) OVER (PARTITION BY stem ORDER BY i) AS nth FROM m),
 g AS (SELECT stem, nth, max(mark) AS page_num, trim(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (mark IS NULL), ''), chr(10) || ' ') AS text FROM n WHERE nth > 0 GROUP BY ALL)
 SELECT stem, page_num, arg_max(text, nth) AS text FROM g GROUP BY ALL""")
 def page_texts(spark, sf_dir):
-    pages = sequences.pages_of(table(spark, _PAGED, "stem string, content string"))
+    pages = sequences.pages_of(derived.PAGED.df(spark, sf_dir))
     return pages.withColumn("text", F.expr("trim(BOTH '\\n ' FROM text)"))
 
 
-@query(f"SELECT stem, CAST(i - 1 AS INTEGER) AS page_num, trim(p[i], chr(10) || ' ') AS text FROM (SELECT stem, p, unnest(range(2, len(p) + 1)) AS i FROM (SELECT stem, regexp_split_to_array(content, '\\[PAGE \\d+\\]') AS p FROM {values(_PAGED, 'stem string, content string')}))")
+@query(f"SELECT stem, CAST(i - 1 AS INTEGER) AS page_num, trim(p[i], chr(10) || ' ') AS text FROM (SELECT stem, p, unnest(range(2, len(p) + 1)) AS i FROM (SELECT stem, regexp_split_to_array(content, '\\[PAGE \\d+\\]') AS p FROM {derived.PAGED.sql}))")
 def nth_pages(spark, sf_dir):
-    return sequences.nth_pages(table(spark, _PAGED, "stem string, content string"))
+    return sequences.nth_pages(derived.PAGED.df(spark, sf_dir))
 
 
 @query("SELECT CAST(conv_id AS VARCHAR) AS stem, string_agg('[PAGE ' || turn || ']' || chr(10) || coalesce(CASE WHEN turn = 1 THEN '!' || text ELSE text END, ''), chr(10) || chr(10) ORDER BY turn) AS content FROM conversations GROUP BY conv_id")
@@ -175,31 +153,27 @@ def rendered_pages(spark, sf_dir):
     return sequences.rendered(sequences.replaced_pages(pages, new))
 
 
-_LINES = [(i, t) for i, t in enumerate(("**التَّمرين الأول** | (4 نقاط)<br>التمرين الثاني", "<u>a</u> / b", "x|y<br/>z", "**الجزء** الثاني", "التمربن الثالث : (٣٫٥ نقطة)", "التمرين الرابع: (7,5 نقاط)", "نص التمرين الأول"))]
 _PLAIN = f"regexp_replace(regexp_replace(t, '{fixed.MARKS}', '', 'g'), '</?u>|</?b>|\\*\\*|__|[‎‏]', '', 'g')"
 
 
-@query(f"SELECT i, CAST(k - 1 AS INTEGER) AS k, p[k] AS f FROM (SELECT i, p, unnest(range(1, len(p) + 1)) AS k FROM (SELECT i, regexp_split_to_array({_PLAIN}, '<br\\s*/?>|\\||\\s/\\s') AS p FROM {values(_LINES, 'i int, t string')}))")
+@query(f"SELECT i, CAST(k - 1 AS INTEGER) AS k, p[k] AS f FROM (SELECT i, p, unnest(range(1, len(p) + 1)) AS k FROM (SELECT i, regexp_split_to_array({_PLAIN}, '<br\\s*/?>|\\||\\s/\\s') AS p FROM {derived.LINES.sql}))")
 def line_fragments(spark, sf_dir):
-    return table(spark, _LINES, "i int, t string").select("i", F.posexplode(segments.fragments(F.col("t"))).alias("k", "f"))
+    return derived.LINES.df(spark, sf_dir).select("i", F.posexplode(segments.fragments(F.col("t"))).alias("k", "f"))
 
 
-@query(f"""WITH f AS (SELECT i, k, p[k] AS f FROM (SELECT i, p, unnest(range(1, len(p) + 1)) AS k FROM (SELECT i, regexp_split_to_array({_PLAIN}, '<br\\s*/?>|\\||\\s/\\s') AS p FROM {values(_LINES, 'i int, t string')}))),
+@query(f"""WITH f AS (SELECT i, k, p[k] AS f FROM (SELECT i, p, unnest(range(1, len(p) + 1)) AS k FROM (SELECT i, regexp_split_to_array({_PLAIN}, '<br\\s*/?>|\\||\\s/\\s') AS p FROM {derived.LINES.sql}))),
 h AS (SELECT i, k, regexp_extract(f, '^[\\s#*_\\-]*(التمر[يب]ن|الجزء)\\s+({"|".join(fixed.ORDINALS)})[\\s:：*_]*(?:\\(?\\s*([0-9٠-٩]+(?:[.,][0-9]+)?)\\s*\\)?\\s*(?:{fixed.POINTS})(?:[^\\p{{L}}]|$))?', ['k', 'o', 'p']) AS g FROM f),
 t AS (SELECT i, k, CASE WHEN g.k = 'الجزء' THEN 'part' ELSE 'exercise' END AS kind, g.o AS o, TRY_CAST(replace({_WEST.format('g.p')}, ',', '.') AS DOUBLE) AS points FROM h WHERE g.k <> '')
 SELECT i, kind, arg_min(CASE o {" ".join(f"WHEN '{o}' THEN {n}" for o, n in fixed.ORDINALS.items())} END, k) AS number, arg_min(coalesce(points, -1), k) AS points FROM t GROUP BY ALL""")
 def line_headings(spark, sf_dir):
-    lines = table(spark, _LINES, "i int, t string").select(F.lit("u").alias("unit"), "i", F.col("t").alias("line"))
+    lines = derived.LINES.df(spark, sf_dir).select(F.lit("u").alias("unit"), "i", F.col("t").alias("line"))
     return segments.headings(lines).select("i", "kind", "number", F.coalesce("points", F.lit(-1.0)).alias("points"))
 
 
-_PAIRS = [("2.1", "1.2"), ("2", "2.2"), ("3", "4"), (None, "1"), ("1.2.3", "3.2"), ("4", "4")]
-
-
-@query(f"""WITH p AS (SELECT a, b, array_to_string(list_reverse(string_split(a, '.')), '.') AS x, array_to_string(list_reverse(string_split(b, '.')), '.') AS y FROM {values(_PAIRS, "a string, b string")})
+@query(f"""WITH p AS (SELECT a, b, array_to_string(list_reverse(string_split(a, '.')), '.') AS x, array_to_string(list_reverse(string_split(b, '.')), '.') AS y FROM {derived.PAIRS.sql})
 SELECT a, b, CAST(CASE WHEN a IN (b, y) OR x IN (b, y) THEN 1.0 WHEN starts_with(a, b || '.') OR starts_with(b, a || '.') OR starts_with(x, b || '.') OR starts_with(b, x || '.') OR starts_with(a, y || '.') OR starts_with(y, a || '.') OR starts_with(x, y || '.') OR starts_with(y, x || '.') THEN 0.5 ELSE 0.0 END AS DOUBLE) AS agreement, TRY_CAST(split_part(a, '.', 1) AS INTEGER) AS leading FROM p""")
 def label_agreements(spark, sf_dir):
-    return table(spark, _PAIRS, "a string, b string").select("a", "b", T.label_agreement(F.col("a"), F.col("b")).alias("agreement"), T.leading(F.col("a")).alias("leading"))
+    return derived.PAIRS.df(spark, sf_dir).select("a", "b", T.label_agreement(F.col("a"), F.col("b")).alias("agreement"), T.leading(F.col("a")).alias("leading"))
 
 
 @query("SELECT conv_id, turn, substr(trim(regexp_replace(regexp_replace(coalesce(text, ''), '\\*\\*|<[^>]+>', '', 'g'), '[\\s]+', ' ', 'g')), 1, 40) AS short FROM conversations")
@@ -209,8 +183,6 @@ def short_texts(spark, sf_dir):
 
 # ---- formulas
 
-_FORMULAS = [(i, f) for i, f in enumerate((r"$\dfrac{a}{b} \times 2{,}5$", r"\left( x \right) \approx 3", "−2·y", r"\text{v}_{0} = {3}", "x", "$$", r"\Delta", "(C_f)", "```", r"\mathbb{R}", "m = 12,5 kg + H2O", r"x^{2} \simeq 4", "- - -", r"\overrightarrow{AB} = 10"))]
-
 
 def _canonical_sql(c: str) -> str:
     out = f"trim(regexp_replace(trim({c}), '^\\$+|\\$+$', '', 'g'))"
@@ -219,10 +191,10 @@ def _canonical_sql(c: str) -> str:
     return f"regexp_replace(regexp_replace({out}, '\\s+', '', 'g'), '\\{{([^{{}}])\\}}', '\\1', 'g')"
 
 
-@query(f"SELECT i, {_canonical_sql('f')} AS canonical, " + " OR ".join(f"regexp_matches(trim(regexp_replace(trim(f), '^`+|`+$', '', 'g')), '{rx(p)}')" for p in fixed.FORMULA_NOISE) + f" AS noise, length(regexp_replace(f, '[^\\\\^]', '', 'g')) + len(regexp_extract_all(f, '_\\{{')) AS density FROM {values(_FORMULAS, 'i int, f string')}")
+@query(f"SELECT i, {_canonical_sql('f')} AS canonical, " + " OR ".join(f"regexp_matches(trim(regexp_replace(trim(f), '^`+|`+$', '', 'g')), '{rx(p)}')" for p in fixed.FORMULA_NOISE) + f" AS noise, length(regexp_replace(f, '[^\\\\^]', '', 'g')) + len(regexp_extract_all(f, '_\\{{')) AS density FROM {derived.FORMULAS.sql}")
 def formula_forms(spark, sf_dir):
     f = F.col("f")
-    return table(spark, _FORMULAS, "i int, f string").select("i", formulas.canonical(f).alias("canonical"), formulas.is_noise(f).alias("noise"), formulas.density(f).cast("long").alias("density"))
+    return derived.FORMULAS.df(spark, sf_dir).select("i", formulas.canonical(f).alias("canonical"), formulas.is_noise(f).alias("noise"), formulas.density(f).cast("long").alias("density"))
 
 
 _COMPUTED = [("p%d" % i, t, k, ok) for i, (t, k, ok) in enumerate((
@@ -239,19 +211,14 @@ def arithmetic_kinds(spark, sf_dir):
 
 # ---- quality
 
-_PAGES = [(i, s, t) for i, (s, t) in enumerate((
-    ("arabe", "short"), ("arabe", "this page is all in latin letters and long enough to be judged as such, really"), ("english", "هذه صفحة باللغة العربية وهي طويلة بما يكفي للحكم عليها في كل حال من الأحوال"),
-    ("arabe", "ايرولاكب امتحان"), ("arabe", "ا ب ت ث ج ح خ د ذ ر في السطر الأول من النص"), ("svt", "الشكل محور ا ب ت ث ج ح خ د ذ ر"), ("islamic", "دورة 8102 في الجزائر"), ("francais", "Le tejuS numero un"), ("arabe", "نص ab cd ef gh ij kl هنا"),
-    ("francais", "12 i 34 apres"), ("math", "12 i 34 apres"), ("english", "Here is the extracted text of the page"), ("arabe", "[PAGE REPROCESS NEEDED - vertical]"), ("math", "f(x) = 3x + 2"), ("english", "plain words"),
-))]
 _ARABIC_SUBJECTS, _SCIENCE = str(fixed.ARABIC_SUBJECTS), str(fixed.SCIENCE)
 
 
-@query(rf"""WITH p AS (SELECT *, length(regexp_replace(t, '[^{_AR}]', '', 'g')) AS ar, length(regexp_replace(t, '[^A-Za-z]', '', 'g')) AS la, length(trim(t)) AS n FROM {values(_PAGES, "i int, subject string, t string")}),
+@query(rf"""WITH p AS (SELECT *, length(regexp_replace(t, '[^{_AR}]', '', 'g')) AS ar, length(regexp_replace(t, '[^A-Za-z]', '', 'g')) AS la, length(trim(t)) AS n FROM {derived.PAGES.sql}),
 c AS (SELECT *, subject IN {_ARABIC_SUBJECTS} AS is_ar, subject IN {_SCIENCE} AS is_sc FROM p)
 SELECT i, 'LANG_MISMATCH' AS tag FROM c WHERE n >= 50 AND ((is_ar AND ar < 20 AND ar + la > 0 AND ar / (ar + la) < 0.2) OR (NOT is_ar AND la < 20 AND ar / (ar + la) > 0.6))
 UNION ALL SELECT i, 'REVERSED_BAKA' FROM c WHERE contains(t, '{fixed.REVERSED_NAME}')
-UNION ALL SELECT i, 'GARBLE' FROM c WHERE regexp_matches(t, '{fixed.GARBLE}') AND NOT regexp_matches(t, '{fixed.DIAGRAM}')
+UNION ALL SELECT i, 'GARBLE' FROM c WHERE len(list_filter(regexp_extract_all(t, '{fixed.GARBLE}'), lambda m: NOT regexp_matches(substr(t, greatest(1, instr(t, m) - 100), instr(t, m) - greatest(1, instr(t, m) - 100) + length(m) + 100), '{fixed.DIAGRAM}'))) > 0
 UNION ALL SELECT i, 'REVERSED_YEAR' FROM c WHERE regexp_matches(t, '\b({"|".join(str(y)[::-1] for y in range(2007, 2027))})\b')
 UNION ALL SELECT i, 'REVERSED_LATIN' FROM c WHERE regexp_matches(t, '{fixed.REVERSED_LATIN}')
 UNION ALL SELECT i, 'LATIN_GIBBER_IN_ARABIC' FROM c WHERE is_ar AND NOT is_sc AND regexp_matches(t, '{fixed.LATIN_GIBBERISH}')
@@ -259,16 +226,16 @@ UNION ALL SELECT i, 'PAGE_NUM_NOISE' FROM c WHERE NOT is_sc AND regexp_matches(t
 UNION ALL SELECT i, 'REPROCESS_MARKER' FROM c WHERE contains(t, '{fixed.REPROCESS}')
 UNION ALL SELECT i, 'HALLUCINATION' FROM c WHERE regexp_matches(t, '{fixed.MODEL_TALK}')""")
 def page_issue_tags(spark, sf_dir):
-    pages = table(spark, _PAGES, "i int, subject string, t string")
+    pages = derived.PAGES.df(spark, sf_dir)
     return pages.select("i", F.explode(quality.page_issues(F.col("t"), F.col("subject"))).alias("x")).select("i", "x.tag")
 
 
-@query(rf"""WITH p AS (SELECT *, length(regexp_replace(t, '[^{_AR}]', '', 'g')) AS ar, length(trim(t)) AS n, list_filter(regexp_split_to_array(t, '\s+'), lambda x: regexp_matches(x, '[{_AR}]')) AS w FROM {values(_PAGES, "i int, subject string, t string")}),
+@query(rf"""WITH p AS (SELECT *, length(regexp_replace(t, '[^{_AR}]', '', 'g')) AS ar, length(trim(t)) AS n, list_filter(regexp_split_to_array(t, '\s+'), lambda x: regexp_matches(x, '[{_AR}]')) AS w FROM {derived.PAGES.sql}),
 c AS (SELECT *, subject IN {_ARABIC_SUBJECTS} AS is_ar, ar / n AS d, coalesce(list_sum(list_transform(w, lambda x: length(x))) / nullif(len(w), 0), 0) AS m FROM p)
 SELECT i, 'very_short' AS tag FROM c WHERE n < 30 UNION ALL SELECT i, 'low_arabic_density' FROM c WHERE is_ar AND d < 0.1 AND n > 50 UNION ALL SELECT i, 'fragmented_arabic' FROM c WHERE is_ar AND m > 0 AND m <= 3.5 AND d > 0.4
 UNION ALL SELECT i, 'reversed_text_detected' FROM c WHERE contains(t, '{fixed.REVERSED_NAME}') UNION ALL SELECT i, 'garble_pattern_detected' FROM c WHERE regexp_matches(t, '{rx(fixed.SHORT_GARBLE)}')""")
 def local_page_checks(spark, sf_dir):
-    pages = table(spark, _PAGES, "i int, subject string, t string")
+    pages = derived.PAGES.df(spark, sf_dir)
     return pages.select("i", F.explode(quality.local_issues(F.col("t"), F.col("subject"))).alias("x")).select("i", "x.tag")
 
 
@@ -283,24 +250,18 @@ def file_tags(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", F.explode(tags).alias("x")).select("doc_id", "x.tag")
 
 
-_HEADS = [("a", 2018, "math", "امتحان دورة 2018 اختبار في مادة الرياضيات"), ("b", 2018, "math", "دورة 2017 علوم الطبيعة"), ("c", 2018, "svt", "علوم الطبيعة والحياة"), ("d", 2019, "english", "English 12019 2019"), ("e", None, "arabe", "2011"), ("f", 2020, "francais", "épreuve de français 2020, 2021")]
-
-
 @query(f"""SELECT key, CASE WHEN year IS NULL THEN false ELSE NOT regexp_matches(head, '(^|[^0-9])' || year || '([^0-9]|$)') END AS year_off, CASE subject {" ".join(f"WHEN '{s}' THEN " + " OR ".join(f"contains(head, '{n}')" for n in names_) for s, names_ in fixed.SUBJECT_NAMES.items())} END AS named
-FROM {values(_HEADS, "key string, year int, subject string, head string")}""")
+FROM {derived.HEADS.sql}""")
 def header_checks(spark, sf_dir):
-    rows = table(spark, _HEADS, "key string, year int, subject string, head string")
+    rows = derived.HEADS.df(spark, sf_dir)
     return rows.select("key", quality.year_is_off(F.col("head"), F.col("year")).alias("year_off"), quality.names_subject(F.col("head"), F.col("subject")).alias("named"))
 
 
-_POINTED = [("a", "التمرين الأول (5 نقاط) التمرين الثاني ( 7,5 نقطة ) التمرين الثالث (7.5 points) الموضوع الثاني (10 pts) (9 pts)"), ("b", "(20 نقاط)"), ("c", "(30 points) (4 points) (15 points)"), ("d", "no points")]
-
-
-@query(f"""WITH p AS (SELECT key, i, string_split(regexp_replace(t, 'الموضوع\\s+الثاني', chr(1), 'g'), chr(1))[i] AS part FROM (SELECT *, unnest([1, 2]) AS i FROM {values(_POINTED, 'key string, t string')})),
+@query(f"""WITH p AS (SELECT key, i, string_split(regexp_replace(t, 'الموضوع\\s+الثاني', chr(1), 'g'), chr(1))[i] AS part FROM (SELECT *, unnest([1, 2]) AS i FROM {derived.POINTED.sql})),
 v AS (SELECT key, i, list_filter(list_transform(regexp_extract_all(part, '\\(\\s*([0-9]{{1,2}}(?:[.,][0-9]+)?)\\s*(?:نقاط|نقطة|ن\\.?|points?|pts)\\s*\\)', 1), lambda x: CAST(replace(x, ',', '.') AS DOUBLE)), lambda x: x > 0 AND x <= 20) AS v FROM p WHERE part IS NOT NULL)
 SELECT key, i AS part, CAST(list_sum(v) AS DOUBLE) AS total FROM v WHERE len(v) >= 2 AND abs(list_sum(v) - 20) > 0.01""")
 def points_by_topic(spark, sf_dir):
-    rows = table(spark, _POINTED, "key string, t string").select("key", F.explode(quality.points_off(F.col("t"))).alias("x"))
+    rows = derived.POINTED.df(spark, sf_dir).select("key", F.explode(quality.points_off(F.col("t"))).alias("x"))
     return rows.select("key", "x.part", F.aggregate("x.points", F.lit(0.0), lambda s, v: s + v).alias("total"))
 
 
@@ -327,47 +288,40 @@ def integrity_counts(spark, sf_dir):
 
 # ---- audits and states
 
-_AUDITED = [("a", "math", "exam", 2), ("b", "arabe", "exam", 1), ("c", "svt", "solution", None), ("d", "english", "exam", 3)]
-_EXTRACTED = [("a", "[PAGE 1]\n" + "x = 1, " * 60 + "\n[PAGE 2]\nshort"), ("b", ""), ("c", "[PAGE 1]\n" + "y = 2; " * 40)]
-_CUT = [("a", 1, "x = 1, " * 60), ("a", 2, "short"), ("c", 1, "y = 2; " * 40)]
-
 
-def _findings(spark):
-    files, texts = table(spark, _AUDITED, "stem string, subject string, type string, n_pages int"), table(spark, _EXTRACTED, "stem string, content string")
-    return files, audit.findings(files, texts, table(spark, _CUT, "stem string, page_num int, text string"))
+def _findings(spark, sf_dir):
+    files, texts = derived.AUDITED.df(spark, sf_dir), derived.EXTRACTED.df(spark, sf_dir)
+    return files, audit.findings(files, texts, derived.CUT.df(spark, sf_dir))
 
 
-_FINDINGS_SQL = f"""WITH f AS {values(_AUDITED, "stem string, subject string, type string, n_pages int")}, t AS {values(_EXTRACTED, "stem string, content string")}, p AS {values(_CUT, "stem string, page_num int, text string")},
+_FINDINGS_SQL = f"""WITH f AS {derived.AUDITED.sql}, t AS {derived.EXTRACTED.sql}, p AS {derived.CUT.sql},
 j AS (SELECT f.*, content FROM f LEFT JOIN t USING (stem)), h AS (SELECT * FROM j WHERE content <> ''), n AS (SELECT stem, count(*) AS n FROM p GROUP BY stem),
 e AS (SELECT h.stem, k AS page_num, length(trim(coalesce(p.text, ''))) AS n FROM (SELECT *, unnest(range(1, greatest(coalesce(n_pages, 1), 1) + 1)) AS k FROM h) h LEFT JOIN p ON p.stem = h.stem AND p.page_num = h.k), m AS (SELECT stem, avg(n) AS m FROM e GROUP BY stem),
 o AS (SELECT stem, 'issue' AS severity, 'MISSING_TXT' AS tag FROM j WHERE content IS NULL UNION ALL SELECT stem, 'issue', 'EMPTY_TXT' FROM j WHERE content = '' UNION ALL SELECT stem, 'issue', 'PDF_UNREADABLE' FROM h WHERE coalesce(n_pages, -1) <= 0
 UNION ALL SELECT stem, 'issue', 'PAGE_COUNT_MISMATCH' FROM h JOIN n USING (stem) WHERE n_pages > 0 AND n_pages <> n UNION ALL SELECT stem, 'issue', CASE WHEN n = 0 THEN 'EMPTY_PAGE' ELSE 'SHORT_PAGE' END FROM e WHERE n < 30
 UNION ALL SELECT stem, 'warning', 'LOW_RELATIVE_PAGE' FROM e JOIN m USING (stem) WHERE m > 200 AND n < 20 UNION ALL SELECT p.stem, 'issue', 'LANG_MISMATCH' FROM p JOIN f USING (stem) WHERE subject IN {_ARABIC_SUBJECTS} AND length(trim(text)) >= 50
-UNION ALL SELECT stem, 'warning', 'NO_QUESTION_STRUCTURE' FROM h WHERE length(content) >= 200 UNION ALL SELECT stem, 'warning', 'SHORT_EXAM_FILE' FROM h WHERE type = 'exam' AND length(trim(content)) BETWEEN 100 AND 499)"""
+UNION ALL SELECT stem, 'warning', 'NO_QUESTION_STRUCTURE' FROM h WHERE length(content) >= 200 UNION ALL SELECT stem, 'issue', 'VERY_SHORT_FILE' FROM h WHERE length(trim(content)) < 100 UNION ALL SELECT p.stem, 'issue', 'LATIN_GIBBER_IN_ARABIC' FROM p JOIN f USING (stem) WHERE subject IN {_ARABIC_SUBJECTS} AND subject NOT IN {_SCIENCE} AND regexp_matches(text, '{fixed.LATIN_GIBBERISH}')
+UNION ALL SELECT stem, 'warning', 'SHORT_EXAM_FILE' FROM h WHERE type = 'exam' AND length(trim(content)) BETWEEN 100 AND 499)"""
 
 
 @query(_FINDINGS_SQL + " SELECT severity, tag, count(*) AS n, count(DISTINCT stem) AS files FROM o GROUP BY ALL")
 def audit_tags(spark, sf_dir):
-    return audit.tag_counts(_findings(spark)[1])
+    return audit.tag_counts(_findings(spark, sf_dir)[1])
 
 
 @query(_FINDINGS_SQL + ", s AS (SELECT f.stem, subject, count_if(severity = 'issue') AS i, count_if(severity = 'warning') AS w FROM f LEFT JOIN o ON o.stem = f.stem GROUP BY ALL) SELECT subject, count(*) AS total, count_if(i = 0) AS n_pass, count_if(i > 0) AS n_issues, count_if(i = 0 AND w > 0) AS n_warnings_only FROM s GROUP BY ROLLUP (subject)")
 def audit_statistics(spark, sf_dir):
-    return audit.statistics(audit.passed(*_findings(spark)))
+    return audit.statistics(audit.passed(*_findings(spark, sf_dir)))
 
 
-_VERIFIED = [("a", "math", True, True), ("b", "math", False, True), ("c", "svt", True, False), ("d", "svt", True, True), ("e", "svt", True, True), ("f", "arabe", True, True)]
-_WORKED = [("a", False, "pending"), ("d", True, "corrected"), ("d", True, "reprocess_failed"), ("e", True, "corrected"), ("f", True, "pending")]
-
-
-@query(f"""WITH f AS {values(_VERIFIED, "stem string, subject string, has_text boolean, has_pdf boolean")}, p AS {values(_WORKED, "stem string, needs boolean, status string")},
+@query(f"""WITH f AS {derived.VERIFIED.sql}, p AS {derived.WORKED.sql},
 g AS (SELECT f.*, count_if(status = 'corrected') AS c, count_if(status = 'reprocess_failed') AS x, count_if(needs) AS n FROM f LEFT JOIN p USING (stem) GROUP BY ALL),
 s AS (SELECT subject, CASE WHEN NOT has_text THEN 'failed_missing_txt' WHEN NOT has_pdf THEN 'failed_missing_pdf' WHEN x > 0 THEN 'verified_with_failures' WHEN n > 0 AND c = 0 THEN 'verified_issues_uncorrected' WHEN c > 0 THEN 'verified_corrected' ELSE 'verified_pass' END AS z FROM g)
 SELECT subject, count(*) AS total, count_if(z = 'verified_pass') AS verified_pass, count_if(z = 'verified_corrected') AS verified_corrected, count_if(z = 'verified_issues_uncorrected') AS verified_issues_uncorrected, count_if(z = 'verified_with_failures') AS verified_with_failures,
 count_if(contains(z, 'missing')) AS missing, CAST(0 AS BIGINT) AS error FROM s GROUP BY ROLLUP (subject)""")
 def verification_states(spark, sf_dir):
-    files = table(spark, _VERIFIED, "stem string, subject string, has_text boolean, has_pdf boolean")
-    return audit.state_summary(audit.file_states(files, table(spark, _WORKED, "stem string, needs boolean, status string")))
+    files = derived.VERIFIED.df(spark, sf_dir)
+    return audit.state_summary(audit.file_states(files, derived.WORKED.df(spark, sf_dir)))
 
 
 @query("""WITH RECURSIVE e AS (SELECT user_id AS key, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k, CASE event_type WHEN 'view' THEN 'reextract' WHEN 'click' THEN 'halves' WHEN 'purchase' THEN 'quarters' ELSE 'reverify' END AS stage,
@@ -383,25 +337,18 @@ def fix_cascade(spark, sf_dir):
     return audit.fix_states(rows)
 
 
-_METHOD_FILES = [("a", 2010, True), ("b", 2018, True), ("c", 2018, False), ("d", 2012, False), ("e", None, False)]
-_METHOD_PAGES = [("a", 1, 900, False), ("b", 1, 900, False), ("b", 2, 900, True), ("b", 3, 40, False), ("c", 1, 10, False), ("c", 2, 20, False), ("d", 1, 500, False)]
-
-
-@query(f"""WITH f AS {values(_METHOD_FILES, "stem string, year int, has_report boolean")}, p AS {values(_METHOD_PAGES, "stem string, page_num int, n_chars int, reprocessed boolean")},
+@query(f"""WITH f AS {derived.METHOD_FILES.sql}, p AS {derived.METHOD_PAGES.sql},
 m AS (SELECT CASE WHEN NOT has_report THEN CASE WHEN coalesce(year <= 2014, false) OR sum(n_chars) OVER (PARTITION BY stem) = 0 THEN 'gemini' ELSE 'pdfplumber' END WHEN coalesce(year <= 2014, false) OR reprocessed OR n_chars <= 50 THEN 'gemini' ELSE 'pdfplumber' END AS method FROM p JOIN f USING (stem))
 SELECT method, count(*) AS n FROM m GROUP BY method""")
 def rebuilt_method_totals(spark, sf_dir):
-    files, pages = table(spark, _METHOD_FILES, "stem string, year int, has_report boolean"), table(spark, _METHOD_PAGES, "stem string, page_num int, n_chars int, reprocessed boolean")
+    files, pages = derived.METHOD_FILES.df(spark, sf_dir), derived.METHOD_PAGES.df(spark, sf_dir)
     return audit.method_totals(audit.rebuilt_methods(files, pages))
 
 
-_MANIFESTED, _ON_DISK = [("x/a.pdf",), ("x/b.pdf",), ("y/a.pdf",), ("x/c.pdf",)], [("x/a.pdf", 10), ("x/b.pdf", 0), ("y/a.pdf", 5)]
-
-
-@query(f"""WITH m AS (SELECT path, regexp_extract(path, '([^/]*)\\.pdf$', 1) AS s, size_bytes FROM {values(_MANIFESTED, "path string")} LEFT JOIN {values(_ON_DISK, "path string, size_bytes long")} USING (path))
+@query(f"""WITH m AS (SELECT path, regexp_extract(path, '([^/]*)\\.pdf$', 1) AS s, size_bytes FROM {derived.MANIFESTED.sql} LEFT JOIN {derived.ON_DISK.sql} USING (path))
 SELECT path, 'missing' AS problem FROM m WHERE size_bytes IS NULL UNION ALL SELECT path, 'zero_bytes' FROM m WHERE size_bytes = 0 UNION ALL SELECT path, 'duplicate_stem' FROM m WHERE s IN (SELECT s FROM m GROUP BY s HAVING count(*) > 1)""")
 def manifest_audit(spark, sf_dir):
-    return audit.manifest_problems(table(spark, _MANIFESTED, "path string"), table(spark, _ON_DISK, "path string, size_bytes long"))
+    return audit.manifest_problems(derived.MANIFESTED.df(spark, sf_dir), derived.ON_DISK.df(spark, sf_dir))
 
 
 @query("SELECT CAST(o_orderkey AS VARCHAR) AS key, problem FROM (SELECT *, unnest(list_filter([CASE WHEN o_orderkey % 5 = 0 THEN 'missing' END, CASE WHEN o_orderkey % 5 <> 0 AND o_orderkey % 90 < 80 THEN 'too_short' END, CASE WHEN o_orderkey % 5 <> 0 AND o_orderkey % 200 > 2 * (o_orderkey % 90) THEN 'shrunk' END], lambda x: x IS NOT NULL)) AS problem FROM orders)")
@@ -414,101 +361,79 @@ def fixed_page_regressions(spark, sf_dir):
 
 # ---- units, pairs, overrides
 
-_UNITS = [
-    ("e1", "m1", "math", "exam", 1, "P1", 1, None, False), ("e2", "m1", "math", "exam", 2, "P2", 1, None, False), ("e3", "m1", "math", "exam", 3, None, 2, None, False), ("s1", "m1_solution", "math", "solution", 1, "P1", 1, None, False),
-    ("s2", "m1_solution", "math", "solution", 2, None, 1, None, False), ("s3", "m1_solution", "math", "solution", 3, "P9", 2, None, False), ("e4", "m2", "math", "exam", 1, None, 1, None, False), ("e5", "f1", "francais", "exam", 1, None, None, "text", False),
-    ("e6", "f1", "francais", "exam", 2, None, None, "comprehension", False), ("e7", "f1", "francais", "exam", 3, None, None, "production", False), ("t1", "f1_solution", "francais", "solution", 1, None, None, "comprehension", False),
-    ("e8", "m3", "math", "exam", 1, None, 1, None, False), ("s8", "m3_solution", "math", "solution", 1, None, 1, None, False), ("e9", "f2", "francais", "exam", 1, None, None, "production", False), ("t9", "f2_solution", "francais", "solution", 1, None, None, "whole", True),
-]
-_UNIT_SCHEMA = "id string, stem string, subject string, doc_type string, ix int, part string, exercise_index int, section_key string, whole_document boolean"
-_PAIRED = [("e1", "s1", "unit"), ("e2", "s2", "unit"), ("e3", "s3", "unit"), ("e4", None, "none"), ("e5", None, "none_expected"), ("e6", "t1", "unit"), ("e7", "t1", "document_fallback"), ("e8", None, "solution_is_exam_copy"), ("e9", "t9", "document_fallback")]
-
 
-@query(f"""WITH u AS (SELECT *, replace(stem, '_solution', '') AS d FROM {values(_UNITS, _UNIT_SCHEMA)}), e AS (SELECT * FROM u WHERE doc_type = 'exam'), s AS (SELECT * FROM u WHERE doc_type = 'solution' AND stem <> 'm3_solution'),
+@query(f"""WITH u AS (SELECT *, replace(stem, '_solution', '') AS d FROM {derived.UNITS.sql}), e AS (SELECT * FROM u WHERE doc_type = 'exam'), c_ AS (SELECT replace(stem, '_solution', '') AS d FROM {derived.COPIES.sql} z), s AS (SELECT * FROM u WHERE doc_type = 'solution' AND d NOT IN (SELECT d FROM c_)),
 a AS (SELECT e.id, s.id AS s FROM e JOIN s ON e.d = s.d AND e.part IS NOT DISTINCT FROM s.part AND e.exercise_index = s.exercise_index), b AS (SELECT e.id, s.id AS s FROM e JOIN s ON e.d = s.d AND s.part IS NULL AND e.exercise_index = s.exercise_index WHERE e.id NOT IN (SELECT id FROM a) AND s.id NOT IN (SELECT s FROM a)),
 c AS (SELECT e.id, s.id AS s FROM e JOIN s ON e.d = s.d AND e.exercise_index = s.exercise_index WHERE e.id NOT IN (SELECT id FROM a UNION ALL SELECT id FROM b) AND s.id NOT IN (SELECT s FROM a UNION ALL SELECT s FROM b)),
 k AS (SELECT e.id, s.id AS s FROM e JOIN s ON e.d = s.d AND e.section_key = s.section_key AND NOT s.whole_document), x AS (SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c UNION ALL SELECT * FROM k), w AS (SELECT d, arg_min(id, ix) AS first FROM s GROUP BY d)
-SELECT e.id AS pair_id, CASE WHEN e.d = 'm3' THEN NULL WHEN x.s IS NOT NULL THEN x.s WHEN e.section_key <> 'text' THEN w.first END AS solution_id,
-CASE WHEN e.d = 'm3' THEN 'solution_is_exam_copy' WHEN x.s IS NOT NULL THEN 'unit' WHEN e.section_key = 'text' THEN 'none_expected' WHEN e.section_key IS NOT NULL AND w.first IS NOT NULL THEN 'document_fallback' ELSE 'none' END AS solution_match FROM e LEFT JOIN x ON x.id = e.id LEFT JOIN w ON w.d = e.d""")
+SELECT e.id AS pair_id, CASE WHEN e.d IN (SELECT d FROM c_) THEN NULL WHEN x.s IS NOT NULL THEN x.s WHEN e.section_key <> 'text' THEN w.first END AS solution_id,
+CASE WHEN e.d IN (SELECT d FROM c_) THEN 'solution_is_exam_copy' WHEN x.s IS NOT NULL THEN 'unit' WHEN e.section_key = 'text' THEN 'none_expected' WHEN e.section_key IS NOT NULL AND w.first IS NOT NULL THEN 'document_fallback' ELSE 'none' END AS solution_match FROM e LEFT JOIN x ON x.id = e.id LEFT JOIN w ON w.d = e.d""")
 def unit_pairs(spark, sf_dir):
-    copies = table(spark, [("m3_solution",)], "stem string")
-    return linking.paired(table(spark, _UNITS, _UNIT_SCHEMA), copies).select("pair_id", "solution_id", "solution_match")
-
+    copies = derived.COPIES.df(spark, sf_dir)
+    return linking.paired(derived.UNITS.df(spark, sf_dir), copies).select("pair_id", "solution_id", "solution_match")
 
-_QUESTIONS = [("u1__q1", "u1", 0, "1", "strong", "A", "1", 0, 1.0), ("u1__q2", "u1", 1, "2", "none", None, None, None, None), ("u1__q3", "u1", 2, "3", "good", "A", "3", 1, 0.0), ("u2__q1", "u2", 0, "1", "label_supported", "B", "1", 0, 1.0), ("u2__q2", "u2", 1, "2", "parent_stub", None, None, None, None), ("u2__q3", "u2", 2, "3", "none", None, None, None, None)]
-_QUESTION_SCHEMA = "qid string, unit_id string, ix int, label string, match string, answer string, answer_label string, block int, label_agree double"
-_OVERRIDES = [("u1__q2", [1, 0], "two", None), ("u2__q3", None, "gone", None), ("u2__q1", [9], "beyond", None), ("u1__q1", [0], "elsewhere", "u2")]
-_BLOCKS = [("u1", 0, "1", "one"), ("u1", 1, "2", "two"), ("u2", 0, "1", "other")]
 
-
-@query(f"""WITH q AS {values(_QUESTIONS, _QUESTION_SCHEMA)}, o AS {values(_OVERRIDES, "qid string, blocks array<int>, note string, from_unit string")}, b AS {values(_BLOCKS, "unit_id string, block int, label string, text string")},
+@query(f"""WITH q AS {derived.QUESTIONS.sql}, o AS (SELECT qid, list_transform(string_split(bs, ','), lambda x: CAST(x AS INTEGER)) AS blocks, note, from_unit FROM {derived.OVERRIDES.sql} z), b AS {derived.BLOCKS.sql},
 x AS (SELECT q.qid, coalesce(from_unit, unit_id) AS u, unnest(blocks) AS block, unnest(range(1, len(blocks) + 1)) AS pos FROM q JOIN o USING (qid)), t AS (SELECT qid, string_agg(text, chr(10) ORDER BY pos) AS text FROM x JOIN b ON b.unit_id = x.u AND b.block = x.block GROUP BY qid)
 SELECT q.qid, CASE WHEN o.qid IS NULL THEN match WHEN t.text IS NULL THEN 'solution_missing' ELSE 'human' END AS match, CASE WHEN o.qid IS NULL THEN answer ELSE t.text END AS answer FROM q LEFT JOIN o USING (qid) LEFT JOIN t USING (qid)""")
 def override_texts(spark, sf_dir):
-    overrides = table(spark, _OVERRIDES, "qid string, blocks array<int>, note string, from_unit string")
-    return align.overridden(table(spark, _QUESTIONS, _QUESTION_SCHEMA), overrides, table(spark, _BLOCKS, "unit_id string, block int, label string, text string")).select("qid", "match", "answer")
+    overrides = derived.OVERRIDES.df(spark, sf_dir).select("qid", F.split("bs", ",").cast("array<int>").alias("blocks"), "note", "from_unit")
+    return align.overridden(derived.QUESTIONS.df(spark, sf_dir), overrides, derived.BLOCKS.df(spark, sf_dir)).select("qid", "match", "answer")
 
 
-@query(f"""WITH q AS {values(_QUESTIONS, _QUESTION_SCHEMA)} SELECT unit_id, count(*) AS questions, count_if(match IN ('strong', 'good', 'label_supported', 'human')) AS answered, round(100.0 * count_if(match IN ('strong', 'good', 'label_supported', 'human')) / greatest(count_if(match NOT IN ('parent_stub', 'legend', 'solution_missing')), 1), 1) AS answered_pct, count_if(label_agree = 0) AS despite_labels FROM q GROUP BY unit_id""")
+@query(f"""WITH q AS {derived.QUESTIONS.sql} SELECT unit_id, count(*) AS questions, count_if(match IN ('strong', 'good', 'label_supported', 'human')) AS answered, round(100.0 * count_if(match IN ('strong', 'good', 'label_supported', 'human')) / greatest(count_if(match NOT IN ('parent_stub', 'legend', 'solution_missing')), 1), 1) AS answered_pct, count_if(coalesce(label_agree = 0, false)) AS despite_labels FROM q GROUP BY unit_id""")
 def alignment_statistics(spark, sf_dir):
-    return align.statistics(table(spark, _QUESTIONS, _QUESTION_SCHEMA), ["unit_id"]).select("unit_id", "questions", "answered", "answered_pct", "despite_labels")
+    return align.statistics(derived.QUESTIONS.df(spark, sf_dir), ["unit_id"]).select("unit_id", "questions", "answered", "answered_pct", "despite_labels")
 
 
-@query(f"""WITH q AS {values(_QUESTIONS, _QUESTION_SCHEMA)}, s AS (SELECT *, answer IS NOT NULL AND row_number() OVER (PARTITION BY unit_id, substr(answer, 1, 60) ORDER BY ix) > 1 AS shared FROM q)
-SELECT qid, array_to_string(list_filter([CASE match WHEN 'none' THEN 'NONE' WHEN 'parent_stub' THEN 'STUB' WHEN 'label_supported' THEN 'LBL' END, CASE WHEN label_agree = 0 THEN 'CONTRA' END, CASE WHEN shared THEN 'SHARED' END], lambda x: x IS NOT NULL), ',') AS flags FROM s""")
+@query(f"""WITH q AS {derived.QUESTIONS.sql}, s AS (SELECT *, answer IS NOT NULL AND row_number() OVER (PARTITION BY unit_id, substr(answer, 1, 60) ORDER BY ix) > 1 AS shared FROM q)
+SELECT qid, array_to_string(list_filter([CASE match WHEN 'none' THEN 'NONE' WHEN 'parent_stub' THEN 'STUB' WHEN 'label_supported' THEN 'LBL' WHEN 'legend' THEN 'LEGEND' END, CASE WHEN label_agree = 0 THEN 'CONTRA' END, CASE WHEN shared THEN 'SHARED' END], lambda x: x IS NOT NULL), ',') AS flags FROM s""")
 def review_flags(spark, sf_dir):
-    return align.flags(table(spark, _QUESTIONS, _QUESTION_SCHEMA)).select("qid", F.concat_ws(",", "flags").alias("flags"))
+    return align.flags(derived.QUESTIONS.df(spark, sf_dir)).select("qid", F.concat_ws(",", "flags").alias("flags"))
 
 
-@query(f"""WITH q AS {values(_QUESTIONS, _QUESTION_SCHEMA)} SELECT DISTINCT unit_id FROM (SELECT *, count(*) OVER (PARTITION BY unit_id, substr(answer, 1, 60)) AS c FROM q) WHERE match = 'none' OR label_agree = 0 OR (answer <> '' AND c > 1)""")
+@query(f"""WITH q AS {derived.QUESTIONS.sql} SELECT DISTINCT unit_id FROM (SELECT *, count(*) OVER (PARTITION BY unit_id, substr(answer, 1, 60)) AS c FROM q) WHERE match = 'none' OR label_agree = 0 OR (answer <> '' AND c > 1)""")
 def flagged_units(spark, sf_dir):
-    return reports.flagged_units(table(spark, _QUESTIONS, _QUESTION_SCHEMA), strict=True)
+    return reports.flagged_units(derived.QUESTIONS.df(spark, sf_dir), strict=True)
 
 
-@query(f"""WITH o AS (SELECT qid, note, coalesce(from_unit, split_part(qid, '__q', 1)) AS u, split_part(qid, '__q', 2) AS asked, unnest(blocks) AS block FROM {values(_OVERRIDES, "qid string, blocks array<int>, note string, from_unit string")}), b AS {values(_BLOCKS, "unit_id string, block int, label string, text string")}
+@query(f"""WITH o AS (SELECT qid, note, coalesce(from_unit, split_part(qid, '__q', 1)) AS u, split_part(qid, '__q', 2) AS asked, unnest(blocks) AS block FROM (SELECT qid, list_transform(string_split(bs, ','), lambda x: CAST(x AS INTEGER)) AS blocks, note, from_unit FROM {derived.OVERRIDES.sql} z)), b AS {derived.BLOCKS.sql}
 SELECT qid, o.block, CASE WHEN u NOT IN (SELECT unit_id FROM b) THEN 'missing unit' WHEN b.unit_id IS NULL THEN 'out of range' ELSE 'label' END AS problem FROM o LEFT JOIN b ON b.unit_id = u AND b.block = o.block WHERE b.label IS NULL OR NOT (b.label = asked OR starts_with(asked, b.label || '.') OR starts_with(b.label, asked || '.'))""")
 def override_checks(spark, sf_dir):
-    overrides = table(spark, _OVERRIDES, "qid string, blocks array<int>, note string, from_unit string")
-    return linking.override_problems(overrides, table(spark, _BLOCKS, "unit_id string, block int, label string, text string"))
+    overrides = derived.OVERRIDES.df(spark, sf_dir).select("qid", F.split("bs", ",").cast("array<int>").alias("blocks"), "note", "from_unit")
+    return linking.override_problems(overrides, derived.BLOCKS.df(spark, sf_dir))
 
 
 # ---- repairs, merges, boxes
 
-_TURNED = [("a", 2018, "دورة 8102 و 2018 و 9102"), ("b", 2019, "9102/9102"), ("c", 2050, "0502"), ("d", None, "8102")]
-
 
-@query(f"SELECT key, CASE WHEN year BETWEEN 2008 AND 2026 THEN replace(t, reverse(CAST(year AS VARCHAR)), CAST(year AS VARCHAR)) ELSE t END AS one, " + "".join("replace(" for _ in range(19)) + "t" + "".join(f", '{str(y)[::-1]}', '{y}')" for y in range(2026, 2007, -1)) + f" AS every FROM {values(_TURNED, 'key string, year int, t string')}")
+@query(f"SELECT key, CASE WHEN year BETWEEN 2008 AND 2026 THEN replace(t, reverse(CAST(year AS VARCHAR)), CAST(year AS VARCHAR)) ELSE t END AS one, " + "".join("replace(" for _ in range(19)) + "t" + "".join(f", '{str(y)[::-1]}', '{y}')" for y in range(2026, 2007, -1)) + f" AS every FROM {derived.TURNED.sql}")
 def turned_years(spark, sf_dir):
-    return table(spark, _TURNED, "key string, year int, t string").select("key", repair.year_turned_back(F.col("t"), F.col("year")).alias("one"), repair.years_turned_back(F.col("t")).alias("every"))
+    return derived.TURNED.df(spark, sf_dir).select("key", repair.year_turned_back(F.col("t"), F.col("year")).alias("one"), repair.years_turned_back(F.col("t")).alias("every"))
 
 
-_NAMED = [(n,) for n in ("bac_math_2013_sujet1", "bac_math_2013_sujet2_solution", "bac_math_2013_sujet1_and_sujet2", "bac_math_2014_sujet1", "see bac_math_2013_sujet2.txt and bac_math_2013_sujet1__ex1", "bac_math_2013_sujet10")]
-
-
-@query(rf"""WITH n AS {values(_NAMED, "name string")}, m AS (SELECT name, regexp_replace(regexp_replace(name, 'bac_math_2013_sujet1(_and|_solution|[A-Za-z0-9])', 'KEEP1\1', 'g'), 'bac_math_2013_sujet2(_and|_solution|[A-Za-z0-9])', 'KEEP2\1', 'g') AS x FROM n)
+@query(rf"""WITH n AS {derived.NAMED.sql}, m AS (SELECT name, regexp_replace(regexp_replace(name, 'bac_math_2013_sujet1(_and|_solution|[A-Za-z0-9])', 'KEEP1\1', 'g'), 'bac_math_2013_sujet2(_and|_solution|[A-Za-z0-9])', 'KEEP2\1', 'g') AS x FROM n)
 SELECT name, replace(replace(replace(replace(replace(x, 'bac_math_2013_sujet1', 'SWAP'), 'bac_math_2013_sujet2', 'bac_math_2013_sujet1'), 'SWAP', 'bac_math_2013_sujet2'), 'KEEP1', 'bac_math_2013_sujet1'), 'KEEP2', 'bac_math_2013_sujet2') AS exam FROM m""")
 def exchanged_topics(spark, sf_dir):
-    return table(spark, _NAMED, "name string").select("name", overlay.swapped_topics(F.col("name"), "math", "2013", "exam").alias("exam"))
+    return derived.NAMED.df(spark, sf_dir).select("name", overlay.swapped_topics(F.col("name"), "math", "2013", "exam").alias("exam"))
 
 
-_PATCHED = [("a", "one two one"), ("b", "x"), ("c", None)]
-_PATCHES = [("a", 1, "one", "1", False), ("a", 2, "two", "one", True), ("a", 3, "one", "uno", True), ("b", 1, "y", "z", True)]
+_STATUSES = " || ',' || ".join(f"CASE WHEN contains(coalesce({x}, ''), '{y}') THEN 'OK' ELSE 'NOT_FOUND' END" for x, y in (("t", "one"), ("u", "two"), ("v", "one")))
 
 
-@query("SELECT * FROM (VALUES ('a', '1 uno uno', 'OK,OK,OK'), ('b', 'x', 'NOT_FOUND'), ('c', NULL, '')) v(stem, content, statuses)")
+@query(f"""WITH d AS (SELECT stem, content AS t, CAST(stem AS BIGINT) % 3 <> 0 AS p FROM {derived.PATCHED.sql} z), a AS (SELECT *, CASE WHEN p THEN regexp_replace(t, 'one', '1') ELSE t END AS u FROM d), b AS (SELECT *, CASE WHEN p THEN replace(u, 'two', 'one') ELSE u END AS v FROM a),
+c AS (SELECT *, CASE WHEN p THEN replace(v, 'one', 'uno') ELSE v END AS w FROM b)
+SELECT stem, w AS content, CASE WHEN NOT p THEN '' ELSE {_STATUSES} END AS statuses FROM c""")
 def text_patches(spark, sf_dir):
-    """The SQL has the outcomes, worked out by hand: patches apply in order."""
-    done = repair.patched(table(spark, _PATCHED, "stem string, content string"), table(spark, _PATCHES, "stem string, seq int, old string, new string, everywhere boolean"))
+    """In order: the first place, then everywhere what that may have made."""
+    done = repair.patched(derived.PATCHED.df(spark, sf_dir), derived.PATCHES.df(spark, sf_dir))
     return done.select("stem", "content", F.concat_ws(",", F.transform("log", lambda x: x["status"])).alias("statuses"))
 
 
-_SCORED = [("a", "page", "1 | 2"), ("b", "page", "NO_SCORES here"), ("c", "page [SCORES — x]", "1"), ("d", "page", None)]
-
-
-@query(f"""SELECT key, CASE WHEN s THEN t ELSE t || chr(10) || '[SCORES — read from source image, top→bottom: ' || r || ']' END AS page, CASE WHEN s THEN 'SKIP' ELSE 'APPENDED' END AS status FROM (SELECT *, r IS NULL OR regexp_matches(r, '^(NO_SCORES|RECHECK|SCORES_ALREADY_IN_TEXT)') OR contains(t, '[SCORES') AS s FROM {values(_SCORED, "key string, t string, r string")})""")
+@query(f"""SELECT key, CASE WHEN s THEN t ELSE t || chr(10) || '[SCORES — read from source image, top→bottom: ' || r || ']' END AS page, CASE WHEN s THEN 'SKIP' ELSE 'APPENDED' END AS status FROM (SELECT *, r IS NULL OR regexp_matches(r, '^(NO_SCORES|RECHECK|SCORES_ALREADY_IN_TEXT)') OR contains(t, '[SCORES') AS s FROM {derived.SCORED.sql})""")
 def score_blocks(spark, sf_dir):
     page, status = repair.with_scores(F.col("t"), F.col("r"))
-    return table(spark, _SCORED, "key string, t string, r string").select("key", page.alias("page"), status.alias("status"))
+    return derived.SCORED.df(spark, sf_dir).select("key", page.alias("page"), status.alias("status"))
 
 
 _BOXES_SQL = "SELECT event_id AS id, user_id % 97 AS page, CAST(event_id % 600 AS DOUBLE) AS x0, coalesce(value, 0) % 800 AS y0, CAST(event_id % 600 AS DOUBLE) + 30 AS x1, coalesce(value, 0) % 800 + 20 AS y1 FROM events"
@@ -522,31 +447,22 @@ def overlapping_boxes(spark, sf_dir):
     return figures.overlapping(boxes.filter("id % 2 = 0"), boxes.filter("id % 2 = 1"), ["page"])
 
 
-_WORDS = [("a", 1, float(x), float(y), w, 600.0) for x, y, w in ((10, 5, "0.5"), (12, 1, "1"), (590, 3, "2"), (300, 9, "3"), (15, 7, "word"))] + [("b", 1, 300.0, 1.0, "0,25", 600.0), ("b", 1, 300.0, 0.5, "2×0.5", 600.0), ("c", 1, 10.0, 1.0, "1", 600.0)]
-
-
-@query(f"""WITH w AS (SELECT *, x0 < 180 AS l, x0 > 420 AS r FROM {values(_WORDS, "stem string, page int, x0 double, y0 double, word string, page_width double")} WHERE regexp_matches(replace(trim(word), '×', 'x'), '{fixed.SCORE_TOKEN}')),
+@query(f"""WITH w AS (SELECT *, x0 < 180 AS l, x0 > 420 AS r FROM {derived.WORDS.sql} WHERE regexp_matches(replace(trim(word), '×', 'x'), '{fixed.SCORE_TOKEN}')),
 c AS (SELECT *, count(*) OVER p AS n, count_if(l) OVER p AS nl, count_if(r) OVER p AS nr FROM w WINDOW p AS (PARTITION BY stem, page))
 SELECT stem, page, string_agg(trim(word), ' | ' ORDER BY y0, x0, word) AS scores FROM c WHERE n >= 2 AND CASE WHEN greatest(nl, nr) < 2 THEN true WHEN nl >= nr THEN l ELSE r END GROUP BY ALL""")
 def score_columns(spark, sf_dir):
-    return figures.score_columns(table(spark, _WORDS, "stem string, page int, x0 double, y0 double, word string, page_width double"))
-
-
-_REPLIES = [("a", "CATEGORY: GRAPH\nMEANINGFUL: YES\nDESC: a curve "), ("b", "category:table\nmeaningful:no"), ("c", "nothing"), ("d", "DESC: only this")]
+    return figures.score_columns(derived.WORDS.df(spark, sf_dir))
 
 
-@query(f"""SELECT key, CASE {" ".join(f"WHEN regexp_matches(upper(r), 'CATEGORY: ?{c}') THEN '{c}'" for c in replies.CATEGORIES)} ELSE 'UNCLEAR' END AS category, CASE WHEN regexp_matches(upper(r), 'MEANINGFUL: ?YES') THEN true WHEN regexp_matches(upper(r), 'MEANINGFUL: ?NO') THEN false END AS meaningful, trim(regexp_extract(r, '(?im)^DESC:(.*)$', 1)) AS description FROM {values(_REPLIES, "key string, r string")}""")
+@query(f"""SELECT key, CASE {" ".join(f"WHEN regexp_matches(upper(r), 'CATEGORY: ?{c}') THEN '{c}'" for c in replies.CATEGORIES)} ELSE 'UNCLEAR' END AS category, CASE WHEN regexp_matches(upper(r), 'MEANINGFUL: ?YES') THEN true WHEN regexp_matches(upper(r), 'MEANINGFUL: ?NO') THEN false END AS meaningful, trim(regexp_extract(r, '(?im)^DESC:(.*)$', 1)) AS description FROM {derived.REPLIES.sql}""")
 def reply_tags(spark, sf_dir):
     r = F.col("r")
-    return table(spark, _REPLIES, "key string, r string").select("key", replies.category(r).alias("category"), replies.meaningful(r).alias("meaningful"), replies.tagged(r, "DESC").alias("description"))
-
-
-_ROUTED = [("a", "good text", False, True, None, None), ("b", "x", True, True, "read", 0.95), ("c", "x", True, True, "read", 0.5), ("d", "x", True, True, " ", 0.0), ("e", "x", True, False, None, None), ("f", "", True, False, None, None)]
+    return derived.REPLIES.df(spark, sf_dir).select("key", replies.category(r).alias("category"), replies.meaningful(r).alias("meaningful"), replies.tagged(r, "DESC").alias("description"))
 
 
-@query(f"""SELECT key, CASE WHEN NOT low THEN 'pdfplumber' WHEN rendered AND trim(coalesce(ocr, '')) <> '' THEN CASE WHEN conf >= 0.9 THEN 'gemini' ELSE 'paddleocr' END WHEN rendered OR t = '' THEN 'failed' ELSE 'pdfplumber' END AS method, CASE WHEN low AND trim(coalesce(ocr, '')) = '' AND (rendered OR t = '') THEN true ELSE false END AS failed FROM {values(_ROUTED, "key string, t string, low boolean, rendered boolean, ocr string, conf double")}""")
+@query(f"""SELECT key, CASE WHEN NOT low THEN 'pdfplumber' WHEN rendered AND trim(coalesce(ocr, '')) <> '' THEN CASE WHEN conf >= 0.9 THEN 'gemini' ELSE 'paddleocr' END WHEN rendered OR t = '' THEN 'failed' ELSE 'pdfplumber' END AS method, CASE WHEN low AND trim(coalesce(ocr, '')) = '' AND (rendered OR t = '') THEN true ELSE false END AS failed FROM {derived.ROUTED.sql}""")
 def page_routes(spark, sf_dir):
-    rows = table(spark, _ROUTED, "key string, t string, low boolean, rendered boolean, ocr string, conf double")
+    rows = derived.ROUTED.df(spark, sf_dir)
     return rows.withColumn("r", replies.routed(F.col("t"), F.col("low"), F.col("rendered"), F.col("ocr"), F.col("conf"))).select("key", "r.method", "r.failed")
 
 
