@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,6 +56,19 @@ def permuted(rows: DataFrame, mapping: DataFrame, key: str) -> DataFrame:
     return rows.join(mapping, rows[key] == mapping["old"], "left").withColumn(key, F.coalesce("new", key)).drop("old", "new")
 
 
+def permuted_everywhere(tables: dict[str, tuple[DataFrame, list[str]]], mapping: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Tables, each with the columns that hold a key, with mapping(old, new) applied to all of them at once, and a log: (table, column, old, new, n) of what changed in how many
+    rows. Written as one version (sources.versions), so that no reader meets one table with new keys and another with old ones."""
+    new, logs = {}, []
+    for name, (df, columns) in tables.items():
+        new[name] = df
+        for column in columns:
+            new[name] = permuted(new[name], mapping, column)
+            counts = df.groupBy(F.col(column).alias("old")).agg(F.count(F.lit(1)).alias("n")).join(mapping, "old")
+            logs.append(counts.select(F.lit(name).alias("table"), F.lit(column).alias("column"), "old", "new", "n"))
+    return new, reduce(DataFrame.unionByName, logs)
+
+
 def first_of_each(rows: DataFrame, key: str, order: str) -> tuple[DataFrame, DataFrame]:
     """The first row of each key, and the keys that come more than once with how often."""
     whole = F.struct(*rows.columns)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import fixed
+
 
 def pages_of(texts: DataFrame) -> DataFrame:
     """texts(stem, content) cut at [PAGE n] lines: (stem, page_num, text); text before the first marker is dropped and of
@@ -89,3 +91,36 @@ def page_lines(chars: DataFrame) -> DataFrame:
     kept = lines.select("stem", "page_num", "row", line.alias("line")).filter("line <> ''")
     listed = kept.groupBy("stem", "page_num").agg(F.array_sort(F.collect_list(F.struct("row", "line"))).alias("l"))
     return listed.select("stem", "page_num", F.array_join(F.transform("l", lambda x: x["line"]), "\n").alias("text"))
+
+
+def carried(lines: DataFrame, unit: str, order: list[str], marker: str, name: str = "carried", partitions: int | None = None) -> DataFrame:
+    """lines with the last marker that isn't null up to each line of its unit, null before the first: a prefix scan for units of any size.
+
+    Lines are dealt out by ranges of unit and order and written, which fixes who holds what. Each stretch (a unit's lines on one task) is scanned by itself; what a stretch
+    ends with goes on as a table of one row a stretch, of which a unit has no more than there were tasks. So a unit, a file of any length say, is never in one task. Lines
+    that are equal in all of `order` have no order among themselves. Null units are one unit; an empty table gives none."""
+    from ..streaming.incremental import work_dir
+
+    p = "_scan"
+    dealt = [*([partitions] if partitions else []), unit, *order]
+    rows = lines.repartitionByRange(*dealt).withColumn(f"{p}_at", F.spark_partition_id())
+    path = work_dir(lines.sparkSession, "carried")
+    rows.write.parquet(path)
+    rows = lines.sparkSession.read.schema(rows.schema).parquet(path)
+    # of markers at one place the largest, at a stretch's end as within it
+    end = F.max(F.when(F.col(marker).isNotNull(), F.struct(*order, F.col(marker).alias(f"{p}_m"))))
+    ends = rows.groupBy(F.col(unit).alias(f"{p}_u"), F.col(f"{p}_at").alias(f"{p}_a")).agg(end[f"{p}_m"].alias(f"{p}_end"))
+    before = Window.partitionBy(f"{p}_u").orderBy(f"{p}_a").rowsBetween(Window.unboundedPreceding, -1)
+    brought = ends.select(f"{p}_u", f"{p}_a", F.last(f"{p}_end", ignorenulls=True).over(before).alias(f"{p}_brought"))
+    within = Window.partitionBy(unit, f"{p}_at").orderBy(*order, F.col(marker).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    scanned = rows.withColumn(f"{p}_own", F.last(marker, ignorenulls=True).over(within))
+    joined = scanned.join(brought, F.col(unit).eqNullSafe(F.col(f"{p}_u")) & (F.col(f"{p}_at") == F.col(f"{p}_a")))
+    return joined.select(*lines.columns, F.coalesce(f"{p}_own", f"{p}_brought").alias(name))
+
+
+def paged_lines(lines: DataFrame, partitions: int | None = None) -> DataFrame:
+    """lines(stem, block, seq, line) of files of any size, as files.lines() gives them: (stem, block, seq, page_num, line), page_num that of the last [PAGE n] line. Lines before the first mark and
+    the marks themselves are dropped; what pages_of() does where a file is a row."""
+    mark = F.regexp_extract("line", fixed.PAGE_MARK, 1).try_cast("int")
+    found = carried(lines.withColumn("mark", mark), "stem", ["block", "seq"], "mark", "page_num", partitions)
+    return found.filter("mark IS NULL AND page_num IS NOT NULL").select("stem", "block", "seq", "page_num", "line")

@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions import quality, repair
-from ..operators import align, labels, reading, units
+from ..operators import align, labels, overlay, reading, sequences, units
+from ..sources import files
+from ..sources.versions import Versions
+from ..streaming.incremental import work_dir
 from . import golden  # registers what these replace
 from .catalogue import _ANCHORS, _turn_pairs, query, read
 from .derived import NL, PAGES, Derived, part, pick, text
@@ -150,4 +153,44 @@ def low_quality_pages(spark, sf_dir):
     return PAGES.df(spark, sf_dir).select("i", quality.low_quality(F.col("t"), F.col("subject")).alias("low"))
 
 
+# ---- files of any size, versions, files with broken rows
 
+_MARKED = Derived("SELECT l_returnflag AS stem, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, CASE WHEN l_suppkey % 20 = 0 THEN l_partkey END AS mark FROM lineitem")
+_PLACE = ("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_partkey")
+
+
+@query(f"""SELECT stem, l_orderkey, l_linenumber, l_partkey, last_value(mark IGNORE NULLS) OVER (PARTITION BY stem ORDER BY {", ".join(_PLACE)}, mark NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS page_num FROM {_MARKED.sql} x""")
+def carried_markers(spark, sf_dir):
+    """Three texts of a third of all line items each, whose lines many tasks scan."""
+    return sequences.carried(_MARKED.df(spark, sf_dir), "stem", list(_PLACE), "mark", "page_num", partitions=16).select("stem", "l_orderkey", "l_linenumber", "l_partkey", "page_num")
+
+
+_OTHER = "CASE WHEN {0} % 2 = 1 THEN {0} - 1 WHEN {0} + 1 < (SELECT count(*) FROM customer) THEN {0} + 1 ELSE {0} END"
+
+
+@query(f"""SELECT o_orderkey, {_OTHER.format("o_custkey")} AS o_custkey, c_name, CAST(count(*) OVER (PARTITION BY o_custkey) AS BIGINT) AS logged FROM orders JOIN customer ON o_custkey = c_custkey""")
+def exchanged_customers(spark, sf_dir):
+    """Customers' keys exchanged in pairs, in both tables that hold them, as one version; orders with their customers of that version and its log."""
+    customer, orders = read(spark, sf_dir, "customer"), read(spark, sf_dir, "orders")
+    versions = Versions(spark, work_dir(spark, "versions"))
+    first = versions.commit({"customer": customer.select("c_custkey", "c_name"), "orders": orders.select("o_orderkey", "o_custkey")}, note="as given")
+    was = versions.snapshot(first)
+    old = was["customer"].select(F.col("c_custkey").alias("old"))
+    mapping = old.withColumn("new", F.when(F.col("old") % 2 == 1, F.col("old") - 1).otherwise(F.col("old") + 1)).join(old.withColumnRenamed("old", "new"), "new", "left_semi").select("old", "new")
+    new, log = overlay.permuted_everywhere({"customer": (was["customer"], ["c_custkey"]), "orders": (was["orders"], ["o_custkey"])}, mapping)
+    second = versions.commit(new | {"log": log}, since=first, note="exchanged")
+    now = versions.snapshot(second)
+    logged = now["log"].filter("`table` = 'orders'").select(F.col("new").alias("o_custkey"), F.col("n").alias("logged"))
+    unmoved = now["orders"].groupBy("o_custkey").agg(F.count(F.lit(1)).alias("here"))
+    joined = now["orders"].join(now["customer"], F.col("o_custkey") == F.col("c_custkey")).join(logged, "o_custkey", "left").join(unmoved, "o_custkey")
+    return joined.select("o_orderkey", "o_custkey", "c_name", F.coalesce("logged", "here").alias("logged"))
+
+
+@query("SELECT conv_id, turn, role, length(text) AS n FROM conversations WHERE (conv_id + turn) % 7 <> 0")
+def broken_lines(spark, sf_dir):
+    """Conversations written as JSON lines, every seventh cut off in its middle, and read back."""
+    rows = read(spark, sf_dir, "conversations")
+    line = F.to_json(F.struct("conv_id", "turn", "role", "text"))
+    path = work_dir(spark, "lines")
+    rows.select(F.when((F.col("conv_id") + F.col("turn")) % 7 == 0, F.substring(line, 1, 20)).otherwise(line).alias("value")).write.text(path)
+    return files.json_rows(spark, path, "conv_id long, turn long, role string, text string").select("conv_id", "turn", "role", F.length("text").alias("n"))

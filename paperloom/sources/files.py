@@ -50,6 +50,16 @@ def texts(spark: SparkSession, folder: str, glob: str = "*.txt") -> DataFrame:
     return found.select(F.regexp_replace(_name(F.col("path")), r"\.[^.]*$", "").alias("stem"), F.coalesce("value", F.lit("")).alias("content"))
 
 
+def lines(spark: SparkSession, folder: str, glob: str = "*.txt") -> DataFrame:
+    """(stem, block, seq, line): the lines of text files, which many tasks read by ranges of bytes. block and seq, the start of a line's range and a number that grows within it, are
+    its place in the file."""
+    if not exists(spark, folder):
+        return spark.createDataFrame([], "stem string, block long, seq long, line string")
+    found = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(folder)
+    stem = F.regexp_replace(_name(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))), r"\.[^.]*$", "")
+    return found.select(stem.alias("stem"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"), F.col("value").alias("line"))
+
+
 def json_rows(spark: SparkSession, path: str, schema: StructType | str, many_lines: bool = False) -> DataFrame:
     """Records of JSON lines, or of files that hold one array or object each; malformed ones are left out."""
     if not exists(spark, path):
