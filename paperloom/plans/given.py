@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions import quality, repair
-from ..operators import align, labels, overlay, reading, sequences, units
+from ..operators import align, labels, overlay, reading, sequences, units, vectors
 from ..sources import files
 from ..sources.versions import Versions
 from ..streaming.incremental import work_dir
@@ -194,3 +194,15 @@ def broken_lines(spark, sf_dir):
     path = work_dir(spark, "lines")
     rows.select(F.when((F.col("conv_id") + F.col("turn")) % 7 == 0, F.substring(line, 1, 20)).otherwise(line).alias("value")).write.text(path)
     return files.json_rows(spark, path, "conv_id long, turn long, role string, text string").select("conv_id", "turn", "role", F.length("text").alias("n"))
+
+
+# ---- embeddings
+
+
+@query("""WITH q AS (SELECT vec_id AS q, embedding FROM embeddings WHERE vec_id % 50 = 0),
+s AS (SELECT q, e.vec_id, round(list_cosine_similarity(q.embedding::DOUBLE[], e.embedding::DOUBLE[]), 6) AS cos FROM q JOIN embeddings e ON q <> e.vec_id)
+SELECT q, vec_id, cos FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY cos DESC, vec_id) AS r FROM s) WHERE r <= 3""")
+def nearest_vectors(spark, sf_dir):
+    """Every 50th vector against all, in blocks."""
+    e = read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    return vectors.nearest(e.filter("id % 50 = 0"), e, 3).select(F.col("q").alias("q"), F.col("id").alias("vec_id"), "cos")

@@ -120,3 +120,27 @@ def test_stubs_and_shared_answers(spark):
     stubs = {(r["u"], r["i"]) for r in sequences.parent_stubs(rows, "u", ["i"], "label").collect() if r["stub"]}
     shared = {(r["u"], r["i"]) for r in sequences.shared_answers(rows, "u", ["i"], "a").collect() if r["shared"]}
     assert stubs == {("u", 1)} and shared == {("u", 2)}
+
+
+def test_nearest_vectors_in_many_blocks(spark, monkeypatch):
+    from paperloom.operators import vectors
+
+    rng = np.random.default_rng(4)
+    x = np.round(rng.normal(size=(300, 5)), 1)
+    x[10:20] = x[:10]  # ties
+    x[7] = 0
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(999, None)], "id long, vector array<double>").repartition(5)
+    unit = x / np.where((n := np.linalg.norm(x, axis=1, keepdims=True)) > 0, n, 1)
+    want = {}
+    for q in range(0, 300, 7):
+        if q != 7:
+            best = sorted((-round(float(unit[q] @ unit[i]), 6) + 0.0, i) for i in range(300) if i not in (q, 7))[:4]
+            want[q] = [i for _, i in best]
+    for small, held in ((50_000, 1 << 20), (0, 40)):
+        for name, value in (("QUERIES", 5), ("BLOCK", 16), ("BROADCAST_QUERIES", small), ("HELD", held)):
+            monkeypatch.setattr(vectors, name, value)
+        got = {}
+        for r in sorted(vectors.nearest(rows.filter("id % 7 = 0"), rows, 4).collect(), key=lambda r: (r["q"], -r["cos"], r["id"])):
+            got.setdefault(r["q"], []).append(r["id"])
+        assert got == want
+    assert vectors.nearest(rows.limit(0), rows, 4).count() == 0
