@@ -66,14 +66,39 @@ class Ordinal:
         return 1 / (1 + np.exp(-np.clip(score[:, None] - self.cuts[None, :], -40, 40)))
 
 
-def fit(rows: np.ndarray, cols: np.ndarray, grades: np.ndarray, n_grades: int = GRADES, phi: float = PHIS[-1], rounds: int = ROUNDS) -> Ordinal:
+def _odds(df: np.ndarray, on: np.ndarray, n: int, total: float) -> np.ndarray:
+    """Log of how much more frequent features are among `total` of n documents than among the others."""
+    return np.log((on + 0.5) / (total + 1)) - np.log((df - on + 0.5) / (n - total + 1))
+
+
+def _telling(df: np.ndarray, on: np.ndarray, n: int, total: float, phi: float) -> np.ndarray:
+    """The features that get a weight."""
+    spread = np.maximum(df * (n - df) * total * (n - total), 1e-9)
+    return (df >= MIN_DOCS) & (_odds(df, on, n, total) >= MIN_LOG_RATIO) & ((on * n - df * total) ** 2 / spread >= phi * phi)
+
+
+def _marked(df: np.ndarray, on: np.ndarray, n: int, total: float) -> np.ndarray:
+    """The features by which toxic documents are graded."""
+    return (_odds(df, on, n, total) > 2.0) & (on >= 2 * MIN_DOCS)
+
+
+def asked_for(rows: np.ndarray, cols: np.ndarray, toxic: np.ndarray, size: int) -> np.ndarray:
+    """Which features any fit of a fold or of all asks for; the others change nothing."""
+    out, fold = np.zeros(size, bool), _folds(toxic)
+    for k in range(-1, FOLDS):
+        learned = fold != k
+        mine = learned[rows]
+        df, on = np.bincount(cols[mine], minlength=size).astype(float), np.bincount(cols[mine], toxic[rows[mine]], minlength=size)
+        n, total = int(learned.sum()), float(toxic[learned].sum())
+        out |= _telling(df, on, n, total, min(PHIS)) | _marked(df, on, max(1, n - total) + max(1, total), max(1, total))
+    return out
+
+
+def fit(rows: np.ndarray, cols: np.ndarray, grades: np.ndarray, n_grades: int = GRADES, phi: float = PHIS[-1], rounds: int = ROUNDS, size: int = 1 << BITS) -> Ordinal:
     """Maximum likelihood with L2 by full gradients with Adam's steps; rows and cols list the present features, sorted by row."""
-    n, k, size = len(grades), n_grades - 1, 1 << BITS
+    n, k = len(grades), n_grades - 1
     high = (grades > 0).astype(float)
-    df, on, total = np.bincount(cols, minlength=size).astype(float), np.bincount(cols, high[rows], minlength=size), high.sum()
-    spread = np.maximum(df * (n - df) * total * (n - total), 1e-9)
-    ratio = np.log((on + 0.5) / (total + 1)) - np.log((df - on + 0.5) / (n - total + 1))
-    telling = (df >= MIN_DOCS) & (ratio >= MIN_LOG_RATIO) & ((on * n - df * total) ** 2 / spread >= phi * phi)
+    telling = _telling(np.bincount(cols, minlength=size), np.bincount(cols, high[rows], minlength=size), n, high.sum(), phi)
     used, keep = np.flatnonzero(telling), telling[cols]
     rows, index = rows[keep], (np.cumsum(telling) - 1)[cols[keep]]
     w, cuts = np.zeros(len(used)), np.linspace(0.0, 1.0, k) if k else np.zeros(0)
@@ -106,15 +131,11 @@ def fit(rows: np.ndarray, cols: np.ndarray, grades: np.ndarray, n_grades: int =
     return Ordinal(weights, cuts)
 
 
-def severity(rows: np.ndarray, cols: np.ndarray, toxic: np.ndarray, n_grades: int = GRADES) -> np.ndarray:
+def severity(rows: np.ndarray, cols: np.ndarray, toxic: np.ndarray, n_grades: int = GRADES, size: int = 1 << BITS) -> np.ndarray:
     """Grades 0..n_grades-1 from 0/1 labels: toxic documents by quantiles of their number of marked features."""
     n_toxic = max(1, int(toxic.sum()))
     n_clean = max(1, len(toxic) - n_toxic)
-    size = 1 << BITS
-    on = np.bincount(cols, toxic[rows], minlength=size)
-    off = np.bincount(cols, minlength=size) - on
-    odds = np.log((on + 0.5) / (n_toxic + 1)) - np.log((off + 0.5) / (n_clean + 1))
-    marked = (odds > 2.0) & (on >= 2 * MIN_DOCS)
+    marked = _marked(np.bincount(cols, minlength=size), np.bincount(cols, toxic[rows], minlength=size), n_clean + n_toxic, n_toxic)
     count = np.bincount(rows, marked[cols], minlength=len(toxic))
     grades = np.zeros(len(toxic), np.int64)
     which = toxic > 0
@@ -124,35 +145,38 @@ def severity(rows: np.ndarray, cols: np.ndarray, toxic: np.ndarray, n_grades: in
     return grades
 
 
-def held_out_choice(rows: np.ndarray, cols: np.ndarray, toxic: np.ndarray, n_grades: int = GRADES) -> tuple[float, float]:
-    """The least phi and the toxic P(grade > 0) for this sample, by models that are fitted without a fold and judged on it.
-
-    Of all pairs whose F1 is within a standard error of the best, the one that finds the most toxic documents; of equal ones
-    that with the better F1, then the larger phi and the smaller P."""
-    n, n_toxic = len(toxic), int(toxic.sum())
-    if n_toxic < 2 or n - n_toxic < 2:
-        return PHIS[-1], TOXIC
-    fold = np.empty(n, np.int64)
+def _folds(toxic: np.ndarray) -> np.ndarray:
+    fold = np.empty(len(toxic), np.int64)
     for value in (0, 1):
         mine = np.flatnonzero(toxic == value)
         fold[mine] = np.arange(len(mine)) % FOLDS
-    found = []
-    tails = np.zeros((len(PHIS), n))
-    for k in range(min(FOLDS, n)):
-        learned = fold != k
-        at = np.cumsum(learned, dtype=np.int32) - 1
-        mine = learned[rows]
-        r, c = at[rows[mine]], cols[mine]
-        grades = severity(r, c, toxic[learned], n_grades)
-        for i, phi in enumerate(PHIS):
-            model = fit(r, c, grades, n_grades, phi, FOLD_ROUNDS)
-            w = model.weights[cols[~mine]]
-            score = np.bincount(rows[~mine], w, minlength=n)
-            holds = np.bincount(rows[~mine], w != 0, minlength=n) > 0
-            tails[i] = np.where(learned, tails[i], model.tails(score)[:, 0] * holds)
-    for i, phi in enumerate(PHIS):
+    return fold
+
+
+def held_out_tails(rows: np.ndarray, cols: np.ndarray, toxic: np.ndarray, k: int, phi: float, n_grades: int = GRADES, size: int = 1 << BITS) -> np.ndarray:
+    """P(grade > 0) of fold k's documents, in order, by a model that is fitted without them. Features are numbers below `size`."""
+    learned = _folds(toxic) != k
+    at, mine = np.cumsum(learned, dtype=np.int32) - 1, learned[rows]
+    r, c = at[rows[mine]], cols[mine]
+    model = fit(r, c, severity(r, c, toxic[learned], n_grades, size), n_grades, phi, FOLD_ROUNDS, size)
+    w = model.weights[cols[~mine]]
+    score = np.bincount(rows[~mine], w, minlength=len(toxic))
+    holds = np.bincount(rows[~mine], w != 0, minlength=len(toxic)) > 0
+    return (model.tails(score)[:, 0] * holds)[~learned]
+
+
+def choice(toxic: np.ndarray, tails: dict[tuple[int, float], np.ndarray]) -> tuple[float, float]:
+    """The least phi and the toxic P(grade > 0), of held_out_tails() for each fold and phi.
+
+    Of all pairs whose F1 is within a standard error of the best, the one that finds the most toxic documents; of equal ones
+    that with the better F1, then the larger phi and the smaller P."""
+    n_toxic, fold, found = int(toxic.sum()), _folds(toxic), []
+    for phi in PHIS:
+        tail = np.zeros(len(toxic))
+        for k in range(FOLDS):
+            tail[fold == k] = tails[k, phi]
         for cut in CUTS:
-            marked = tails[i] >= cut
+            marked = tail >= cut
             hits = int((marked & (toxic > 0)).sum())
             found.append((2 * hits / (int(marked.sum()) + n_toxic), hits, phi, cut))
     best = max(f for f, *_ in found)
@@ -163,6 +187,40 @@ def held_out_choice(rows: np.ndarray, cols: np.ndarray, toxic: np.ndarray, n_gra
     return phi, cut
 
 
+def fitted(spark: SparkSession, rows: np.ndarray, cols: np.ndarray, toxic: np.ndarray, n_grades: int = GRADES) -> Ordinal:
+    """The model of a bounded sample. Its fits, those without a fold and then the last one, are tasks that share the sample; the driver gets held-out
+    probabilities and the weights that aren't 0."""
+    asked = asked_for(rows, cols, toxic, 1 << BITS)
+    rows, cols, known = rows[asked[cols]], cols[asked[cols]], np.flatnonzero(asked)
+    own, size = (np.cumsum(asked) - 1)[cols], len(known)  # numbered: a fit's arrays are as long as these are many
+    shared = spark.sparkContext.broadcast((rows, own.astype(np.int32), toxic))  # MAX_TRAIN documents and MAX_FEATURES numbers at most
+
+    def each(jobs: list[tuple[int, float]]) -> dict:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for k, phi in zip(*(c.to_pylist() for c in batch.columns)):
+                    r, c, labels = shared.value
+                    if k >= 0:
+                        at, values = np.zeros(0, np.int64), held_out_tails(r, c, labels, k, phi, n_grades, size)
+                    else:
+                        model = fit(r, c, severity(r, c, labels, n_grades, size), n_grades, phi, ROUNDS, size)
+                        at = np.flatnonzero(model.weights)
+                        values = np.concatenate([model.weights[at].astype(float), model.cuts])
+                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([phi]), pa.array([at.tobytes()], pa.binary()), pa.array([values.tobytes()], pa.binary())], names=["k", "phi", "at", "found"])
+
+        made = spark.createDataFrame(jobs, "k int, phi double").repartition(len(jobs), "k", "phi").mapInArrow(run, "k int, phi double, at binary, found binary")
+        return {(r["k"], r["phi"]): (np.frombuffer(r["at"], np.int64), np.frombuffer(r["found"], float)) for r in made.collect()}
+
+    phi, cut = PHIS[-1], TOXIC
+    if min(int(toxic.sum()), len(toxic) - int(toxic.sum())) >= 2:
+        phi, cut = choice(toxic, {job: tail for job, (_, tail) in each([(k, phi) for k in range(FOLDS) for phi in PHIS]).items()})
+    ((at, values),) = each([(-1, phi)]).values()
+    shared.unpersist()
+    weights = np.zeros(1 << BITS, np.float32)
+    weights[known[at]] = values[: len(at)]
+    return Ordinal(weights, values[len(at) :], cut)
+
+
 def distinct(cols: list[np.ndarray], toxic: np.ndarray) -> tuple[list[int], np.ndarray]:
     """The documents to learn from, and all labels as resolved: of documents with one and the same feature set the first stays,
     toxic if any is; of those with one label, every later one whose sets' Jaccard similarity to one that stays is COPY or more
@@ -228,9 +286,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, n_grad
     # no model takes a feature of fewer documents than this, whichever fold it is fitted without
     often = (np.bincount(flat, minlength=1 << BITS) >= MIN_DOCS)[flat]
     rows, flat = rows[often], flat[often]
-    phi, cut = held_out_choice(rows, flat, toxic, n_grades)
-    model = fit(rows, flat, severity(rows, flat, toxic, n_grades), n_grades, phi)
-    return Ordinal(model.weights, model.cuts, cut)
+    return fitted(spark, rows, flat, toxic, n_grades)
 
 
 _RESULTS = {"n_words": "long", "expected_severity": "double", "grade": "integer", "toxic": "boolean"}

@@ -118,14 +118,14 @@ def test_toxicity_picks_the_same_sample_and_keeps_bounds(spark):
     docs = spark.createDataFrame([(i % 50, " ".join(words(rng, 30))) for i in range(120)], "doc_id long, text string")
     labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(60)] + [(1, 1), (99, 1)], "doc_id long, toxic int")
     sizes = []
-    fit = toxicity.fit
+    fitted = toxicity.fitted
     try:
-        toxicity.fit = lambda rows, cols, grades, *a: sizes.append((len(grades), len(cols))) or fit(rows, cols, grades, *a)
+        toxicity.fitted = lambda spark, rows, cols, toxic, *a: sizes.append((len(toxic), len(cols))) or fitted(spark, rows, cols, toxic, *a)
         for parts in (1, 5):
             toxicity.train(docs.repartition(parts), labels.repartition(parts), max_train=20)
             toxicity.train(docs.repartition(parts), labels.repartition(parts), max_features=500)
     finally:
-        toxicity.fit = fit
+        toxicity.fitted = fitted
     assert len(set(sizes)) > 1 and max(n for n, _ in sizes) <= 50 and sizes[: len(sizes) // 2] == sizes[len(sizes) // 2 :]
 
 

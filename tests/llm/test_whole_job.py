@@ -45,7 +45,7 @@ def test_only_true_copies_are_collapsed():
 
 def test_toxicity_learns_from_unrelated_texts(spark, monkeypatch):
     sizes = []
-    monkeypatch.setattr(toxicity, "fit", lambda rows, cols, grades, *a, fit=toxicity.fit: sizes.append(len(grades)) or fit(rows, cols, grades, *a))
+    monkeypatch.setattr(toxicity, "fitted", lambda spark, rows, cols, toxic, *a, fitted=toxicity.fitted: sizes.append(len(toxic)) or fitted(spark, rows, cols, toxic, *a))
     labelled(spark, "sf0.1")
     assert sizes[-1] > 3700
 
