@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions import names, quality, repair, replies
-from ..operators import align, audit, catalog, formulas, linking, overlay, reports
+from ..operators import align, audit, catalog, formulas, labels, linking, overlay, reports, units
 from . import derived, given
 from .catalogue import query, read
 from .derived import BLOCKS, FILES, NL, OVERRIDES, PAGED, PAGES, QUESTIONS, VERIFIED, WORKED, Derived, part, pick, text
@@ -232,3 +232,62 @@ def fallback_texts(spark, sf_dir):
 def merged_captions(spark, sf_dir):
     rows = read(spark, sf_dir, "events").select("event_id", F.struct(F.col("event_type").alias("kind"), F.col("props").alias("description")).alias("a"), F.struct(F.when(F.col("event_id") % 3 == 0, "new").when(F.col("event_id") % 3 == 1, "").alias("kind"), F.lit("").alias("description")).alias("b"))
     return rows.select("event_id", repair.merged_fields(F.col("a"), F.col("b"), ["kind", "description"]).alias("m")).select("event_id", "m.kind", "m.description")
+
+
+# ---- lines, blocks, units
+
+_CELLS = Derived(
+    f"""SELECT l_orderkey, l_linenumber, l_suppkey % 5 AS form, 1 + l_partkey % 20 AS n, l_suppkey AS s, CASE l_suppkey % 5 WHEN 0 THEN {text("1 + l_partkey % 20")} || '.' || {NL} || 'text ' || {text("l_suppkey")} WHEN 1 THEN {text("1 + l_partkey % 20")} || {NL} || '0,5'
+ WHEN 2 THEN '| ' || {text("1 + l_partkey % 20")} || ' | كلمة ' || {text("l_suppkey")} || ' | 0,5 |' || {NL} || '|---|---|' WHEN 3 THEN 'x<br>' || {text("l_suppkey")} || '<br/>z' ELSE {text("1 + l_partkey % 20")} || ')' || {NL} || '2) more' END AS t FROM lineitem"""
+)
+
+
+@query(f"""WITH c AS (SELECT *, CASE form WHEN 0 THEN CASE WHEN n <= 15 THEN [n || '. text ' || s] ELSE [n || '.', 'text ' || s] END WHEN 1 THEN [CAST(n AS VARCHAR), '0,5'] WHEN 2 THEN CASE WHEN n <= 15 THEN [n || ' كلمة ' || s, '0,5'] ELSE [CAST(n AS VARCHAR), 'كلمة ' || s, '0,5'] END
+WHEN 3 THEN CASE WHEN s BETWEEN 1 AND 15 THEN ['x', s || ' z'] ELSE ['x', CAST(s AS VARCHAR), 'z'] END ELSE [n || ')', '2) more'] END AS l FROM {_CELLS.sql} x) SELECT l_orderkey, l_linenumber, unnest(l) AS line FROM c""")
+def seen_lines(spark, sf_dir):
+    return _CELLS.df(spark, sf_dir).select("l_orderkey", "l_linenumber", F.explode(labels.seen_lines(F.col("t"))).alias("line"))
+
+
+def _unit_texts(spark, sf_dir):
+    lines = given._ITEM_LINES.df(spark, sf_dir)
+    return lines.groupBy("unit").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*given._LINE_ORDER, "line"))), lambda x: x["line"]), "\n").alias("t"))
+
+
+@query(f"""WITH l AS (SELECT *, row_number() OVER w AS i, count_if(form <> 2) OVER w AS k FROM {given._ITEM_LINES.sql} x WINDOW w AS (PARTITION BY unit ORDER BY {", ".join(given._LINE_ORDER)} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT unit, min(CASE form WHEN 0 THEN CAST(n AS VARCHAR) WHEN 1 THEN n || '.' || l_linenumber WHEN 3 THEN CAST(n AS VARCHAR) END) AS label, string_agg(line, chr(10) ORDER BY i) AS clean FROM l GROUP BY unit, k""")
+def answer_blocks(spark, sf_dir):
+    """Each part's lines as an answer key."""
+    return _unit_texts(spark, sf_dir).select("unit", F.explode(labels.blocks(F.col("t"))).alias("b")).select("unit", "b.label", "b.clean")
+
+
+_SAID = Derived(
+    f"""SELECT l_partkey AS unit, l_orderkey, l_linenumber, l_suppkey, l_extendedprice, l_suppkey % 6 AS form, CASE l_suppkey % 6 WHEN 0 THEN '**says** ' || {text("l_orderkey")} WHEN 1 THEN {text("l_linenumber")} || ',5 x ' || {text("l_linenumber")} WHEN 2 THEN 'صفحة ' || {text("l_linenumber")} || ' من 9'
+ WHEN 3 THEN 'التمرين الأول (' || {text("l_linenumber")} || ' نقاط)' WHEN 4 THEN 'التمرين الأول: an answer on the line ' || {text("l_orderkey")} ELSE '' END AS line FROM lineitem"""
+)
+
+
+@query(f"""SELECT unit, coalesce(string_agg(CASE form WHEN 0 THEN 'says ' || l_orderkey WHEN 4 THEN line END, chr(10) ORDER BY {", ".join(given._LINE_ORDER)}), '') AS clean FROM {_SAID.sql} x GROUP BY unit""")
+def scoring_texts(spark, sf_dir):
+    """What is left of each part's lines without scores, footers, blank lines and bare headings."""
+    texts = _SAID.df(spark, sf_dir).groupBy("unit").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*given._LINE_ORDER, "line"))), lambda x: x["line"]), "\n").alias("t"))
+    return texts.select("unit", labels.cleaned(F.col("t")).alias("clean"))
+
+
+def _units(spark, sf_dir):
+    lines = given._EXAM_LINES.df(spark, sf_dir)
+    texts = lines.groupBy("conv_id").agg(F.concat(F.lit("[PAGE 1]\n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "line"))), lambda x: x["line"]), "\n")).alias("content"))
+    return units.segmented(texts.select(F.expr(given._STEM).alias("stem"), "content"))
+
+
+_FILES_SQL = f"WITH u AS ({ORACLES['exercise_units']}), f AS (SELECT split_part(id, '__', 1) AS stem, count(*) AS n, count_if(points IS NULL AND NOT contains(id, '_solution')) AS unpriced, bool_or(whole_document) AS whole, sum(coalesce(points, 0)) AS points FROM u GROUP BY 1)"
+
+
+@query(_FILES_SQL + " SELECT 'math' AS subject, CASE WHEN contains(stem, '_solution') THEN 'solution' ELSE 'exam' END AS doc_type, CAST(n AS VARCHAR) AS shape, count(*) AS files, CAST(sum(n) AS BIGINT) AS units, CAST(sum(unpriced) AS BIGINT) AS points_missing, count_if(whole) AS whole_documents FROM f GROUP BY ALL")
+def segmentation_report(spark, sf_dir):
+    return units.report(_units(spark, sf_dir))
+
+
+@query(_FILES_SQL + """, b AS (SELECT replace(stem, '_solution', '') AS stem, sum(CASE WHEN NOT contains(stem, '_solution') THEN points END) AS points, CAST(sum(CASE WHEN contains(stem, '_solution') THEN 0 ELSE n END) AS BIGINT) AS n_exam, CAST(sum(CASE WHEN contains(stem, '_solution') THEN n ELSE 0 END) AS BIGINT) AS n_solution FROM f GROUP BY 1)
+SELECT stem, coalesce(points <> 20, false) AS points_off, n_exam, n_solution FROM b WHERE coalesce(points <> 20, false) OR (n_solution > 0 AND n_exam <> n_solution)""")
+def segmentation_sanity(spark, sf_dir):
+    return units.sanity(_units(spark, sf_dir))

@@ -1,13 +1,13 @@
-"""Queries for what SQL has no form for: reading of labels and headings, segmentation, scored alignment, ratios of texts, clusters of boxes.
+"""Queries over a few literal rows that are left of a first round: sections of languages, captions, scored alignment, ratios of texts, boxes in points, sheets.
 
-Their SQL is the table of outcomes, worked out by hand from the formats' rules for these small inputs."""
+Their SQL is the table of outcomes, worked out by hand from the formats' rules for these small inputs; it computes nothing."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import names, quality, repair, replies
-from ..operators import align, audit, figures, formulas, labels, linking, overlay, reports, sequences, units
+from ..functions import quality
+from ..operators import align, audit, figures, formulas, linking, reports, sequences, units
 from .records import ORACLES, QUERIES, query, table, values
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -18,47 +18,6 @@ def outcome(rows: list[tuple], schema: str):
     return query("SELECT * FROM " + values(rows, schema))
 
 
-_LABELLED = [
-    ("7.35 - 7.45", None), ("7.35 إلى 7.45", "7"), ("- 7 mai 1933 :", None), ("1.5 pt", None), ("(1) a (2) b", None), ("3-ميثيل بوتان-1-أول", None), ("-2 احسب", "2"), ("-2 text", None), ("ج 1 - نعم", "1"), ("2.1) Calculer", "2.1"),
-    ("١- احسب", "1"), ("الجواب على السؤال الثالث: نعم", "3"), ("5 The text is", "5"), ("12 / 20", None), ("plain", None), ("(2 احسب", "2"), (".4 جد", "4"), ("3 خاطئ لأن", "3"), ("0,5", None), ("صفحة 2 من 4", None),
-]
-
-
-@outcome(_LABELLED, "line string, label string")
-def item_labels(spark, sf_dir):
-    return table(spark, [(x,) for x, _ in _LABELLED], "line string").select("line", labels.item_label(F.col("line")).alias("label"))
-
-
-@outcome([("a", "2. text here"), ("b", "1"), ("b", "0,5"), ("c", "2. <table>"), ("d", "2 خاطئ لأن"), ("d", "0,5"), ("e", "x"), ("e", "y"), ("e", "z")], "key string, line string")
-def seen_lines(spark, sf_dir):
-    texts = table(spark, [("a", "2.\ntext here"), ("b", "1\n0,5"), ("c", "2)\n<table>"), ("d", "| 2 | خاطئ لأن | 0,5 |\n|---|---|"), ("e", "x<br>y<br/>z")], "key string, t string")
-    return texts.select("key", F.explode(labels.seen_lines(F.col("t"))).alias("line"))
-
-
-@outcome([("a", "1", "1) first\nmore"), ("a", "2", "2) second"), ("a", "5", "5) fifth\n3) inside"), ("a", "1", "1) again"), ("b", "1", "1. Read it"), ("b", "2", "2. Answer all of these\n4. Not next")], "key string, label string, text string")
-def split_items(spark, sf_dir):
-    texts = table(spark, [("a", False, "intro\n1) first\nmore\n2) second\n5) fifth\n3) inside\n1) again"), ("b", True, "1. contaminated (§1) a. well\n1. Read it\n2. Answer all of these\n4. Not next")], "key string, strict boolean, t string")
-    return texts.select("key", F.explode(labels.items(F.col("t"), F.col("strict"))).alias("i")).select("key", "i.label", "i.text")
-
-
-@outcome([("a", None, "header line here"), ("a", "1", "1) the answer is long"), ("a", "3", "3) another answer"), ("b", None, "one paragraph\nof two lines"), ("b", None, "another one")], "key string, label string, clean string")
-def answer_blocks(spark, sf_dir):
-    texts = table(spark, [("a", "header line here\n1) the answer is long\n2) 0,5\n3) another answer"), ("b", "one paragraph\nof two lines\n\nanother one")], "key string, t string")
-    return texts.select("key", F.explode(labels.blocks(F.col("t"))).alias("b")).select("key", "b.label", "b.clean")
-
-
-@outcome([("a", False, "التمرين الأول: 1) lim h(x) = 0 and much more\nkept"), ("b", False, "kept"), ("c", True, "ما هي السرعة")], "key string, asks boolean, clean string")
-def scoring_texts(spark, sf_dir):
-    texts = table(spark, [("a", "صفحة 1 من 2\n0.5\nالتمرين الأول (4 نقاط)\nالتمرين الأول: 1) lim h(x) = 0 and much more\nkept"), ("b", "kept"), ("c", "ما هي السرعة")], "key string, t string")
-    return texts.select("key", labels.is_question(F.col("t")).alias("asks"), labels.cleaned(F.col("t")).alias("clean"))
-
-
-@outcome([("2", "1) a\n2) b", True), ("2", "2) b\nc", False), ("2", "x\nsee (2) there", False), ("1.2", "x\n| 2.1 - y", True)], "label string, text string, mentions boolean")
-def label_mentions(spark, sf_dir):
-    rows = table(spark, [("2", "1) a\n2) b"), ("2", "2) b\nc"), ("2", "x\nsee (2) there"), ("1.2", "x\n| 2.1 - y")], "label string, text string")
-    return rows.select("label", "text", labels.block_mentions(F.col("label"), F.col("text")).alias("mentions"))
-
-
 _LONG = "جواب طويل جدا عن السؤال المطروح. " * 15
 _PASSAGE = "Un long texte qui parle de beaucoup de choses et qui continue encore. " * 8
 _TEXTS = [
@@ -74,15 +33,6 @@ _TEXTS = [
 ]
 
 
-@outcome([
-    ("bac_svt_2015_sujet1__ex1", None, 1, 4.0, "heading", "1", False, False), ("bac_svt_2015_sujet1__ex2", "الجزء الثاني", 9, 7.0, "part", "2,3", False, False), ("bac_math_2012_sujet1_solution__ex1", None, 1, None, None, "1", True, False),
-    ("bac_math_2012_sujet1_solution__ex2", None, 2, None, None, "1", False, False), ("bac_math_2013_sujet1_solution__ex1", None, None, None, None, "1,2", False, True),
-], "id string, part string, exercise_index int, points double, points_source string, pages string, heading_inferred boolean, whole_document boolean")
-def exercise_units(spark, sf_dir):
-    found = units.segmented(table(spark, _TEXTS, "stem string, content string")).filter("section_key IS NULL")
-    return found.select("id", "part", "exercise_index", "points", "points_source", F.concat_ws(",", F.col("pages").cast("array<string>")).alias("pages"), "heading_inferred", "whole_document")
-
-
 @outcome([
     ("bac_francais_2015_sujet1__s1", "text", None, True), ("bac_francais_2015_sujet1__s2", "comprehension", 14.0, False), ("bac_francais_2015_sujet1__s3", "production", None, False), ("bac_english_2016_sujet1_solution__s1", "reading", None, False),
     ("bac_english_2016_sujet1_solution__s2", "exploration", 7.0, False), ("bac_francais_2009_sujet2__s1", "text", None, True), ("bac_francais_2009_sujet2__s2", "comprehension", None, False), ("bac_arabe_2015_sujet1__s1", "whole", None, False),
@@ -91,18 +41,6 @@ def section_units(spark, sf_dir):
     return units.segmented(table(spark, _TEXTS, "stem string, content string")).filter("section_key IS NOT NULL").select("id", "section_key", "points", "heading_inferred")
 
 
-@outcome([("svt", "exam", "2", 1, 2, 0, 0), ("math", "solution", "2", 1, 2, 0, 0), ("math", "solution", "1", 1, 1, 0, 1), ("francais", "exam", "text+comprehension+production", 1, 3, 2, 0), ("english", "solution", "reading+exploration", 1, 2, 0, 0),
-          ("francais", "exam", "text+comprehension", 1, 2, 2, 0), ("arabe", "exam", "whole", 1, 1, 1, 1)], "subject string, doc_type string, shape string, files long, units long, points_missing long, whole_documents long")
-def segmentation_report(spark, sf_dir):
-    return units.report(units.segmented(table(spark, _TEXTS, "stem string, content string")))
-
-
-@outcome([("bac_svt_2015_sujet1", True, 2, 0), ("bac_francais_2015_sujet1", True, 3, 0), ("bac_francais_2009_sujet2", True, 2, 0), ("bac_arabe_2015_sujet1", True, 1, 0), ("bac_math_2012_sujet1", False, 0, 2), ("bac_math_2013_sujet1", False, 0, 1), ("bac_english_2016_sujet1", False, 0, 2)],
-         "stem string, points_off boolean, n_exam long, n_solution long")
-def segmentation_sanity(spark, sf_dir):
-    return units.sanity(units.segmented(table(spark, _TEXTS, "stem string, content string")))
-
-
 @outcome([("bac_svt_2015_sujet1__ex1", "c1"), ("bac_svt_2015_sujet1__ex2", "c2,c3")], "id string, captions string")
 def unit_captions(spark, sf_dir):
     found = units.segmented(table(spark, _TEXTS[:1], "stem string, content string"))
@@ -128,30 +66,11 @@ def label_only_answers(spark, sf_dir):
     return pairs.select("unit", found.alias("a")).select("unit", F.array_join(F.transform("a", lambda x: F.coalesce(x, F.lit("-"))), ",").alias("answers"))
 
 
-@outcome([("c4ca4238a0b923820dcc509a6f75849b", 256), ("c81e728d9d4c2f636f067f89cc14862c", 256)], "key string, size int")
-def text_embeddings(spark, sf_dir):
-    """Keys of distinct texts that the cache doesn't have."""
-    cache = align.embedded(table(spark, [("3",)], "text string"))
-    return align.embedded(table(spark, [("1",), ("2",), ("1",), ("3",), (None,)], "text string"), cache).select("key", F.size("vector").alias("size"))
-
-
 @outcome([("m_solution",)], "stem string")
 def exam_copies(spark, sf_dir):
     return linking.exam_copies(table(spark, [("m", "same text " * 20), ("m_solution", "same text " * 20), ("n", "abc def " * 9), ("n_solution", "zzzz 9999"), ("o_solution", "x")], "stem string, content string"))
 
 
-@outcome([("a_session1", "a_solution_session1", 3, 1)], "exam string, solution string, n_exam int, n_solution int")
-def exercise_counts(spark, sf_dir):
-    texts = [("a_session1", "التمرين الأول التمرين الثاني التمرين الثالث"), ("a_solution_session1", "التمرين الأول"), ("b", "التمرين الأول"), ("b_solution", "none")]
-    return linking.exercise_counts(table(spark, texts, "stem string, content string"))
-
-
-@outcome([("u__ex1__q2", "u__ex1", 0), ("u__ex1__q9", "u__ex2", 0)], "qid string, unit_id string, block int")
-def missing_solutions(spark, sf_dir):
-    overrides = table(spark, [("u__ex1__q2", None), ("u__ex1__q9", None)], "qid string, blocks array<int>")
-    return linking.answers_after_all(overrides, table(spark, [("u__ex1", 0, "1", "1) a\n2) b"), ("u__ex2", 0, "9", "9) c")], "unit_id string, block int, label string, text string"), True)
-
-
 _PAGE = "Soit $x^{2} + 3x = 4$ et $\\frac{a}{b} \\approx 2,5$. Note 0,25"
 _READ = [("x^2+3x=4", True), ("0.25", True), ("0.75", False), ("\\dfrac{a}{b} = 2.5", True), ("y = sin(z) + 12", False), ("x^2 + 3x = 5", False)]
 
@@ -166,12 +85,6 @@ def missing_atoms(spark, sf_dir):
     return formulas.missing_atoms(table(spark, [("k", "math", "F = 12 N", "F = 11 N"), ("k", "math", "alpha = 3", "alpha = 3"), ("l", "svt", "beta", "none")], "key string, subject string, item string, page string"))
 
 
-@outcome([("a", "a [FIGURE] b [FIGURE] [FIGURE: Force F]"), ("b", "[FIGURE: ASCII rendition removed; labels: Vitesse, 12 m]"), ("c", "x\n[FIGURE: ASCII rendition removed; labels: AB]\n[PAGE 2]\ny"), ("d", "plain")], "key string, text string")
-def plain_figures(spark, sf_dir):
-    texts = [("a", 'a ![graph](data:x) b <svg><p>x</p></svg> <img src=q alt="Force F">'), ("b", "```txt\n|-- Vitesse 12 m --|\n```"), ("c", "x\n```\nAB\n[PAGE 2]\ny"), ("d", "plain")]
-    return table(spark, texts, "key string, t string").select("key", repair.figures(F.col("t")).alias("text"))
-
-
 @outcome([("12", "near a section", 8), ("05", "leading zero", 21), ("012", "leading zero", 26), ("99", "near a section", 39)], "number string, reason string, place int")
 def digit_runs(spark, sf_dir):
     runs = table(spark, [("التمرين 12 في 2015 و 05 و 012 و 4321 و 99",)], "t string").select(F.explode(quality.digit_runs(F.col("t"))).alias("r"))
@@ -185,42 +98,6 @@ def character_lines(spark, sf_dir):
     return sequences.page_lines(df).select("stem", "text")
 
 
-@outcome([("a", True), ("b", False), ("c", True), ("d", False), ("e", True)], "key string, low boolean")
-def low_quality_pages(spark, sf_dir):
-    rows = [("a", "svt", "x"), ("b", "svt", "كلمة طويلة " * 12), ("c", "svt", "plain latin text " * 10), ("d", "francais", "plain latin text " * 10), ("e", "svt", "ا ب ت ث " * 30)]
-    return table(spark, rows, "key string, s string, t string").select("key", quality.low_quality(F.col("t"), F.col("s")).alias("low"))
-
-
-@outcome([("a", True), ("b", False), ("c", False), ("d", False)], "key string, cut boolean")
-def truncated_files(spark, sf_dir):
-    rows = [("a", "cut off here"), ("b", "ends here."), ("c", "text\nPage 2 / 4"), ("d", "x" * 200)]
-    return table(spark, rows, "key string, t string").select("key", quality.truncated(F.col("t")).alias("cut"))
-
-
-@outcome([("a", "bom"), ("a", "page_markers"), ("a", "stray_marker_in_body")], "key string, tag string")
-def page_mark_checks(spark, sf_dir):
-    rows = table(spark, [("a", "EFBBBF", "[PAGE 1]\nx [PAGE 9]\n[PAGE 3]"), ("b", "", "[PAGE 1]\n[PAGE 2]")], "key string, raw string, t string")
-    return rows.select("key", F.explode(quality.file_marks(F.unhex("raw"), F.col("t"))).alias("x")).select("key", "x.tag")
-
-
-@outcome([("a", "ا ب ج\nplain words here\nmore"), ("b", "[PAGE REPROCESS NEEDED - vertical sidebar garble detected]")], "key string, text string")
-def side_bars(spark, sf_dir):
-    rows = table(spark, [("a", "ا ب ج\nplain words here\nmore"), ("b", "ا ب ج\nد ه و\nplain")], "key string, t string")
-    return rows.select("key", quality.without_side_bars(F.col("t")).alias("text"))
-
-
-@outcome([("math", "bare_fraction"), ("math", "braces"), ("svt", "dangling"), ("arabe", "odd_dollars")], "subject string, issue string")
-def latex_issues(spark, sf_dir):
-    rows = table(spark, [("math", "\\frac12 {{{"), ("svt", "\\alpha x^ "), ("arabe", "\\frac12 {{{ $"), ("math", "fine")], "subject string, t string")
-    return rows.select("subject", F.explode(formulas.latex_issues(F.col("t"), F.col("subject"))).alias("issue"))
-
-
-@outcome([("p1.png", "zero_size"), ("other.png", "bad_header"), ("other.png", "orphan"), ("p1.png", "orphan")], "filename string, problem string")
-def image_checks(spark, sf_dir):
-    rows = table(spark, [("bac_svt_2010_sujet1_page1_img1.png", 5, "89504E47"), ("p1.png", 0, None), ("other.png", 4, "47494638")], "filename string, size_bytes long, hex string")
-    return audit.image_problems(rows.withColumn("magic", F.unhex("hex")), table(spark, [("bac_svt_2010_sujet1",)], "stem string"))
-
-
 @outcome([("b.json", "bad_json"), ("c.json", "broken_reference"), ("c.json", "empty_description"), ("c.json", "other_name")], "caption_file string, problem string")
 def caption_checks(spark, sf_dir):
     captions = [("bac_svt_2010_sujet1_page1_img1.json", "d/bac_svt_2010_sujet1_page1_img1.png", "x", "bac_svt_2010_sujet1", 1), ("b.json", None, None, None, None), ("c.json", "d/none.png", " ", "none", 1)]
@@ -228,12 +105,6 @@ def caption_checks(spark, sf_dir):
     return audit.caption_problems(rows, table(spark, [("bac_svt_2010_sujet1_page1_img1.png",)], "filename string"))
 
 
-@outcome([("svt", 2, 1, 1), ("math", 1, 0, 0), (None, 3, 1, 1)], "subject string, n long, on_disk long, missing long")
-def image_coverage(spark, sf_dir):
-    listed = table(spark, [("svt", "a.png"), ("svt", "b.png"), ("math", None)], "subject string, image_path string")
-    return audit.image_coverage(listed, table(spark, [("a.png",)], "image_path string")).drop("sample")
-
-
 @outcome([("a", 0.0, 0.0, 106.0, 56.0, False), ("b", 0.0, 0.0, 586.0, 786.0, True)], "stem string, x0 double, y0 double, x1 double, y1 double, full_page boolean")
 def image_figures(spark, sf_dir):
     images = [("a", 0.0, 0.0, 50.0, 50.0, "GRAPH"), ("a", 60.0, 0.0, 100.0, 50.0, "TEXTUAL"), ("a", 300.0, 300.0, 390.0, 390.0, "LOGO"), ("a", 400.0, 0.0, 420.0, 20.0, "GRAPH"), ("b", 0.0, 0.0, 580.0, 780.0, "TABLE")]
@@ -249,42 +120,9 @@ def drawn_figures(spark, sf_dir):
     return figures.vector_figures(df, known).drop("page", "full_page")
 
 
-@outcome([("a", 20, 20, 220, 200, False), ("c", 0, 20, 1200, 1600, True)], "key string, left_ int, top int, right_ int, bottom int, page_scan boolean")
-def image_crops(spark, sf_dir):
-    boxes = table(spark, [("a", 10.0, 700.0, 110.0, 790.0), ("b", 5.0, 5.0, 5.0, 9.0), ("c", 0.0, 0.0, 600.0, 790.0)], "key string, x0 double, y0 double, x1 double, y1 double")
-    c = names.crop(F.struct("x0", "y0", "x1", "y1"), F.lit(600.0), F.lit(800.0), F.lit(2.0))
-    return boxes.select("key", c.alias("c")).filter("c IS NOT NULL").select("key", F.col("c.left").alias("left_"), "c.top", F.col("c.right").alias("right_"), "c.bottom", "c.page_scan")
-
-
-@outcome([("a", 1), ("b", 2), ("c", None), ("d", 3)], "key string, n int")
-def reply_objects(spark, sf_dir):
-    rows = table(spark, [("a", '```json\n{"n": 1}\n```'), ("b", 'well: {"n": 2} ok'), ("c", "none"), ("d", '{"n": 3, "t": "\\frac{a} \\alpha"}')], "key string, t string")
-    return rows.select("key", replies.json_of(F.col("t"), "n int, t string").getField("n").alias("n"))
-
-
-@outcome([("u__q1", "solution_missing", "old"), ("u__q2", "human", None)], "qid string, match string, previous_note string")
-def override_log(spark, sf_dir):
-    schema = "qid string, blocks array<int>, note string, by string, from_unit string"
-    overrides, new = table(spark, [("u__q1", [0], "old", "me", None)], schema), table(spark, [("u__q1", None, "gone", "me", None), ("u__q2", [1], "b", "me", "w")], schema)
-    questions = table(spark, [("u__q1", "good", "1", "x")], "qid string, match string, answer_label string, answer string")
-    return overlay.override_set(overrides, questions, new)[1].select("qid", "match", "previous_note")
-
-
-@outcome([("a",)], "path string")
-def retried_files(spark, sf_dir):
-    work, done = table(spark, [("a",), ("b",), ("c",)], "path string"), table(spark, [("a", 0.0, False), ("b", None, True), ("c", 0.5, False)], "path string, quality_score double, skipped boolean")
-    return overlay.retry(work, done, "path")
-
-
 @outcome([("u", "q1 [good] q -> a\n  [0] a1: a")], "unit_id string, text string")
 def review_sheets(spark, sf_dir):
     q = table(spark, [("u__q1", "u", 0, "q", "a", "good", 1.0)], "qid string, unit_id string, ix int, question string, answer string, match string, label_agree double")
     return reports.sheet(q, table(spark, [("u", 0, "1", "a")], "unit_id string, block int, label string, text string"))
 
 
-@outcome([("e", 5), ("s", 1)], "kind string, n long")
-def audit_samples(spark, sf_dir):
-    """Two of each class, more up to five of a subject; none seen before, no legends."""
-    questions = table(spark, [(f"q{i}", "e", ("strong", "good", "legend")[i % 3]) for i in range(30)] + [("s1", "s", "none"), ("s2", "s", "legend")], "qid string, subject string, match string")
-    picked = reports.audit_sample(questions, table(spark, [("q0",), ("q1",)], "qid string"), 2, 5)
-    return picked.groupBy(F.col("subject").alias("kind")).agg(F.count(F.lit(1)).alias("n"))
