@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from .. import fixed
+from .arrays import let
 
 # Unicode blocks of Arabic letters and forms; digits of Arabic script.
 ARABIC = "\\u0600-\\u06FF\\u0750-\\u077F\\u08A0-\\u08FF\\uFB50-\\uFDFF\\uFE70-\\uFEFF"
@@ -57,9 +58,15 @@ def collapsed(text: Column) -> Column:
 
 def script(text: Column) -> Column:
     """arabic above 60 % Arabic of Arabic and ASCII letters, latin below 20 %, mixed between, unknown without either."""
-    arabic, latin = count_of(text, ARABIC), count_of(text, "A-Za-z")
-    share = arabic / (arabic + latin)
-    return F.when(arabic + latin == 0, "unknown").when(share > 0.6, "arabic").when(share < 0.2, "latin").otherwise("mixed")
+    letters = "".join(map(chr, (*range(65, 91), *range(97, 123))))
+    latin = F.length(text) - F.length(F.translate(text, letters, ""))
+    arabic = F.when(text.rlike(f"[{ARABIC}]"), count_of(text, ARABIC)).otherwise(0)  # most texts have none, which is told without counting
+
+    def of(n: Column) -> Column:
+        share = n["arabic"] / (n["arabic"] + n["latin"])
+        return F.when(n["arabic"] + n["latin"] == 0, "unknown").when(share > 0.6, "arabic").when(share < 0.2, "latin").otherwise("mixed")
+
+    return F.when(text.isNotNull(), let(F.struct(arabic.alias("arabic"), latin.alias("latin")), of)).otherwise("mixed")
 
 
 def words(text: Column) -> Column:
