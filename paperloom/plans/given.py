@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions import quality, repair
+from ..functions import text as T
 from ..operators import align, labels, overlay, reading, sequences, units, vectors
 from ..sources import files
 from ..sources.versions import Versions
@@ -137,6 +138,15 @@ def reused_answers(spark, sf_dir):
     return align.aligned_scores(pairs)
 
 
+@query(f"""WITH t AS (SELECT conv_id, turn, role, {_ANCHORS} AS w FROM conversations)
+SELECT unit, q, b, round(lex, 6) AS lex FROM (SELECT q.conv_id AS unit, q.turn AS q, a.turn AS b, len(list_intersect(q.w, a.w)) / sqrt(len(q.w) * len(a.w)::DOUBLE) AS lex FROM t q JOIN t a ON q.conv_id = a.conv_id AND q.role = 'user' AND a.role = 'assistant' AND len(q.w) > 0 AND len(a.w) > 0) WHERE lex >= 0.15""")
+def indexed_candidates(spark, sf_dir):
+    """User and assistants' turns of a conversation with enough words in common, met in an index of their rarest words."""
+    turns = read(spark, sf_dir, "conversations").select(F.col("conv_id").alias("unit"), "turn", "role", T.anchors(F.col("text")).alias("words"))
+    side = lambda role, key: turns.filter(F.col("role") == role).select("unit", F.col("turn").alias(key), "words")
+    return align.indexed(side("user", "q"), side("assistant", "b"), 0.15).withColumn("lex", F.round("lex", 6))
+
+
 # ---- figures and pages
 
 

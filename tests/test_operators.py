@@ -144,3 +144,19 @@ def test_nearest_vectors_in_many_blocks(spark, monkeypatch):
             got.setdefault(r["q"], []).append(r["id"])
         assert got == want
     assert vectors.nearest(rows.limit(0), rows, 4).count() == 0
+
+
+def test_indexed_candidates_against_all_pairs(spark):
+    import random
+
+    rng = random.Random(6)
+    common = [f"c{i}" for i in range(6)]
+    side = lambda n: [(u, i, sorted({*rng.sample(common, rng.randrange(0, 5)), *(f"w{rng.randrange(40)}" for _ in range(rng.randrange(0, 5)))})) for u in range(3) for i in range(n)]
+    a, b = side(40), side(40)
+    q, blocks = spark.createDataFrame(a + [(None, 1, ["c0"])], "unit int, q int, words array<string>"), spark.createDataFrame(b, "unit int, b int, words array<string>")
+    for least in (0.2, 0.5, 0.8, 1.0):
+        want = {(u, i, j) for u, i, x in a for v, j, y in b if u == v and x and y and len({*x} & {*y}) / (len(x) * len(y)) ** 0.5 >= least}
+        assert {(r["unit"], r["q"], r["b"]) for r in align.indexed(q, blocks, least).collect()} == want and want
+    # pairs that meet are far fewer than the units' products where the threshold is high
+    plan = align.indexed(q, blocks, 0.8)
+    assert plan.count() < 0.05 * 3 * 40 * 40 and align.indexed(q.limit(0), blocks, 0.5).count() == 0
