@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
 from .. import fixed
 from . import text as T
-from .arrays import following, let
+from .arrays import following, let, scan
 
 TAG = "array<struct<tag:string,detail:string>>"
 
@@ -137,25 +134,26 @@ def without_side_bars(text: Column, most: float = 0.6) -> Column:
     return F.when(suspicious_share(text) > most, fixed.GARBLED_PAGE).otherwise(text)
 
 
-@F.pandas_udf(ArrayType(StructType().add("number", StringType()).add("reason", StringType()).add("offset", IntegerType())))
-def digit_runs(texts: pd.Series) -> pd.Series:
-    """Runs of digits that may have been turned round: two or three with a leading zero, or two near words for sections. Years aren't
-    suspected. Places of matches are needed, which no JVM function gives."""
-    import re
+def digit_runs(text: Column) -> Column:
+    """Runs of digits that may have been turned round, as number, reason and offset: two or three with a leading zero, or two near words for sections. Years and
+    longer runs aren't suspected. The pieces between runs say where these are; a null text has none."""
+    run, near = r"(?U)(\b\d{2,8}\b)", 80
+    body = F.coalesce(text, F.lit(""))
+    pieces = F.zip_with(F.split(body, run, -1), F.regexp_extract_all(body, F.lit(run), F.lit(1)), lambda gap, number: F.struct(F.length(gap).alias("gap"), number.alias("number")))
+    start = F.struct(F.lit(0).alias("end"), F.lit(0).alias("offset"), F.lit("").alias("number"))
 
-    run, section, years = re.compile(r"\b\d{2,8}\b"), re.compile(fixed.SECTION_CONTEXT), range(2008, 2027)
+    def step(s: Column, x: Column) -> Column:
+        at = s["end"] + x["gap"]
+        return F.struct((at + F.coalesce(F.length(x["number"]), F.lit(0))).alias("end"), at.alias("offset"), x["number"].alias("number"))
 
-    def of(text: str | None) -> Iterator[dict]:
-        for m in run.finditer(text or ""):
-            number = m.group()
-            if int(number) in years or len(number) > 3:
-                continue
-            if number.startswith("0"):
-                yield {"number": number, "reason": "leading zero", "offset": m.start()}
-            elif len(number) == 2 and section.search(text, max(0, m.start() - 80), m.end() + 80):
-                yield {"number": number, "reason": "near a section", "offset": m.start()}
+    def judged(x: Column) -> Column:
+        first = F.greatest(x["offset"] - near, F.lit(0))
+        around = F.substring(body, first + 1, x["end"] + near - first)
+        reason = F.when(x["number"].startswith("0"), "leading zero").when((F.length(x["number"]) == 2) & around.rlike(fixed.SECTION_CONTEXT), "near a section")
+        return F.struct(x["number"].alias("number"), reason.alias("reason"), x["offset"].alias("offset"))
 
-    return texts.map(lambda t: list(of(t)))
+    placed = F.filter(scan(pieces, start, step, "struct<end:int,offset:int,number:string>"), lambda x: F.length(x["number"]) <= 3)
+    return F.filter(F.transform(placed, judged), lambda x: x["reason"].isNotNull())
 
 
 def header_years(head: Column) -> Column:

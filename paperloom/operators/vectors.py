@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +24,7 @@ def _packed(rows: DataFrame, size: int, name: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = 0
         for batch in batches:
-            batch = batch.filter(pa.compute.is_valid(batch.column(1)))
+            batch = batch.filter(pc.is_valid(batch.column(1)))
             for a in range(0, batch.num_rows, size):
                 part = batch.slice(a, size)
                 x = np.stack([np.asarray(v, np.float64) for v in part.column(1).to_pylist()])

@@ -291,3 +291,16 @@ def segmentation_report(spark, sf_dir):
 SELECT stem, coalesce(points <> 20, false) AS points_off, n_exam, n_solution FROM b WHERE coalesce(points <> 20, false) OR (n_solution > 0 AND n_exam <> n_solution)""")
 def segmentation_sanity(spark, sf_dir):
     return units.sanity(_units(spark, sf_dir))
+
+
+_DIGITS = Derived(
+    f"""SELECT l_orderkey, l_linenumber, l_partkey, {pick("l_partkey", ("التمرين ", "كلام ", "x ", "الجزء "))} || CASE WHEN l_suppkey % 3 = 0 THEN '0' ELSE '' END || {text("CAST(l_quantity AS INTEGER)")} || {pick("l_suppkey", (" في ", " " + "و" * 90 + " ", " "))} || {text("l_linenumber * 12")} || ' 2018 ' || {text("l_suppkey")} || ' 007' AS t FROM lineitem"""
+)
+
+
+@query(f"""WITH w AS (SELECT *, string_split(t, ' ') AS w FROM {_DIGITS.sql} x), p AS (SELECT l_orderkey, l_linenumber, l_partkey, t, w[k] AS number, CAST(coalesce(list_sum(list_transform(w[1:k - 1], lambda x: length(x) + 1)), 0) AS INTEGER) AS place FROM (SELECT *, unnest(range(1, len(w) + 1)) AS k FROM w)),
+r AS (SELECT *, CASE WHEN starts_with(number, '0') THEN 'leading zero' WHEN length(number) = 2 AND regexp_matches(substr(t, greatest(place - 80, 0) + 1, place + length(number) + 80 - greatest(place - 80, 0)), '{fixed.SECTION_CONTEXT}') THEN 'near a section' END AS reason FROM p WHERE regexp_full_match(number, '[0-9]{{2,3}}'))
+SELECT l_orderkey, l_linenumber, l_partkey, number, reason, place FROM r WHERE reason IS NOT NULL""")
+def digit_runs(spark, sf_dir):
+    runs = _DIGITS.df(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_partkey", F.explode(quality.digit_runs(F.col("t"))).alias("r"))
+    return runs.select("l_orderkey", "l_linenumber", "l_partkey", "r.number", "r.reason", F.col("r.offset").alias("place"))

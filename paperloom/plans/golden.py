@@ -6,7 +6,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import quality
 from ..operators import align, audit, figures, formulas, linking, reports, sequences, units
 from .records import ORACLES, QUERIES, query, table, values
 
@@ -85,12 +84,6 @@ def missing_atoms(spark, sf_dir):
     return formulas.missing_atoms(table(spark, [("k", "math", "F = 12 N", "F = 11 N"), ("k", "math", "alpha = 3", "alpha = 3"), ("l", "svt", "beta", "none")], "key string, subject string, item string, page string"))
 
 
-@outcome([("12", "near a section", 8), ("05", "leading zero", 21), ("012", "leading zero", 26), ("99", "near a section", 39)], "number string, reason string, place int")
-def digit_runs(spark, sf_dir):
-    runs = table(spark, [("التمرين 12 في 2015 و 05 و 012 و 4321 و 99",)], "t string").select(F.explode(quality.digit_runs(F.col("t"))).alias("r"))
-    return runs.select("r.number", "r.reason", F.col("r.offset").alias("place"))
-
-
 @outcome([("s", "abc\nلام12")], "stem string, text string")
 def character_lines(spark, sf_dir):
     chars = [(0, "c", 3.0, 10.0), (1, "a", 1.0, 10.4), (2, "b", 2.0, 9.9), (3, "1", 1.0, 30.0), (4, "2", 2.0, 30.0), (5, "م", 3.0, 30.0), (6, "ا", 4.0, 30.0), (7, "ل", 5.0, 30.0), (8, " ", 1.0, 50.0)]
