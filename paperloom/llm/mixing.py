@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import columns, mix64, prefix, staged, table
+from .common import columns, joined_small, mix64, prefix, staged, table
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
@@ -167,7 +167,8 @@ def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float =
     own = {c.lower() for c in docs.columns}
     more = [c for c in _COPIES if c.lower() not in own]
     result = _rounded(staged(_sized(rows, F.col(row)), "mix-sizes"), weights, share, most).select(F.col("row").alias(row), *more)
-    return rows.join(result, row).select(*columns(docs), *more)
+    # the narrow side is staged, so that its size is known: while it is small, texts stay where they are
+    return joined_small(rows, staged(result, "mix-result"), [row], "inner").select(*columns(docs), *more)
 
 
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
