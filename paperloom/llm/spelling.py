@@ -11,10 +11,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import dropped, ascii_lower, mix64, staged, table
+from .common import ascii_lower, dropped, mix64, staged, table
 
 #: Words are runs of these code points, all below 256.
 LETTERS = r"A-Za-zÀ-ÿ"

@@ -82,13 +82,20 @@ def _marked(df: np.ndarray, on: np.ndarray, n: int, total: float) -> np.ndarray:
     return (_odds(df, on, n, total) > 2.0) & (on >= 2 * MIN_DOCS)
 
 
+#: Features that are counted at once.
+PART = 1 << 20
+
+
 def asked_for(rows: np.ndarray, cols: np.ndarray, toxic: np.ndarray, size: int) -> np.ndarray:
     """Which features any fit of a fold or of all asks for; the others change nothing."""
     out, fold = np.zeros(size, bool), _folds(toxic)
     for k in range(-1, FOLDS):
-        learned = fold != k
-        mine = learned[rows]
-        df, on = np.bincount(cols[mine], minlength=size).astype(float), np.bincount(cols[mine], toxic[rows[mine]], minlength=size)
+        learned, df, on = fold != k, np.zeros(size), np.zeros(size)
+        for a in range(0, len(cols), PART):  # in parts, for counting makes wider copies
+            r, c = rows[a : a + PART], cols[a : a + PART]
+            r, c = r[learned[r]], c[learned[r]]
+            df += np.bincount(c, minlength=size)
+            on += np.bincount(c, toxic[r], minlength=size)
         n, total = int(learned.sum()), float(toxic[learned].sum())
         out |= _telling(df, on, n, total, min(PHIS)) | _marked(df, on, max(1, n - total) + max(1, total), max(1, total))
     return out
@@ -231,7 +238,9 @@ def distinct(cols: list[np.ndarray], toxic: np.ndarray) -> tuple[list[int], np.n
     for i, c in enumerate(cols):
         j = first.setdefault(c.tobytes(), i)
         labels[j] = max(labels[j], labels[i])
-    df = np.bincount(np.concatenate(cols), minlength=1 << BITS) if cols else None
+    df = np.zeros(1 << BITS, np.int64)
+    for c in cols:
+        df[c] += 1  # a set holds each feature once
     stay, holders = [], {}
     for i in first.values():
         c, n, label = cols[i], len(cols[i]), int(labels[i])
@@ -283,9 +292,6 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, n_grad
     rows = np.repeat(np.arange(len(cols), dtype=np.int32), [len(c) for c in cols])
     flat = np.concatenate(cols).astype(np.int32) if cols else np.zeros(0, np.int32)
     del got, cols
-    # no model takes a feature of fewer documents than this, whichever fold it is fitted without
-    often = (np.bincount(flat, minlength=1 << BITS) >= MIN_DOCS)[flat]
-    rows, flat = rows[often], flat[often]
     return fitted(spark, rows, flat, toxic, n_grades)
 
 
