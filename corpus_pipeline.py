@@ -50,9 +50,8 @@ def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How many copies and words of each document the mix takes: doc_id, source, size, source_size, target, taken, copies. Texts stay in the stage before,
-    and the caller joins them by id; mixing.mixed() carries all columns instead, at the cost of a shuffle of the texts."""
-    return mixing.mix(docs)
+    """The documents, whole, with how often and how much the mix takes of each: size, source_size, target, taken and copies."""
+    return mixing.mixed(docs)
 
 
 STAGES = [
