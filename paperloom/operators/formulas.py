@@ -12,6 +12,7 @@ from pyspark.sql.types import DoubleType
 
 from .. import fixed
 from ..functions import text as T
+from ..functions.arrays import following, let
 
 # How numbers, powers of ten and results are written.
 _NUMBER = r"(-?\d+(?:[.,]\d+)?)"
@@ -110,11 +111,16 @@ def latex_issues(text: Column, subject: Column) -> Column:
 def uneven_table(text: Column, separator: str = "|", least: int = 3) -> Column:
     """(n_rows, n_off) of a page whose table rows, the lines that begin and end with the separator, too often have another number of separators
     than most: more than one and more than a third; null for other pages. In the page's own row, without a shuffle."""
-    rows = F.filter(T.all_lines(text), lambda x: T.strip(x).startswith(separator) & T.strip(x).endswith(separator))
-    shape = F.transform(rows, lambda x: F.length(x) - F.length(F.replace(x, F.lit(separator), F.lit(""))))
-    most = F.array_max(F.transform(F.array_distinct(shape), lambda c: F.size(F.filter(shape, lambda x: x == c))))
-    n, off = F.size(rows), F.size(rows) - most
-    return F.when((n >= least) & (off > F.greatest(F.lit(1), F.floor(n / 3))), F.struct(n.alias("n_rows"), off.alias("n_off")))
+    framed = lambda x: let(T.strip(x), lambda t: t.startswith(separator) & t.endswith(separator))
+    shape = F.transform(F.filter(T.all_lines(text), framed), lambda x: F.length(x) - F.length(F.replace(x, F.lit(separator), F.lit(""))))
+
+    def judged(shapes: Column) -> Column:
+        n = F.size(shapes)
+        first = F.filter(F.transform(shapes, lambda x, i: F.when((i == 0) | (x != F.get(shapes, F.greatest(i - 1, F.lit(0)))), i)), lambda i: i.isNotNull())
+        most = F.array_max(F.transform(following(first), lambda p: F.coalesce(p["next"], n) - p["x"]))
+        return let(most, lambda m: F.when((n >= least) & (n - m > F.greatest(F.lit(1), F.floor(n / 3))), F.struct(n.alias("n_rows"), (n - m).alias("n_off"))))
+
+    return let(F.array_sort(shape), judged)  # equal ones are neighbours
 
 
 def canonical(formula: Column) -> Column:
