@@ -8,7 +8,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 from .. import fixed
 from .arrays import let
@@ -18,11 +18,17 @@ ARABIC = "\\u0600-\\u06FF\\u0750-\\u077F\\u08A0-\\u08FF\\uFB50-\\uFDFF\\uFE70-\\
 ARABIC_DIGITS = "٠١٢٣٤٥٦٧٨٩"
 # Invisible format characters, and the Arabic elongation sign.
 INVISIBLE = "[\\u200B-\\u200F\\u202A-\\u202F\\u2060-\\u2064\\uFEFF\\u0640]"
+# Characters that are their own compatibility normal form and join with none before them, of the scripts that texts are mostly in.
+# The frequent ones stand before the class of the others, which is then seldom asked.
+NORMAL = (
+    "\\x00-\\x9F\\u0621-\\u063F\\u0641-\\u064A[\\u00C0-\\u0131\\u0134-\\u013E\\u0141-\\u0148\\u014A-\\u017E\\u0391-\\u03A1\\u03A3-\\u03CE\\u0400-\\u0482\\u05D0-\\u05EA\\u0660-\\u066F"
+    "\\u2012-\\u2016\\u2018-\\u2023\\u3041-\\u3096\\u30A1-\\u30FA\\u4E00-\\u9FFF\\uAC00-\\uD7A3]"
+)
 
 
 def count_of(text: Column, character_class: str) -> Column:
-    """Characters of a class."""
-    return F.regexp_count(text, F.lit(f"[{character_class}]"))
+    """Characters of a class, by what is left without them: counting matches makes a string of each."""
+    return F.length(text) - F.length(F.regexp_replace(text, f"[{character_class}]+", ""))
 
 
 def strip(text: Column) -> Column:
@@ -38,16 +44,22 @@ def western_digits(text: Column) -> Column:
     return F.translate(text, ARABIC_DIGITS, "0123456789")
 
 
-@F.pandas_udf(StringType())
-def nfkc(texts: pd.Series) -> pd.Series:
-    """Compatibility normal form; there is no JVM function for it."""
-    return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
+@F.pandas_udf(ArrayType(StringType()))
+def _nfkc_each(pieces: pd.Series) -> pd.Series:
+    return pieces.map(lambda ps: None if ps is None else [unicodedata.normalize("NFKC", p) for p in ps])
+
+
+def nfkc(text: Column) -> Column:
+    """Compatibility normal form; there is no JVM function for it. Python gets what normalizing may change, with the letter before it, and the rest stays where it is."""
+    odd = f"[{NORMAL}]?[^{NORMAL}]+"
+    new = _nfkc_each(let(text, lambda t: F.when(t.rlike(f"[^{NORMAL}]"), F.regexp_extract_all(t, F.lit(f"({odd})"), F.lit(1)))))
+    joined = F.array_join(F.zip_with(F.split(text, odd, -1), new, lambda gap, piece: F.concat(gap, F.coalesce(piece, F.lit("")))), "")
+    return F.when(new.isNull(), text).otherwise(joined)
 
 
 def normalized(text: Column) -> Column:
-    """Invisible characters dropped, NFKC for text that isn't ASCII, blanks and blank lines collapsed, ends stripped."""
-    seen = F.regexp_replace(text, INVISIBLE, "")
-    seen = F.when(seen.rlike(r"^\p{ASCII}*$"), seen).otherwise(nfkc(seen))
+    """Invisible characters dropped, NFKC, blanks and blank lines collapsed, ends stripped."""
+    seen = nfkc(F.regexp_replace(text, INVISIBLE, ""))
     return strip(F.regexp_replace(F.regexp_replace(seen, "[ \t]{2,}", " "), "\n{3,}", "\n\n"))
 
 
