@@ -87,17 +87,22 @@ def words(text: Column) -> Column:
 
 
 def mean_length(words_: Column) -> Column:
-    return F.when(F.size(words_) > 0, F.aggregate(words_, F.lit(0), lambda s, x: s + F.length(x)) / F.size(words_)).otherwise(0.0)
+    return let(words_, lambda ws: F.when(F.size(ws) > 0, F.aggregate(ws, F.lit(0), lambda s, x: s + F.length(x)) / F.size(ws)).otherwise(0.0))
+
+
+def _arabic_words(text: Column) -> Column:
+    """Those of words() with any Arabic character."""
+    return F.regexp_extract_all(text, F.lit(rf"(?U)((?<!\S)[^\s{ARABIC}]*+[{ARABIC}]\S*+)"), F.lit(1))
 
 
 def arabic_word_length(text: Column) -> Column:
     """Mean length of the words that are Arabic by more than half; 0 without any."""
-    return mean_length(F.filter(words(text), lambda w: 2 * count_of(w, ARABIC) > F.length(w)))
+    return mean_length(F.filter(_arabic_words(text), lambda w: 2 * count_of(w, ARABIC) > F.length(w)))
 
 
 def arabic_token_length(text: Column) -> Column:
     """Mean length of the words with any Arabic character; 0 without any."""
-    return mean_length(F.filter(words(text), lambda w: w.rlike(f"[{ARABIC}]")))
+    return mean_length(_arabic_words(text))
 
 
 def arabic_density(text: Column) -> Column:
